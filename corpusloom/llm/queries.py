@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, packing
 from .shared import tune
 
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` packed into sequences of 4096 tokens; see :func:`packing.cut` and :func:`packing.pack`."""
+    return packing.pack(packing.cut(_table(spark, sf_dir, "documents")))
+
+
 def op6_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of ``documents``; see :func:`exact_dedup.exact_groups`."""
     out = exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
@@ -36,6 +41,7 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_heavy_hitter_dedup": op6_heavy_hitter_dedup,
     "op10_pivotal_mix": op10_pivotal_mix,
 }
