@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing
+from . import exact_dedup, langid, license_scan, mixing, packing, toxicity
 from .shared import tune
 
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in ``documents``; see :func:`license_scan.scan`."""
+    return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` packed into sequences of 4096 tokens; see :func:`packing.cut` and :func:`packing.pack`."""
     return packing.pack(packing.cut(_table(spark, sf_dir, "documents")))
@@ -34,6 +39,20 @@ FROM t WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
 """
 
 
+def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of ``documents``; see :func:`langid.learn` and :func:`langid.predict`."""
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.predict(docs, langid.learn(docs.filter(~langid.held_out())))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op9_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of ``documents``; see :func:`toxicity.learn` and :func:`toxicity.predict`."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    out = toxicity.predict(docs, toxicity.learn(docs, labels.filter(~langid.held_out())))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of ``documents`` by source; see :func:`mixing.mix`."""
     out = mixing.mix(_table(spark, sf_dir, "documents"))
@@ -41,8 +60,11 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_heavy_hitter_dedup": op6_heavy_hitter_dedup,
+    "op7_ppm_language": op7_ppm_language,
+    "op9_boosted_toxicity": op9_boosted_toxicity,
     "op10_pivotal_mix": op10_pivotal_mix,
 }
 
