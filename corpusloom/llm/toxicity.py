@@ -115,7 +115,7 @@ def learn_terms(df: DataFrame, max_terms: int = MAX_TERMS) -> list[dict[bytes, f
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), *map(pa.array, np.stack(list(seen.values())).T)], names=["term", *(f"n{i}" for i in range(2 * PARTS))])
 
     names = [f"n{i}" for i in range(2 * PARTS)]
-    both = df.groupBy("part").agg(F.count_if("toxic = 0").alias("good"), F.count_if("toxic = 1").alias("bad")).collect()
+    both = df.groupBy("part").agg(F.count_if(F.col("toxic") == 0).alias("good"), F.count_if(F.col("toxic") == 1).alias("bad")).collect()
     size = np.zeros(2 * PARTS)
     for r in both:
         size[2 * r["part"]], size[2 * r["part"] + 1] = r["good"], r["bad"]
