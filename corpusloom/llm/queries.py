@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, license_scan, mixing, packing, toxicity
+from . import exact_dedup, langid, license_scan, mixing, near_dedup, packing, toxicity
 from .shared import tune
 
 
@@ -19,6 +19,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op3_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates of ``documents``; see :func:`near_dedup.near_groups`."""
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` packed into sequences of 4096 tokens; see :func:`packing.cut` and :func:`packing.pack`."""
     return packing.pack(packing.cut(_table(spark, sf_dir, "documents")))
@@ -61,6 +66,7 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op3_hyperminhash_dedup": op3_hyperminhash_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_heavy_hitter_dedup": op6_heavy_hitter_dedup,
     "op7_ppm_language": op7_ppm_language,
