@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, license_scan, mixing, near_dedup, packing, toxicity
+from . import ann, exact_dedup, langid, license_scan, mixing, near_dedup, packing, toxicity
 from .shared import tune
 
 
@@ -51,6 +51,11 @@ def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours in ``embeddings`` of every row whose id is divisible by 20; see :func:`ann.search`."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of ``documents``; see :func:`toxicity.learn` and :func:`toxicity.predict`."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -70,6 +75,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_heavy_hitter_dedup": op6_heavy_hitter_dedup,
     "op7_ppm_language": op7_ppm_language,
+    "op8_learned_partitions": op8_learned_partitions,
     "op9_boosted_toxicity": op9_boosted_toxicity,
     "op10_pivotal_mix": op10_pivotal_mix,
 }
