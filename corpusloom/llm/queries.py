@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, langid, license_scan, mixing, near_dedup, packing, toxicity
+from . import ann, exact_dedup, langid, license_scan, mixing, near_dedup, packing, toxicity, warc
 from .shared import tune
 
 
@@ -19,6 +19,25 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` written as WARC archives and read back; see :func:`warc.round_trip`."""
+    return warc.round_trip(_table(spark, sf_dir, "pages")).drop("target_uri")
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+     h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS s FROM p),
+     f AS (SELECT *, min(page_id) OVER (PARTITION BY s) AS first FROM h)
+SELECT page_id, n AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(s, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS BIGINT), 1)),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 def op3_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of ``documents``; see :func:`near_dedup.near_groups`."""
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
@@ -71,6 +90,7 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_warc_round_trip": op2_warc_round_trip,
     "op3_hyperminhash_dedup": op3_hyperminhash_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_heavy_hitter_dedup": op6_heavy_hitter_dedup,
@@ -80,4 +100,4 @@ QUERIES = {
     "op10_pivotal_mix": op10_pivotal_mix,
 }
 
-ORACLES = {"op6_heavy_hitter_dedup": OP6_SQL}
+ORACLES = {"op2_warc_round_trip": OP2_SQL, "op6_heavy_hitter_dedup": OP6_SQL}
