@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from .plans import corpus
 
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES: dict[str, str] = {}
+for _plan in (corpus,):
+    QUERIES |= _plan.QUERIES
+    ORACLES |= _plan.ORACLES
 
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").count()
+flagship = QUERIES["flagship_split"]
