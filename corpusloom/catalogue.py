@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from .plans import corpus
+from .plans import corpus, language, scoring
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _plan in (corpus,):
+for _plan in (corpus, language, scoring):
     QUERIES |= _plan.QUERIES
     ORACLES |= _plan.ORACLES
 
