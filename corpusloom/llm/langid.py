@@ -61,7 +61,7 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total.setdefault(lang, []).append(x[:-3] << 24 | x[1:-2] << 16 | x[2:-1] << 8 | x[3:])
     for lang, grams in total.items():
         gram, n = np.unique(np.concatenate(grams), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram)), pa.array(gram), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram, pa.int64()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
 
 
 class Trees:

@@ -156,7 +156,7 @@ class Boosted:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 64, l2: float = 2.0, least: float = 3.0) -> Boosted:
+def boost(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 64, l2: float = 1.0, least: float = 1.0) -> Boosted:
     """Logistic gradient boosting with Newton leaves on histograms; ``least`` is the hessian a leaf needs."""
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
     binned = np.column_stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T, strict=True)])
