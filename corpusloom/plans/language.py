@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import chunks, edit, numbers, pcer, phones, text, tokens
+from ..functions import chunks, edit, numbers, pcer, phones, rules, text, tokens
 from ..operators import lexicon
 from .corpus import table, words_of
 
@@ -98,6 +98,8 @@ golden("skeleton_golden", "string string", [
     ("لڑکی", "ləɽkiː", True), ("لڑکی", "lərkiː", False), ("گھر", "ɡʰər", True), ("گھر", "ɡər", False), ("محبت", "mʊhəbbət", True), ("آنسو", "ɑ̃ːsuː", True),
     ("پاکستان", "pɑːkɪstɑːn", True), ("پاکستان", "bɑːkɪstɑːn", False), ("بچھو", "bɪʧʧʰuː", True), ("اتفاقاً", "ɪttɪfɑːqən", True),
 ], phones.skeleton_ok)
+golden("rules_g2p_golden", "string", [("دوست", "doːst"), ("لڑکی", "ləɽkiː"), ("ہاں", "hɑ̃ː"), ("دیوار", "diːʋɑːr"), ("لوگوں", "loːɡõː"), ("کمرہ", "kəmrɑː"), ("خواب", "xɑːb"), ("شروع", "ʃəroː"), ("جَلْد", "ʤəld"), ("شاعر", "ʃɑːər")], rules.rules_phones, decomposed=True)
+golden("rules_skeleton_golden", "string", [(w, True) for w in "پاکستان لڑکی کتابیں دوست ہاں سڑک ٹھیک خواب دیوار زندگی".split()], lambda w: phones.skeleton_ok(w, rules.rules_phones(w)) & (F.size(phones.unknown_symbols(rules.rules_phones(w))) == 0))
 golden("collapse_golden", "string", [("ʈʰiːk", "t i k"), ("vɛ", "ʋ e"), ("Aɹ", "e ɪ r")], lambda s: F.array_join(phones.collapse(s), " "))
 golden("cer_wer_golden", "string string", [("please share the file now", "please share a file now", 0.2), ("one two", "one two", 0.0)], lambda a, b: edit.wer(edit.normalize_en(a), edit.normalize_en(b)))
 golden("vocab_ids_golden", "string", [("pɑːn", "0,58,69,158,56,0"), ("一b", "0,44,0")], lambda s: F.array_join(phones.framed_ids(s).cast("array<string>"), ","))
