@@ -6,11 +6,14 @@
    few shingles get one hash function per bucket instead of one bucket per shingle, so that no bucket is empty.
 3. Bands of compressed registers are hashed; texts that agree in a band are candidates.
 4. First each text is tried with one other only: among the most popular members of its bands, the one it shares
-   most bands with. Verified links are joined to components. Then every pair that shares a band and is still in
-   different components is compared, register by register, in tiles of bounded size, so groups of copies cost
-   one comparison a text, and no link between different texts is lost.
-5. The estimate of Jaccard similarity, corrected for accidental collisions of compressed registers, must come near
-   the threshold (six standard errors below it); what passes is verified on the full sets.
+   most bands with. Verified links are joined to components.
+5. Whatever shares a band with a member of a larger component, but is not in it, is a guest there: guests and
+   members meet in tiles of bounded size, where a guest is compared with one member after the other, the most
+   similar first, until a link is found. So a group of copies gives one link a text, not one a pair.
+6. Pairs of texts in small components that share a band are compared register by register, in tiles as well.
+7. The estimate of Jaccard similarity, corrected for accidental collisions of compressed registers, must come near
+   the threshold (4.5 standard errors below it); what passes is verified on the full sets. No link between
+   different texts is lost but by the chances named here.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ MANTISSA = 10
 SMALL = 1024
 #: Members of a bucket that one task compares with as many others.
 TILE = 512
+#: Components of so many texts are hosts.
+HOST = 4
 #: Words kept with their hashes in a worker; emptied when full.
 CACHE = 500_000
 
@@ -104,8 +109,8 @@ def estimate(matches: np.ndarray, used: np.ndarray) -> np.ndarray:
 
 
 def floor_for(threshold: float) -> float:
-    """Estimates below this are six standard errors from the threshold."""
-    return threshold - 6 * float(np.sqrt(threshold * (1 - threshold) / REGISTERS))
+    """Estimates below this are 4.5 standard errors (a chance of 3e-6) from the threshold."""
+    return threshold - 4.5 * float(np.sqrt(threshold * (1 - threshold) / REGISTERS))
 
 
 def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.75) -> DataFrame:
@@ -156,13 +161,10 @@ def estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
     return rows.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) of ids whose full sets have the similarity; sets travel as 48 bits a shingle."""
-    percent = round(threshold * 100)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    docs = df.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(ids, "node", "left_semi")
+def hashed_sets(ids: DataFrame, df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(node, hashes): the full sets of the documents with these ids, 48 bits a shingle."""
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
         for batch in batches:
             if len(known) > CACHE:
@@ -170,34 +172,98 @@ def verified(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width:
             sets = [np.unique(shingles(t, known, width) >> _u(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for t in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"])
 
-    sets = written(docs.mapInArrow(hashed, "node long, hashes binary").dropDuplicates(["node"]))
+    docs = df.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(ids, "node", "left_semi")
+    return docs.mapInArrow(run, "node long, hashes binary").dropDuplicates(["node"])
+
+
+def _unpack(x: bytes) -> np.ndarray:
+    out = np.zeros((len(x) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether the intersection of two sets is at least ``percent`` of their union."""
+    if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
+        return False
+    both = np.concatenate([a, b])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(both) - shared)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of ids whose full sets have the similarity."""
+    percent = round(threshold * 100)
     side = lambda x: sets.select(F.col("node").alias(x), F.col("hashes").alias(f"set_{x}"))
     rows = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b")
 
-    def unpack(x: bytes) -> np.ndarray:
-        out = np.zeros((len(x) // 6, 8), np.uint8)
-        out[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
-        return out.view("<u8").ravel()
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok, last, a = [], None, None
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if x != last:
-                    last, a = x, unpack(x)
-                b = unpack(y)
-                if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
-                    ok.append(False)
-                    continue
-                both = np.concatenate([a, b])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                ok.append(100 * shared >= percent * (len(both) - shared))
+                    last, a = x, _unpack(x)
+                ok.append(linked(a, _unpack(y), percent))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     return rows.mapInArrow(compare, "a long, b long")
 
 
+def _matrix(table: pa.Table, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Estimates between the rows ``p`` and ``q``, the larger of the two kinds of sketch; -1 where they share none."""
+    out = np.full((len(p), len(q)), -1.0, np.float32)
+    for kind in ("few", "many"):
+        r, has = _registers(table[kind])
+        if not (has[p].any() and has[q].any()):
+            continue
+        same, used = np.zeros(out.shape, np.int16), np.zeros(out.shape, np.int16)
+        for x, y in zip(r[p].T, r[q].T, strict=True):
+            some = (x > 0)[:, None]
+            same += (x[:, None] == y[None, :]) & some
+            used += some | (y > 0)[None, :]
+        both = has[p][:, None] & has[q][None, :]
+        out = np.where(both, np.maximum(out, estimate(same, used)), out)
+    return out
+
+
+def _visits(guests: DataFrame, hosts: DataFrame, found: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between guests (node, host) and members of their host components, one for each guest and tile."""
+    least, percent = floor_for(threshold), round(threshold * 100)
+    info = guests.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("slices"))
+    info = info.join(hosts.select(F.col("component").alias("host"), F.ceil(F.col("n") / TILE).cast("long").alias("tiles")), "host")
+    own = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = guests.join(info, "host").select("host", every("tiles").alias("t"), own("slices", 1).alias("s"), F.lit(True).alias("guest"), "node")
+    right = found.withColumnRenamed("component", "host").join(info, "host").select("host", own("tiles", 2).alias("t"), every("slices").alias("s"), F.lit(False).alias("guest"), "node")
+    rows = left.unionByName(right).join(nodes.select("node", "few", "many"), "node").join(sets, "node")
+    rows = rows.repartition("host", "t", "s").sortWithinPartitions("host", "t", "s", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, ["host", "t", "s"]):
+            guest = table["guest"].to_numpy(zero_copy_only=False).astype(bool)
+            p, q = np.flatnonzero(guest), np.flatnonzero(~guest)
+            if not len(p) or not len(q):
+                continue
+            near, node, data, a, b = _matrix(table, p, q), table["node"].to_numpy(), table["hashes"].to_pylist(), [], []
+            member: dict[int, np.ndarray] = {}
+            for i in np.flatnonzero((near >= least).any(axis=1)):
+                own_set = _unpack(data[p[i]])
+                for j in np.argsort(-near[i], kind="stable"):
+                    if near[i, j] < least:
+                        break
+                    if j not in member:
+                        member[j] = _unpack(data[q[j]])
+                    if linked(own_set, member[j], percent):
+                        a.append(node[p[i]])
+                        b.append(node[q[j]])
+                        break
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def _across(members: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Pairs of different components in a bucket of (key, node, component) whose estimate comes near the threshold.
 
@@ -217,24 +283,13 @@ def _across(members: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
             left = table["left"].to_numpy(zero_copy_only=False).astype(bool)
             same = table["i"][0].as_py() == table["j"][0].as_py()
             p, q = (np.arange(len(node)),) * 2 if same else (np.flatnonzero(left), np.flatnonzero(~left))
-            near = np.zeros((len(p), len(q)), bool)
-            for kind in ("few", "many"):
-                r, has = _registers(table[kind])
-                if not has.any():
-                    continue
-                matches, used = np.zeros(near.shape, np.int16), np.zeros(near.shape, np.int16)
-                for c in r.T:
-                    x, y = c[p][:, None], c[q][None, :]
-                    matches += (x == y) & (x > 0)
-                    used += (x > 0) | (y > 0)
-                near |= (estimate(matches, used) >= least) & has[p][:, None] & has[q][None, :]
-            near &= comp[p][:, None] != comp[q][None, :]
+            near = (_matrix(table, p, q) >= least) & (comp[p][:, None] != comp[q][None, :])
+            if same:
+                near = np.triu(near)
             x, y = np.nonzero(near)
             a, b = node[p[x]], node[q[y]]
-            keep = a < b if same else np.ones(len(a), bool)
-            a, b = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
@@ -273,18 +328,29 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     leaders = ranked.groupBy("key").agg(F.max(F.struct("fame", -F.col("node"))).alias("x")).select("key", (-F.col("x.col2")).alias("leader"))
     met = members.join(leaders, "key").filter("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("times"))
     first = met.groupBy("node").agg(F.max(F.struct("times", -F.col("leader"))).alias("x")).select(F.col("node").alias("a"), (-F.col("x.col2")).alias("b"))
-    links = written(verified(written(estimated(first, nodes, threshold)), df, id_col, text_col, width, threshold))
+    sets = written(hashed_sets(popular.select("node"), df, id_col, text_col, width))
     _clean(spark)
+    links = written(verified(estimated(first, nodes, threshold), sets, threshold))
     found = written(components(links))
-    # whatever shares a band and is not yet joined
-    named = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    rest = written(_across(written(named), nodes, threshold))
+    _clean(spark)
+    # whatever meets a larger component without being in it
+    named = written(members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
+    hosts = written(found.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= HOST))
+    rooms = named.join(hosts, "component", "left_semi").select("key", F.col("component").alias("host")).distinct()
+    guests = written(named.join(rooms, "key").filter("component <> host").select("node", "host").distinct())
+    if not guests.isEmpty():
+        links = links.unionByName(written(_visits(guests, hosts, found, nodes, sets, threshold)))
+        found = written(components(links))
+        _clean(spark)
+    # members of hosts have met everything that shares a band with them; what is left is in small components
+    small = named.join(hosts, "component", "left_anti").select("key", "node")
+    small = small.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    rest = written(_across(small, nodes, threshold))
     _clean(spark)
     if not rest.isEmpty():
-        more = written(verified(rest, df, id_col, text_col, width, threshold))
+        links = links.unionByName(written(verified(rest, sets, threshold)))
+        found = written(components(links))
         _clean(spark)
-        if not more.isEmpty():
-            found = written(components(links.unionByName(more)))
     classes = nodes.select("set_key", "node").join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     out = all_rows.join(classes, "set_key", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
