@@ -19,7 +19,7 @@ from .shared import written
 #: Documents per block, on average.
 BLOCK = 128
 #: Documents of a source and size class (a power of two) that wait for the root, on average.
-HELD = 8
+HELD = 32
 #: No document is taken more often than this.
 MAX_COPIES = 3
 
