@@ -4,6 +4,7 @@ whose expected results stand in the SQL."""
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import chunks, edit, numbers, pcer, phones, rules, text, tokens
 from ..operators import lexicon
+from ..streaming import budget
 from .corpus import table, words_of
 
 QUERIES: dict = {}
@@ -263,3 +265,58 @@ def short_sentence_merge(spark, sf_dir):
 def greedy_chunks(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", F.posexplode(chunks.fill_lines(F.regexp_replace("text", "\n", " "), 200)).alias("k", "chunk"))
+
+
+U = f"WITH u AS ({ONES}) "
+
+
+def _u(n: str) -> str:
+    return f"(SELECT w FROM u WHERE i = {n})"
+
+
+@query(U + f"""SELECT DISTINCT y, CASE WHEN y < 2000 THEN {_u("y // 100")} || ' {numbers.HUNDRED}' || CASE WHEN y % 100 > 0 THEN ' ' || {_u("y % 100")} ELSE '' END
+ELSE {_u("y // 1000")} || ' {numbers.SCALES[-1][1]}' || CASE WHEN y % 1000 > 0 THEN ' ' || {_u("y % 1000")} ELSE '' END END AS words FROM (SELECT year(o_orderdate) AS y FROM orders)""")
+def year_words(spark, sf_dir):
+    y = table(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("long").alias("y")).distinct()
+    return y.select("y", numbers.year(F.col("y")).alias("words"))
+
+
+@query(U + f"""SELECT DISTINCT h, m, CASE m WHEN 0 THEN {_u('h12')} || ' {numbers.OCLOCK}' WHEN 15 THEN '{numbers.QUARTER_PAST} ' || {_u('h12')} WHEN 45 THEN '{numbers.QUARTER_TO} ' || {_u('h12 % 12 + 1')}
+WHEN 30 THEN CASE h12 WHEN 1 THEN '{numbers.HALF_PAST_1}' WHEN 2 THEN '{numbers.HALF_PAST_2}' ELSE '{numbers.HALF_PAST} ' || {_u('h12')} END
+ELSE {_u('h12')} || ' {numbers.PAST} ' || {_u('m')} || ' {numbers.MINUTES}' END AS words
+FROM (SELECT hour(ts) AS h, minute(ts) AS m, CASE WHEN hour(ts) % 12 = 0 THEN 12 ELSE hour(ts) % 12 END AS h12 FROM events)""")
+def time_words(spark, sf_dir):
+    t = table(spark, sf_dir, "events").select(F.hour("ts").alias("h"), F.minute("ts").alias("m")).distinct()
+    return t.select("h", "m", numbers.clock(F.col("h"), F.col("m")).alias("words"))
+
+
+@query(U + f"""SELECT DISTINCT q AS value, {_u("0")} || ' {numbers.POINT} ' || {_u("CAST(substr(q, 3, 1) AS INTEGER)")} || CASE WHEN length(q) > 3 THEN ' ' || {_u("CAST(substr(q, 4, 1) AS INTEGER)")} ELSE '' END AS words
+FROM (SELECT printf('%.2f', l_discount) AS q FROM lineitem)""")
+def decimal_words(spark, sf_dir):
+    q = table(spark, sf_dir, "lineitem").select(F.format_string("%.2f", F.col("l_discount")).alias("value")).distinct()
+    return q.select("value", numbers.decimal(F.col("value")).alias("words"))
+
+
+@query(U + f"""SELECT DISTINCT l_linenumber AS n, CASE l_linenumber {" ".join(f"WHEN {k} THEN '{v}'" for k, v in numbers.ORDINALS.items())} ELSE {_u("l_linenumber")} || '{numbers.ORDINAL_SUFFIX}' END AS words FROM lineitem""")
+def ordinal_words(spark, sf_dir):
+    n = table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").alias("n")).distinct()
+    return n.select("n", numbers.ordinal(F.col("n")).alias("words"))
+
+
+@query("""WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS token FROM documents)
+SELECT token, CASE WHEN list_contains(string_split('""" + " ".join(tokens.SPELLED) + """', ' '), token) THEN 'en_acronym' WHEN list_contains(string_split('""" + " ".join(tokens.SPOKEN) + """', ' '), token) THEN 'en_acronym_word'
+WHEN regexp_matches(token, '^[A-Z]{2,6}$') AND length(token) >= 4 AND regexp_matches(token[2:-2], '[AEIOU]') AND token NOT LIKE '%S' THEN 'en_acronym_word' WHEN regexp_matches(token, '^[A-Z]{2,6}$') THEN 'en_acronym' ELSE 'en' END AS class FROM t""")
+def latin_class(spark, sf_dir):
+    t = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("token")).distinct()
+    return t.select("token", tokens.classify_latin(F.col("token")).alias("class"))
+
+
+@query()
+def streaming_budget(spark, sf_dir):
+    """events as a stream into a budget per user; everything available is taken once, then read back."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    at = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    e = table(spark, sf_dir, "events")
+    source = spark.readStream.schema(e.schema).parquet(f"{sf_dir}/event[s].parquet")  # a pattern, for a stream of files
+    budget.run_available(budget.admit_stream(source.select("user_id", "event_id", "value"), "user_id", "event_id", "value", 500.0), f"{at}/out", f"{at}/state")
+    return spark.read.parquet(f"{at}/out")
