@@ -132,3 +132,17 @@ def test_chunks_lose_nothing(spark):
     s = "one two, three. " * 20 + "x" * 90
     got = spark.createDataFrame([(s,)], "t string").select(chunks.fill_lines(F.col("t"), 40)).first()[0]
     assert all(len(c) <= 40 for c in got) and "".join(got).replace(" ", "") == s.replace(" ", "")
+
+
+def test_functions_in_sql(spark):
+    import pandas as pd
+
+    from corpusloom.functions import registry
+
+    def shout(s: pd.Series) -> pd.Series:
+        return s.str.upper()
+
+    names = registry.register(spark, {"corpus_shout": (shout, "string")})
+    assert "corpus_shout" in names
+    r = spark.sql("SELECT corpus_expand_numbers('25 لوگ') AS a, corpus_rules('دوست') AS b, corpus_shout('x') AS c, size(corpus_align(array('a'), array('a', 'b'))) AS d").first()
+    assert tuple(r) == ("پچیس لوگ", "doːst", "X", 2)
