@@ -16,10 +16,21 @@ def before(value: str | Column, partition: Sequence[str], order: Sequence[str |
     return F.coalesce(F.sum(value).over(w), F.lit(0))
 
 
-def admit(df: DataFrame, value: str, cap: Column | float, partition: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def spent_before(df: DataFrame, value: Column, partition: Sequence[str], order: Sequence[str | Column], bucket: Column | None, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of the partition before this one.
+
+    Without ``bucket`` by one window, which puts a partition into one task; with it (any column that follows the
+    order) by prefix sums within and over buckets, so that a partition may hold any share of the rows.
+    """
+    if bucket is None:
+        return df.withColumn(name, before(value, partition, order))
+    return prefix(df, bucket, order, value, name=name, partition=partition)
+
+
+def admit(df: DataFrame, value: str, cap: Column | float, partition: Sequence[str], order: Sequence[str | Column], bucket: Column | None = None) -> DataFrame:
     """Rows whose predecessors sum to less than ``cap``: a group may exceed its budget by one row."""
     cap = cap if isinstance(cap, Column) else F.lit(cap)
-    return df.withColumn("spent", before(value, partition, order)).filter(F.col("spent") < cap)
+    return spent_before(df, F.col(value), partition, order, bucket, "spent").filter(F.col("spent") < cap)
 
 
 def four_passes(df: DataFrame, value: str, cap: float, flag: str, partition: Sequence[str], order: Sequence[str | Column], shares: tuple[float, float] = (0.8, 0.2)) -> DataFrame:
@@ -40,8 +51,9 @@ def four_passes(df: DataFrame, value: str, cap: float, flag: str, partition: Seq
 
 def two_levels(df: DataFrame, value: str, group: str, group_cap: float, cap: float, seq: str, bucket: int = 4096) -> DataFrame:
     """A budget per group, then one over all survivors, both in order of the whole number ``seq``."""
-    rows = admit(df, value, group_cap, [group], [seq]).drop("spent")
-    rows = prefix(rows, F.floor(F.col(seq) / bucket), [seq], F.col(value), name="spent")
+    part = F.floor(F.col(seq) / bucket)
+    rows = admit(df, value, group_cap, [group], [seq], part).drop("spent")
+    rows = prefix(rows, part, [seq], F.col(value), name="spent")
     return rows.filter(F.col("spent") < cap)
 
 

@@ -32,6 +32,12 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id", "left").na.fill(0, ["quality", "toxic"])
 
 
+
+def _bucket():
+    """Slices of the order of doc_id, so that no source has to fit one task."""
+    return F.floor(F.col("doc_id") / 4096)
+
+
 LABELLED = "SELECT doc_id, lang, source, n_chars, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic FROM documents LEFT JOIN labels USING (doc_id)"
 
 
@@ -94,7 +100,7 @@ def schema_fallback_coalesce(spark, sf_dir):
 SELECT doc_id, source, toxic, n_chars, spent FROM t WHERE spent < CASE WHEN toxic = 1 THEN 10000.0 ELSE 20000.0 END""")
 def budget_admission(spark, sf_dir):
     cap = F.when(F.col("toxic") == 1, 10000.0).otherwise(20000.0)
-    return selection.admit(labelled(spark, sf_dir), "n_chars", cap, ["source", "toxic"], ["doc_id"]).select("doc_id", "source", "toxic", "n_chars", "spent")
+    return selection.admit(labelled(spark, sf_dir), "n_chars", cap, ["source", "toxic"], ["doc_id"], _bucket()).select("doc_id", "source", "toxic", "n_chars", "spent")
 
 
 def _pass(n: int, flag: int, budget: str) -> str:
@@ -326,5 +332,5 @@ SELECT CASE WHEN r < k THEN 'val' ELSE 'train' END AS split, lang, count(*) AS n
 def flagship_split(spark, sf_dir):
     """Scan, join labels, filter, budget per source, stratified split, report."""
     rows = labelled(spark, sf_dir).filter("n_chars BETWEEN 150 AND 20000")
-    rows = selection.admit(rows, "n_chars", 60000, ["source"], ["doc_id"])
+    rows = selection.admit(rows, "n_chars", 60000, ["source"], ["doc_id"], _bucket())
     return splits.stratified_split(rows, ["lang"], "doc_id", seed=42).groupBy("split", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
