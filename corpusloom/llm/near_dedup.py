@@ -36,7 +36,7 @@ MANTISSA = 10
 #: Sets up to SMALL shingles have a sketch of one kind, from 3/4 of that on (also) of the other: a linked pair has sizes within 3/4.
 SMALL = 1024
 #: Members of a bucket that one task compares with as many others.
-TILE = 512
+TILE = 256
 #: Components of so many texts are hosts.
 HOST = 4
 #: Words kept with their hashes in a worker; emptied when full.
@@ -227,6 +227,11 @@ def _matrix(table: pa.Table, p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return out
 
 
+def _partitions(df: DataFrame) -> int:
+    """As many tasks as any shuffle has: tiles are few bytes but much work, and must not be put together by size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _visits(guests: DataFrame, hosts: DataFrame, found: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between guests (node, host) and members of their host components, one for each guest and tile."""
     least, percent = floor_for(threshold), round(threshold * 100)
@@ -237,7 +242,7 @@ def _visits(guests: DataFrame, hosts: DataFrame, found: DataFrame, nodes: DataFr
     left = guests.join(info, "host").select("host", every("tiles").alias("t"), own("slices", 1).alias("s"), F.lit(True).alias("guest"), "node")
     right = found.withColumnRenamed("component", "host").join(info, "host").select("host", own("tiles", 2).alias("t"), every("slices").alias("s"), F.lit(False).alias("guest"), "node")
     rows = left.unionByName(right).join(nodes.select("node", "few", "many"), "node").join(sets, "node")
-    rows = rows.repartition("host", "t", "s").sortWithinPartitions("host", "t", "s", "node")
+    rows = rows.repartition(_partitions(rows), "host", "t", "s").sortWithinPartitions("host", "t", "s", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["host", "t", "s"]):
@@ -275,7 +280,7 @@ def _across(members: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "tiles")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
     rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("left"), "node", "component")
     rows = rows.join(nodes.select("node", "few", "many"), "node")
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    rows = rows.repartition(_partitions(rows), "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["key", "i", "j"]):
