@@ -26,7 +26,8 @@ def merge(records: DataFrame) -> DataFrame:
     A better source replaces the entry, old variants included; a record that is not better adds its pronunciation
     as a variant. So the entry is the first record of the best rank, and variants are what came after it.
     """
-    best = records.groupBy("word").agg(F.min_by(F.struct("seq", "pron", "source"), F.struct(rank(F.col("source")), "seq")).alias("w"), F.min("seq").alias("first_seq"))
+    first = records.groupBy("word", "pron", "source").agg(F.min("seq").alias("seq"))  # few rows, before the sort that min_by needs
+    best = first.groupBy("word").agg(F.min_by(F.struct("seq", "pron", "source"), F.struct(rank(F.col("source")), "seq")).alias("w"), F.min("seq").alias("first_seq"))
     later = records.join(best, "word").filter((F.col("seq") > F.col("w.seq")) & (F.col("pron") != F.col("w.pron")))
     later = later.groupBy("word", "pron").agg(F.min("seq").alias("seq")).groupBy("word").agg(F.sort_array(F.collect_list(F.struct("seq", "pron"))).alias("v"))
     variants = F.coalesce(F.transform("v", lambda x: x["pron"]), F.array().cast("array<string>"))

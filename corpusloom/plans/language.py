@@ -183,11 +183,16 @@ def digits_to_ascii(spark, sf_dir):
 RECORDS = "SELECT row_number() OVER (ORDER BY doc_id, p) AS seq, word, pron, source FROM (SELECT doc_id, p, w AS word, w || CAST(doc_id % 3 AS VARCHAR) AS pron, CASE lang WHEN 'en' THEN 'llm' WHEN 'fr' THEN 'wikipron' WHEN 'de' THEN 'agree' ELSE 'rules' END AS source FROM (SELECT doc_id, lang, unnest(x) AS w, generate_subscripts(x, 1) AS p FROM (SELECT doc_id, lang, regexp_extract_all(lower(substr(text, 1, 300)), '[a-z]+') AS x FROM documents)))"
 
 
-def _records(spark, sf_dir):
-    """Lexicon records made of the words in the first 300 characters of each document, as stand-in for source files."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.posexplode(F.regexp_extract_all(F.lower(F.substring("text", 1, 300)), F.lit("[a-z]+"), F.lit(0))).alias("p", "word"))
+def _records(spark, sf_dir, once: bool = False):
+    """Lexicon records made of all words of each document, as stand-in for source files.
+
+    ``once``: a word's first place in each document only. A document has one source, and one pronunciation of a word,
+    so that the merged lexicon is the same.
+    """
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.posexplode(F.array_distinct(words) if once else words).alias("p", "word"))
     source = F.when(F.col("lang") == "en", "llm").when(F.col("lang") == "fr", "wikipron").when(F.col("lang") == "de", "agree").otherwise("rules")
-    return d.select((F.col("doc_id") * 1000 + F.col("p")).alias("seq"), "word", F.concat("word", (F.col("doc_id") % 3).cast("string")).alias("pron"), source.alias("source"))
+    return d.select((F.shiftleft("doc_id", 31) + F.col("p")).alias("seq"), "word", F.concat("word", (F.col("doc_id") % 3).cast("string")).alias("pron"), source.alias("source"))
 
 
 @query(f"""WITH r AS ({RECORDS}), k AS (SELECT *, CASE source WHEN 'wikipron' THEN 1 WHEN 'agree' THEN 2 WHEN 'llm' THEN 3 ELSE 5 END AS rk FROM r),
@@ -196,7 +201,7 @@ v AS (SELECT k.word, k.pron, min(k.seq) AS seq FROM k JOIN w ON k.word = w.word
 a AS (SELECT word, string_agg(pron, ';' ORDER BY seq) AS variants FROM v GROUP BY word)
 SELECT w.word, w.pron, w.source, coalesce(variants, '') AS variants FROM w LEFT JOIN a USING (word)""")
 def lexicon_rank_merge(spark, sf_dir):
-    return lexicon.merge(_records(spark, sf_dir)).select("word", "pron", "source", F.array_join("variants", ";").alias("variants"))
+    return lexicon.merge(_records(spark, sf_dir, once=True)).select("word", "pron", "source", F.array_join("variants", ";").alias("variants"))
 
 
 _LEX = [(1, "کتاب", "kɪtɑːb"), (2, "عِلْم", "ɪlm"), (3, "وزیر", "ʋəziːr"), (4, "نامہ", "nɑːmɑː"), (5, "کِیا", "kɪjɑː"), (6, "کیا", "kjɑː"), (7, "راستی", "rɑːstiː")]
