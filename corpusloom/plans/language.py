@@ -153,8 +153,7 @@ VOCAB_SQL = "[" + ", ".join(_lit(k) for k in phones.VOCABULARY) + "]"
 
 @query(f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(string_split(substr(text, 1, 400), ''), lambda c: NOT list_contains({VOCAB_SQL}, c)))), '') AS oov FROM documents")
 def oov_chars(spark, sf_dir):
-    head = F.substring("text", 1, 400)  # the operator runs on words and phone strings, not on whole documents
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.array_sort(phones.unknown_symbols(head)), "").alias("oov"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.array_sort(phones.unknown_symbols(F.col("text"))), "").alias("oov"))
 
 
 VOCAB_MAP = "MAP {" + ", ".join(f"{_lit(k)}: {v}" for k, v in phones.VOCABULARY.items()) + "}"

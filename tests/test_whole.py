@@ -3,9 +3,11 @@
 import collections
 import re
 
+import numpy as np
 import pytest
 
 from corpusloom import catalogue
+from corpusloom.functions import edit, phones
 
 
 def written(spark, folder, **tables):
@@ -47,3 +49,11 @@ def test_new_words_of_whole_texts(spark, long_docs):
     known = {"waaaa", "and", "lastaaaa"} | {w for w, _, s in r if s == "wikipron"}
     want = collections.Counter(w for w, *_ in r if w not in known)
     assert want and {r["word"]: r["n"] for r in catalogue.QUERIES["oov_new_words"](spark, folder).collect()} == want
+
+
+# --- oov_chars ---
+def test_oov_chars_of_whole_texts(spark, long_docs):
+    docs, folder = long_docs
+    got = {r["doc_id"]: r["oov"] for r in catalogue.QUERIES["oov_chars"](spark, folder).collect()}
+    assert got == {d: "".join(sorted({c for c in text if c not in phones.VOCABULARY})) for d, text, _ in docs}
+    assert all("☃" in x for x in got.values())
