@@ -32,10 +32,10 @@ CER = "CASE WHEN length(replace(ref, ' ', '')) > 0 THEN levenshtein(replace(ref,
 
 
 def pairs(spark, sf_dir):
-    """Consecutive turns as hypothesis and reference, normalised, at most 200 characters as the pair under test."""
+    """Consecutive turns as hypothesis and reference, normalised, whole."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", edit.normalize_en(F.col("text")).alias("t"))
     w = Window.partitionBy("conv_id").orderBy("turn")
-    return c.select("conv_id", "turn", "role", F.substring("t", 1, 200).alias("hyp"), F.substring(F.lag("t").over(w), 1, 200).alias("ref"))
+    return c.select("conv_id", "turn", "role", F.col("t").alias("hyp"), F.lag("t").over(w).alias("ref"))
 
 
 def cers(spark, sf_dir):

@@ -57,3 +57,42 @@ def test_oov_chars_of_whole_texts(spark, long_docs):
     got = {r["doc_id"]: r["oov"] for r in catalogue.QUERIES["oov_chars"](spark, folder).collect()}
     assert got == {d: "".join(sorted({c for c in text if c not in phones.VOCABULARY})) for d, text, _ in docs}
     assert all("☃" in x for x in got.values())
+
+
+# --- pairs ---
+def turns():
+    long = " ".join(f"word{i % 37} of turn" for i in range(60))
+    texts = [[long + " the same end", long + " another end, longer", "short", "sharp"], [long, long.replace("word36", "x") + " y", "", "a b"]]
+    return [(c, t, ("user", "assistant")[t % 2], text) for c, conv in enumerate(texts) for t, text in enumerate(conv)]
+
+
+@pytest.fixture(scope="module")
+def scored(spark, tmp_path_factory):
+    """A folder, and (conv_id, turn, role, characters of ref and hyp, their distance, wer) of each pair by plain Python."""
+    rows, out = turns(), []
+    distance = lambda a, b: sum(op != "M" for *_, op in edit.align(a, b))
+    for (c, _, _, ref), (d, t, role, hyp) in zip(rows, rows[1:], strict=False):
+        if c == d:
+            r, h = (re.sub(r"\s+", " ", re.sub("[^a-z0-9' ]+", " ", x.lower())).strip() for x in (ref, hyp))
+            x, y = r.replace(" ", ""), h.replace(" ", "")
+            out.append((c, t, role, x, r != h, distance(list(x), list(y)), round(distance(r.split(), h.split()) / len(r.split()), 6) if r else None))
+    folder = tmp_path_factory.mktemp("turns") / "t"
+    return written(spark, folder, conversations=(rows, "conv_id long, turn int, role string, text string")), out
+
+
+def test_error_rates_of_whole_turns(spark, scored):
+    folder, pairs = scored
+    cer = {(c, t): round(n / len(r), 6) if r else None for c, t, _, r, _, n, _ in pairs}
+    assert {(r["conv_id"], r["turn"]): r["cer"] for r in catalogue.QUERIES["cer_en_pairs"](spark, folder).collect()} == cer
+    assert {(r["conv_id"], r["turn"]): r["wer"] for r in catalogue.QUERIES["wer_pairs"](spark, folder).collect()} == {(c, t): w for c, t, *_, w in pairs}
+    every = [n / len(r) for _, _, _, r, _, n, _ in pairs if r]
+    floor = [n / len(r) for _, _, role, r, _, n, _ in pairs if r and role == "assistant"]
+    limit = {"assistant": max(0.25, sum(floor) / len(floor) + 0.15), "user": 0.78}
+    kept = {(r["conv_id"], r["turn"]): r["cer"] for r in catalogue.QUERIES["cer_filter_keep"](spark, folder).collect()}
+    assert kept == {(c, t): cer[c, t] for c, t, role, r, _, n, _ in pairs if r and n / len(r) <= limit[role]}
+    edges = [0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 1, 10]
+    bins = {r["bin"]: r["n"] for r in catalogue.QUERIES["cer_histogram"](spark, folder).collect()}
+    assert bins == {i: sum(a <= x < b for x in every) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))}
+    for r in catalogue.QUERIES["per_micro"](spark, folder).collect():
+        own = [p for p in pairs if p[2] == r["role"]]
+        assert r["per"] == pytest.approx(sum(p[5] for p in own) / sum(len(p[3]) for p in own)) and r["wer"] == pytest.approx(sum(p[4] for p in own) / len(own))
