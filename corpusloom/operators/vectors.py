@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +32,12 @@ def centroid(df: DataFrame, key: str, vec: str) -> DataFrame:
     return df.select(key, F.posexplode(vec).alias("pos", "x")).groupBy(key, "pos").agg(F.avg(F.col("x").cast("double")).alias("mean"))
 
 
-def kernel_rows(points: DataFrame, at: str, vec: str, rows: DataFrame, row: str, sigma: float = 40.0, least: float = 1e-3) -> DataFrame:
-    """(row, pos, value): Gaussian-weighted means of vectors by the distance of ``at`` from ``row``; the plain mean
-    where all weights together are ``least`` or less. ``rows`` is a small table."""
-    pairs = points.select(F.col(at).alias("__at"), F.posexplode(vec).alias("pos", "x")).crossJoin(F.broadcast(rows.select(row)))
+def kernel_rows(points: DataFrame, at: str, vec: str, rows: DataFrame, row: str, sigma: float = 40.0, least: float = 1e-3, by: Sequence[str] = ()) -> DataFrame:
+    """(*by, row, pos, value): Gaussian-weighted means of vectors by the distance of ``at`` from ``row``; the plain mean
+    where all weights together are ``least`` or less. ``rows`` is a small table; points at one place are summed first."""
+    sums = points.select(*by, F.col(at).alias("__at"), F.posexplode(vec).alias("pos", "x"))
+    sums = sums.groupBy(*by, "__at", "pos").agg(F.count(F.lit(1)).alias("__n"), F.count("x").alias("__some"), F.sum(F.col("x").cast("double")).alias("__x"))
+    pairs = sums.crossJoin(F.broadcast(rows.select(row)))
     w = F.exp(-0.5 * F.pow((F.col("__at") - F.col(row)) / sigma, 2))
-    sums = pairs.groupBy(row, "pos").agg(F.sum(w).alias("w"), F.sum(w * F.col("x")).alias("wx"), F.avg(F.col("x").cast("double")).alias("mean"))
-    return sums.select(row, "pos", F.when(F.col("w") > least, F.col("wx") / F.col("w")).otherwise(F.col("mean")).alias("value"))
+    means = pairs.groupBy(*by, row, "pos").agg(F.sum(w * F.col("__n")).alias("w"), F.sum(w * F.col("__x")).alias("wx"), (F.sum("__x") / F.sum("__some")).alias("mean"))
+    return means.select(*by, row, "pos", F.when(F.col("w") > least, F.col("wx") / F.col("w")).otherwise(F.col("mean")).alias("value"))

@@ -226,9 +226,10 @@ r AS (SELECT unnest(range(1, 511, 17)) AS row)
 SELECT row, CAST(pos AS INTEGER) AS pos, round(CASE WHEN sum(exp(-0.5 * ((loc - row) / 40.0) ** 2)) > 1e-3 THEN sum(exp(-0.5 * ((loc - row) / 40.0) ** 2) * x) / sum(exp(-0.5 * ((loc - row) / 40.0) ** 2)) ELSE avg(CAST(x AS DOUBLE)) END, 5) AS value
 FROM p, r WHERE pos < 8 GROUP BY ALL""")
 def gaussian_weighted_rows(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").filter("label = 3").select((F.col("vec_id") % 510).alias("at"), "embedding")
-    out = vectors.kernel_rows(e, "at", "embedding", spark.range(1, 511, 17).withColumnRenamed("id", "row"), "row")
-    return out.filter("pos < 8").select("row", "pos", F.round("value", 5).alias("value"))
+    """Rows 1 to 510 of each label (the speaker), over all of its vectors and all positions."""
+    e = table(spark, sf_dir, "embeddings").select("label", (F.col("vec_id") % 510).alias("at"), "embedding")
+    out = vectors.kernel_rows(e, "at", "embedding", spark.range(1, 511).withColumnRenamed("id", "row"), "row", by=["label"])
+    return out.select("label", "row", "pos", F.round("value", 5).alias("value"))
 
 
 @query("SELECT event_type, round(corr(value, CAST(json_extract(props, '$.k') AS BIGINT)), 6) AS r, min(value) AS lo, round(avg(value), 6) AS mean FROM events GROUP BY event_type")

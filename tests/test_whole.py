@@ -96,3 +96,31 @@ def test_error_rates_of_whole_turns(spark, scored):
     for r in catalogue.QUERIES["per_micro"](spark, folder).collect():
         own = [p for p in pairs if p[2] == r["role"]]
         assert r["per"] == pytest.approx(sum(p[5] for p in own) / sum(len(p[3]) for p in own)) and r["wer"] == pytest.approx(sum(p[4] for p in own) / len(own))
+
+
+# --- gaussian_weighted_rows, cosine_pairs ---
+@pytest.fixture(scope="module")
+def vecs(spark, tmp_path_factory):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=12).astype("f4").tolist(), int(i % 3)) for i in [*range(45), 510, 511, 1020]] + [(1530 + 509, [1.0] * 12, 7)]
+    return rows, written(spark, tmp_path_factory.mktemp("vecs") / "t", embeddings=(rows, "vec_id long, embedding array<float>, label int"))
+
+
+def test_gaussian_rows_of_all_vectors(spark, vecs):
+    rows, folder = vecs
+    got = {(r["label"], r["row"], r["pos"]): r["value"] for r in catalogue.QUERIES["gaussian_weighted_rows"](spark, folder).collect()}
+    assert len(got) == 4 * 510 * 12
+    for label in (0, 1, 2, 7):
+        at, v = np.array([i % 510 for i, _, x in rows if x == label]), np.array([e for _, e, x in rows if x == label], np.float64)
+        for row in range(1, 511):
+            w = np.exp(-0.5 * ((at - row) / 40.0) ** 2)
+            want = w @ v / w.sum() if w.sum() > 1e-3 else v.mean(axis=0)
+            assert np.allclose([got[label, row, p] for p in range(12)], want, atol=1e-5)
+
+
+def test_cosine_of_all_pairs(spark, vecs):
+    rows, folder = vecs
+    got = {(r["a"], r["b"]): r["cosine"] for r in catalogue.QUERIES["cosine_pairs"](spark, folder).collect()}
+    v = {i: np.array(e, np.float64) for i, e, _ in rows}
+    assert got.keys() == {(a, b) for a in v for b in v if a < b}
+    assert all(abs(c - v[a] @ v[b] / np.linalg.norm(v[a]) / np.linalg.norm(v[b])) < 1e-6 for (a, b), c in got.items())
