@@ -124,3 +124,11 @@ def test_cosine_of_all_pairs(spark, vecs):
     v = {i: np.array(e, np.float64) for i, e, _ in rows}
     assert got.keys() == {(a, b) for a in v for b in v if a < b}
     assert all(abs(c - v[a] @ v[b] / np.linalg.norm(v[a]) / np.linalg.norm(v[b])) < 1e-6 for (a, b), c in got.items())
+
+
+# --- cardinal_words ---
+def test_cardinals_of_all_keys(spark, tmp_path):
+    folder = written(spark, tmp_path / "t", lineitem=([(k,) for k in (7, 99_999, 100_000, 2_500_000, 10_000_000, 100_000)], "l_partkey long"))
+    got = {r["n"]: r["words"] for r in catalogue.QUERIES["cardinal_words"](spark, folder).collect()}
+    assert got.keys() == {7, 99_999, 100_000, 2_500_000, 10_000_000}
+    assert (got[100_000], got[2_500_000], got[10_000_000]) == ("ایک لاکھ", "پچیس لاکھ", "ایک کروڑ")
