@@ -104,16 +104,16 @@ class Automaton:
 def _chain(matches: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """Chains of (text start, template start, length) as (covered words, first word, last word + 1).
 
-    Weighted longest chain that moves forward in the template, cut where the text leaves a wide gap. Overlaps are
-    trimmed. Matches come in the order of the text.
+    Weighted longest chain that moves forward in the template, cut where the text leaves a wide gap. Overlaps in
+    the text are trimmed. Matches come in the order of their ends in the text.
     """
     starts: list[int] = []  # a staircase: template end and best covered so far, both rising
     best: list[tuple[int, int, int]] = []
     found: tuple[int, int, int] | None = None
     for at, template_at, n in matches:
         k = bisect_left(starts, template_at + 1)
-        covered, first = (best[k - 1][0], best[k - 1][1]) if k else (0, at)
-        here = (covered + n, first, at + n)
+        covered, first, last = best[k - 1] if k else (0, at, at)
+        here = max((covered + n - max(0, last - at), first, at + n), (n, at, at + n), key=lambda x: x[0])
         end = template_at + n
         k = bisect_left(starts, end)
         while k < len(starts) and best[k][0] <= here[0]:
@@ -147,6 +147,14 @@ class Scanner:
         for v in sorted(range(1, len(a.next)), key=a.length.__getitem__):
             own = [t for t, end in a.ends[v] if t < self.n_phrases and end == self.sizes[t] and a.length[a.link[v]] < self.sizes[t] <= a.length[v]]
             self.phrases[v] = [*own, *self.phrases[a.link[v]]]
+        # (template, end, words) of the longest match with each place of a template that ends where the text is at a state
+        self.after = [(*s, -1) for s in ([self.numbers[w] for w in s] for s in split)]
+        self.places: list[list[tuple[int, int, int]]] = [[] for _ in a.next]
+        for v in sorted(range(1, len(a.next)), key=a.length.__getitem__):
+            if a.length[v] >= min_match:
+                own = set(a.ends[v])
+                self.places[v] = [*((t, end, a.length[v]) for t, end in a.ends[v] if t >= self.n_phrases), *(x for x in self.places[a.link[v]] if x[:2] not in own)]
+        self.lost: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         # Words that no phrase and no span can do without: all but common ones, if every text has enough others.
         common = COMMON if all(sum(w in COMMON for w in x) < len(x) * (1.0 if i < len(phrases) else coverage) for i, x in enumerate(split)) else set()
         self.rare = {w for x in split for w in x if w not in common}
@@ -158,14 +166,12 @@ class Scanner:
         get = self.numbers.get
         state = l = 0
         for i, x in enumerate([*map(get, doc), None]):
+            if l >= self.min_match:
+                self._keep(matches, state, l, i, x or 0)
             if x is None:
-                if l >= self.min_match:
-                    self._keep(matches, state, l, i)
                 state = l = 0
                 continue
             if x not in follow[state]:
-                if l >= self.min_match:
-                    self._keep(matches, state, l, i)  # it can't go on: a maximal match
                 while state and x not in follow[state]:
                     state = link[state]
                     l = length[state]
@@ -183,12 +189,26 @@ class Scanner:
                     part = []
                 if m:
                     part.append(m)
-        return places, spans
-
-    def _keep(self, matches: dict, state: int, n: int, end: int) -> None:
-        for t, at in self.automaton.ends[state]:
-            if at >= n and t >= self.n_phrases:
-                matches.setdefault(t, []).append((end - n, at - n, n))
+        return places, self._own(spans)
+
+    def _keep(self, matches: dict, state: int, l: int, end: int, x: int) -> None:
+        """Matches that the next word ``x`` ends, template by template, whether or not another template goes on."""
+        if (lost := self.lost.get((state, x))) is None:
+            lost = self.lost[state, x] = [p for p in self.places[state] if self.after[p[0]][p[1]] != x]
+        for t, at, n in lost:
+            n = min(n, l)
+            matches.setdefault(t, []).append((end - n, at - n, n))
+
+    def _own(self, spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """Without spans of incomplete templates inside a span of another one that covers more words: GPL 2 in GPL 3."""
+        out, near = [], []
+        for s in sorted(spans, key=lambda s: (s[2], -s[3], -s[1])):
+            near = [x for x in near if x[3] > s[2]]
+            if s[1] >= self.sizes[s[0]] or not any(x[3] >= s[3] and x[1] > s[1] for x in near):
+                out.append(s)
+            near.append(s)
+        kept = set(out)
+        return [s for s in spans if s in kept]
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES, **options) -> DataFrame:

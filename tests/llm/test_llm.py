@@ -97,6 +97,39 @@ def test_license_spans_survive_edits():
     assert {s.labels[t] for t, *_ in spans} == {"mit"} and spans[0][2] == 30 and not places
 
 
+def test_short_licence_that_a_longer_one_goes_on_from():
+    s = license_scan.Scanner()
+    labels = lambda text, s=s: [(s.labels[t], c, first) for t, c, first, _ in s.scan(license_scan.words(text.encode()))[1]]
+    assert labels("x Licensed under the Apache License, Version 2.0. The files are here") == [("apache-2.0", 8, 1)]
+    assert labels('Licensed under the Apache License, Version 2.0 (the "License"); you may copy it') == [("apache-2.0", 8, 0)]
+    inside = license_scan.Scanner(phrases={}, templates=[("long", "a b one two three four c d e f g h"), ("short", "one two three four")])
+    assert labels("a b one two three four c x", inside) == [("short", 4, 2)]
+    gpl3 = next(t for label, t in license_scan.TEMPLATES if label == "gpl-3.0-notice")
+    assert {x for x, *_ in labels(gpl3)} == {"gpl-3.0-notice"}
+
+
+def test_matches_of_each_template_equal_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        seqs = [[f"w{x}" for x in rng.integers(0, 3, rng.integers(4, 14))] for _ in range(4)]
+        s = license_scan.Scanner(phrases={}, templates=[(str(i), " ".join(x)) for i, x in enumerate(seqs)])
+        doc, got = [f"w{x}" for x in rng.integers(0, 4, 60)], set()
+        keep = s._keep
+        s._keep = lambda matches, state, n, end, x: (keep(mine := {}, state, n, end, x), got.update((t, *m) for t, found in mine.items() for m in found))
+        s.scan([x.encode() for x in doc])
+        want = set()
+        for t, seq in enumerate(seqs):
+            for i in range(len(doc)):
+                for j in range(len(seq)):
+                    if not (i and j and doc[i - 1] == seq[j - 1]):
+                        n = 0
+                        while i + n < len(doc) and j + n < len(seq) and doc[i + n] == seq[j + n]:
+                            n += 1
+                        if n >= 3:
+                            want.add((t, i, j, n))
+        assert got == want
+
+
 def test_license_scan_odd(odd, empty):
     got = of(license_scan.scan(odd))
     assert got[2][0]["n_words"] == 0 and got[2][0]["first_word"] is None
