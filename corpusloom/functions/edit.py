@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from . import vectorised
 
-#: First character of the alphabet that stands for word numbers; the range holds 20,000 of one UTF-16 unit each.
-_FIRST = 0x4E00
+#: The alphabet that stands for word numbers: characters of one UTF-16 unit each.
+_FIRST, _LAST = 0x0100, 0xD7FF
 
 
 def normalize_en(text: Column) -> Column:
@@ -26,12 +26,24 @@ def words_of(text: Column) -> Column:
 
 
 def sequence_distance(a: Column, b: Column) -> Column:
-    """Edit distance of two arrays of strings."""
-    seen = F.array_distinct(F.concat(a, b))
-    # one pass over the distinct words makes the map, then each word is one lookup
-    numbers = F.map_from_arrays(seen, F.transform(seen, lambda w, i: F.decode(F.unhex(F.lpad(F.hex(i + _FIRST), 4, "0")), "UTF-16BE")))
-    code = lambda s: F.array_join(F.transform(s, lambda w: F.element_at(numbers, w)), "")
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.greatest(F.size(a), F.size(b))).otherwise(F.levenshtein(code(a), code(b)))
+    """Edit distance of two arrays of strings; an error where both together have over 55,000 distinct ones.
+
+    Sequences and their numbers are bound as arguments of lambdas, so that each is made once a pair.
+    """
+
+    def coded(x: Column) -> Column:
+        def distance(y: Column) -> Column:
+            code = lambda s: F.array_join(F.transform(s, lambda w: F.element_at(y["numbers"], w)), "")
+            return F.levenshtein(code(y["a"]), code(y["b"]))
+
+        char = lambda w, i: F.decode(F.unhex(F.lpad(F.hex(i + _FIRST), 4, "0")), "UTF-16BE")
+        numbers = F.map_from_arrays(x["seen"], F.transform(x["seen"], char))
+        found = F.transform(F.array(F.struct(x["a"].alias("a"), x["b"].alias("b"), numbers.alias("numbers"))), distance)[0]
+        known = F.when(F.size(x["seen"]) <= _LAST - _FIRST, found).otherwise(F.raise_error(F.lit("too many distinct words for a distance")).cast("int"))
+        return F.when((F.size(x["a"]) == 0) | (F.size(x["b"]) == 0), F.greatest(F.size(x["a"]), F.size(x["b"]))).otherwise(known)
+
+    pair = F.struct(a.alias("a"), b.alias("b"), F.array_distinct(F.concat(a, b)).alias("seen"))
+    return F.transform(F.array(pair), coded)[0]
 
 
 def cer(ref: Column, hyp: Column) -> Column:

@@ -103,44 +103,35 @@ def clock(hour: Column, minute: Column) -> Column:
     )
 
 
-class Words:
-    """The same verbalisation on Python values, for text functions that must look around a number."""
-
-    @staticmethod
-    def hundreds(n: int) -> list[str]:
-        return [BELOW_100[n // 100], HUNDRED] * (n >= 100) + [BELOW_100[n % 100]] * (n % 100 > 0)
-
-    @classmethod
-    def cardinal(cls, n: int) -> str:
-        if not 0 <= n < LIMIT:
-            if n < 0:
-                return f"{MINUS} {cls.cardinal(-n)}"
-            raise ValueError(f"no words for {n}")
-        out: list[str] = []
-        for scale, name in SCALES:
-            if n >= scale:
-                out += [*cls.hundreds(n // scale), name]
-                n %= scale
-        return " ".join([*out, *cls.hundreds(n)]) or BELOW_100[0]
-
-    @classmethod
-    def decimal(cls, text: str) -> str:
-        sign, body = text.startswith("-"), text.lstrip("+-")
-        whole, point, part = body.partition(".")
-        words = cls.cardinal(int(whole or 0))
-        if point:
-            words += f" {POINT} " + " ".join(BELOW_100[int(d)] for d in part)
-        return f"{MINUS} {words}" if sign else words
-
-    @classmethod
-    def year(cls, y: int) -> str:
-        if not 1100 <= y <= 1999:
-            return cls.cardinal(y)
-        return " ".join([BELOW_100[y // 100], HUNDRED, *cls.hundreds(y % 100)])
-
-    @classmethod
-    def clock(cls, hour: int, minute: int) -> str:
-        h = (hour - 1) % 12 + 1
-        special = {0: f"{BELOW_100[h]} {OCLOCK}", 15: f"{QUARTER_PAST} {BELOW_100[h]}", 45: f"{QUARTER_TO} {BELOW_100[h % 12 + 1]}"}
-        special[30] = {1: HALF_PAST_1, 2: HALF_PAST_2}.get(h, f"{HALF_PAST} {BELOW_100[h]}")
-        return special.get(minute) or f"{BELOW_100[h]} {PAST} {BELOW_100[minute]} {MINUTES}"
+#: A table of scales down to the hundreds: what stands before a scale is a number itself.
+_STEPS = [*SCALES, (100, HUNDRED)]
+_CLOCK = {0: f"{{h}} {OCLOCK}", 15: f"{QUARTER_PAST} {{h}}", 30: f"{HALF_PAST} {{h}}", 45: f"{QUARTER_TO} {{next}}"}
+
+
+def spell(n: int) -> str:
+    """The words of :func:`cardinal` for a Python value, for text functions that must look around a number."""
+    if n < 0:
+        return f"{MINUS} {spell(-n)}"
+    if n >= LIMIT:
+        raise ValueError(f"no words for {n}")
+    for scale, name in _STEPS:
+        if n >= scale:
+            return " ".join([spell(n // scale), name, *([spell(n % scale)] if n % scale else [])])
+    return BELOW_100[n]
+
+
+def spell_decimal(text: str) -> str:
+    """:func:`decimal` for ASCII digits: what follows the point is read digit by digit."""
+    whole, *part = text.split(".", 1)
+    return f" {POINT} ".join([spell(int(whole or 0)), *(" ".join(BELOW_100[int(d)] for d in p) for p in part)])
+
+
+def spell_year(y: int) -> str:
+    return " ".join([BELOW_100[y // 100], HUNDRED, *([BELOW_100[y % 100]] if y % 100 else [])]) if 1100 <= y <= 1999 else spell(y)
+
+
+def spell_clock(hour: int, minute: int) -> str:
+    h = hour % 12 or 12
+    short = {1: HALF_PAST_1, 2: HALF_PAST_2}.get(h) if minute == 30 else None
+    form = short or _CLOCK.get(minute, f"{{h}} {PAST} {{m}} {MINUTES}")
+    return form.format(h=BELOW_100[h], next=BELOW_100[h % 12 + 1], m=BELOW_100[minute])

@@ -38,12 +38,14 @@ def histogram(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
     """Counts per bin [lo, hi), the last one closed; NaN, null and values outside are left out, empty bins count 0."""
     spark = df.sparkSession
     bins = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))], "bin int, lo double, hi double")
-    v, last = F.col(value), len(edges) - 2
-    at = None
-    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-        inside = (v >= a) & ((v <= b) if i == last else (v < b)) & ~F.isnan(v)
-        at = F.when(inside, i) if at is None else at.when(inside, i)
-    counts = df.select(at.alias("bin")).filter("bin IS NOT NULL").groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    last = len(edges) - 2
+
+    def place(v: Column) -> Column:
+        inside = [(v >= a) & ((v <= b) if i == last else (v < b)) & ~F.isnan(v) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+        return F.coalesce(*(F.when(x, i) for i, x in enumerate(inside)))
+
+    # bound as a lambda's argument, the value is computed once a row, not once a bin
+    counts = df.select(F.transform(F.array(F.col(value).cast("double")), place)[0].alias("bin")).filter("bin IS NOT NULL").groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     return bins.join(counts, "bin", "left").select("bin", "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Output rows of :func:`kernel_rows`, at most; they are broadcast.
+MOST_ROWS = 10_000
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
@@ -27,6 +31,13 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
+def against_reference(df: DataFrame, id_col: str, vec: str, key: str) -> DataFrame:
+    """(id, ref, cosine): each vector against the one with the smallest id of its ``key``; one row a vector."""
+    refs = df.groupBy(key).agg(F.min_by(vec, id_col).alias("__ref"), F.min(id_col).alias("ref"))  # one row a key
+    rows = df.join(refs, df[key].eqNullSafe(refs[key]))
+    return rows.select(df[id_col], "ref", cosine(F.col(vec), F.col("__ref")).alias("cosine"))
+
+
 def centroid(df: DataFrame, key: str, vec: str) -> DataFrame:
     """(key, pos, mean): element-wise means in long form, partial aggregates only."""
     return df.select(key, F.posexplode(vec).alias("pos", "x")).groupBy(key, "pos").agg(F.avg(F.col("x").cast("double")).alias("mean"))
@@ -37,6 +48,8 @@ def kernel_rows(points: DataFrame, at: str, vec: str, rows: DataFrame, row: str,
     where all weights together are ``least`` or less. ``rows`` is a small table; points at one place are summed first."""
     sums = points.select(*by, F.col(at).alias("__at"), F.posexplode(vec).alias("pos", "x"))
     sums = sums.groupBy(*by, "__at", "pos").agg(F.count(F.lit(1)).alias("__n"), F.count("x").alias("__some"), F.sum(F.col("x").cast("double")).alias("__x"))
+    if rows.limit(MOST_ROWS + 1).count() > MOST_ROWS:
+        raise ValueError(f"more than {MOST_ROWS} rows to weight")
     pairs = sums.crossJoin(F.broadcast(rows.select(row)))
     w = F.exp(-0.5 * F.pow((F.col("__at") - F.col(row)) / sigma, 2))
     means = pairs.groupBy(*by, row, "pos").agg(F.sum(w * F.col("__n")).alias("w"), F.sum(w * F.col("__x")).alias("wx"), (F.sum("__x") / F.sum("__some")).alias("mean"))

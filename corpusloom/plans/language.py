@@ -151,7 +151,7 @@ def arabic_latin_flags(spark, sf_dir):
 VOCAB_SQL = "[" + ", ".join(_lit(k) for k in phones.VOCABULARY) + "]"
 
 
-@query(f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(string_split(substr(text, 1, 400), ''), lambda c: NOT list_contains({VOCAB_SQL}, c)))), '') AS oov FROM documents")
+@query(f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(string_split(text, ''), lambda c: NOT list_contains({VOCAB_SQL}, c)))), '') AS oov FROM documents")
 def oov_chars(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.array_sort(phones.unknown_symbols(F.col("text"))), "").alias("oov"))
 
@@ -164,11 +164,13 @@ def vocab_tokenize(spark, sf_dir):
     return words_of(spark, sf_dir).select("word").distinct().select("word", F.array_join(phones.ids(F.col("word")).cast("array<string>"), ",").alias("ids"))
 
 
+#: Scales up to 99 crore, enough for the keys of any table of parts.
+PART_SCALES = [(scale, 100, name) for scale, name in numbers.SCALES if scale <= 10**7]
 ONES = values([(i, w) for i, w in enumerate(numbers.BELOW_100)], "i, w")
 
 
-@query(f"""WITH u AS ({ONES}), k AS (SELECT DISTINCT CAST(l_partkey AS BIGINT) AS n FROM lineitem WHERE l_partkey < 100000)
-SELECT n, trim(concat_ws(' ', CASE WHEN n >= 1000 THEN (SELECT w FROM u WHERE i = n // 1000) || ' ہزار' END, CASE WHEN n % 1000 >= 100 THEN (SELECT w FROM u WHERE i = n % 1000 // 100) || ' سو' END, CASE WHEN n % 100 > 0 OR n = 0 THEN (SELECT w FROM u WHERE i = n % 100) END)) AS words FROM k""")
+@query(f"""WITH u AS ({ONES}), k AS (SELECT DISTINCT CAST(l_partkey AS BIGINT) AS n FROM lineitem)
+SELECT n, trim(concat_ws(' ', {", ".join(f"CASE WHEN n // {scale} % {most} > 0 THEN (SELECT w FROM u WHERE i = n // {scale} % {most}) || ' {name}' END" for scale, most, name in PART_SCALES)}, CASE WHEN n % 1000 >= 100 THEN (SELECT w FROM u WHERE i = n % 1000 // 100) || ' سو' END, CASE WHEN n % 100 > 0 OR n = 0 THEN (SELECT w FROM u WHERE i = n % 100) END)) AS words FROM k""")
 def cardinal_words(spark, sf_dir):
     k = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("n")).distinct()
     return k.select("n", numbers.cardinal(F.col("n")).alias("words"))
@@ -179,7 +181,7 @@ def digits_to_ascii(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.char_length(F.regexp_replace(numbers.ascii_digits(F.col("text")), "[^0-9]", "")).alias("digits"))
 
 
-RECORDS = "SELECT row_number() OVER (ORDER BY doc_id, p) AS seq, word, pron, source FROM (SELECT doc_id, p, w AS word, w || CAST(doc_id % 3 AS VARCHAR) AS pron, CASE lang WHEN 'en' THEN 'llm' WHEN 'fr' THEN 'wikipron' WHEN 'de' THEN 'agree' ELSE 'rules' END AS source FROM (SELECT doc_id, lang, unnest(x) AS w, generate_subscripts(x, 1) AS p FROM (SELECT doc_id, lang, regexp_extract_all(lower(substr(text, 1, 300)), '[a-z]+') AS x FROM documents)))"
+RECORDS = "SELECT doc_id * 2147483648 + p AS seq, word, pron, source FROM (SELECT doc_id, p, w AS word, w || CAST(doc_id % 3 AS VARCHAR) AS pron, CASE lang WHEN 'en' THEN 'llm' WHEN 'fr' THEN 'wikipron' WHEN 'de' THEN 'agree' ELSE 'rules' END AS source FROM (SELECT doc_id, lang, unnest(x) AS w, generate_subscripts(x, 1) AS p FROM (SELECT doc_id, lang, regexp_extract_all(lower(text), '[a-z]+') AS x FROM documents)))"
 
 
 def _records(spark, sf_dir, once: bool = False):
@@ -265,7 +267,13 @@ def short_sentence_merge(spark, sf_dir):
     return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.array_join(chunks.merge_short(s, 60, 200), "\n").alias("chunks"))
 
 
-@query()
+@query(r"""WITH RECURSIVE s AS (SELECT conv_id, turn, replace(text, chr(10), ' ') AS t FROM conversations),
+p AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(t, '([,.!?;:…]) ', '\1' || chr(10), 'g'), chr(10)), lambda x: x <> '') AS p, t FROM s WHERE length(t) > 200),
+m AS (SELECT conv_id, turn, p, 1 AS k, CAST([] AS VARCHAR[]) AS acc FROM p UNION ALL
+SELECT conv_id, turn, p, k + 1, CASE WHEN len(acc) > 0 AND length(acc[-1]) + length(p[k]) + 1 <= 200 THEN list_append(acc[:-2], acc[-1] || ' ' || p[k])
+ ELSE list_concat(acc, list_transform(range(0, CAST(ceil(length(p[k]) / 200.0) AS BIGINT)), lambda i: substr(p[k], i * 200 + 1, 200))) END FROM m WHERE k <= len(p)),
+a AS (SELECT conv_id, turn, acc FROM m WHERE k = len(p) + 1 UNION ALL SELECT conv_id, turn, [t] FROM s WHERE length(t) <= 200)
+SELECT conv_id, turn, CAST(generate_subscripts(acc, 1) - 1 AS INTEGER) AS k, unnest(acc) AS chunk FROM a""")
 def greedy_chunks(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", F.posexplode(chunks.fill_lines(F.regexp_replace("text", "\n", " "), 200)).alias("k", "chunk"))
@@ -315,12 +323,12 @@ def latin_class(spark, sf_dir):
     return t.select("token", tokens.classify_latin(F.col("token")).alias("class"))
 
 
-@query()
+@query("""WITH b AS (SELECT user_id, event_id, value, coalesce(sum(value) OVER (PARTITION BY user_id ORDER BY event_id, value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent FROM events)
+SELECT user_id, event_id, value, round(spent, 4) AS spent FROM b WHERE spent < 500""")
 def streaming_budget(spark, sf_dir):
     """events as a stream into a budget per user; everything available is taken once, then read back."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    at = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    at = f"{budget.shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     e = table(spark, sf_dir, "events")
     source = spark.readStream.schema(e.schema).parquet(f"{sf_dir}/event[s].parquet")  # a pattern, for a stream of files
     budget.run_available(budget.admit_stream(source.select("user_id", "event_id", "value"), "user_id", "event_id", "value", 500.0), f"{at}/out", f"{at}/state")
-    return spark.read.parquet(f"{at}/out")
+    return spark.read.parquet(f"{at}/out").withColumn("spent", F.round("spent", 4))

@@ -27,7 +27,7 @@ def _norm(c: str) -> str:
     return f"trim(regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[^a-z0-9'' ]+', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
-PAIRS = f"""SELECT conv_id, turn, role, substr({_norm("text")}, 1, 200) AS hyp, substr(lag({_norm("text")}) OVER (PARTITION BY conv_id ORDER BY turn), 1, 200) AS ref FROM conversations"""
+PAIRS = f"""SELECT conv_id, turn, role, {_norm("text")} AS hyp, lag({_norm("text")}) OVER (PARTITION BY conv_id ORDER BY turn) AS ref FROM conversations"""
 CER = "CASE WHEN length(replace(ref, ' ', '')) > 0 THEN levenshtein(replace(ref, ' ', ''), replace(hyp, ' ', '')) / CAST(length(replace(ref, ' ', '')) AS DOUBLE) END"
 
 
@@ -47,10 +47,9 @@ def cer_en_pairs(spark, sf_dir):
     return cers(spark, sf_dir).select("conv_id", "turn", F.round("cer", 6).alias("cer"))
 
 
-@query(f"""WITH p AS (SELECT conv_id, turn, list_filter(string_split(ref, ' '), lambda x: x <> '') AS r, list_filter(string_split(hyp, ' '), lambda x: x <> '') AS h FROM ({PAIRS}) WHERE ref IS NOT NULL),
-v AS (SELECT *, list_distinct(list_concat(r, h)) AS v FROM p)
-SELECT conv_id, turn, CASE WHEN len(r) > 0 THEN round(CASE WHEN len(h) = 0 THEN len(r) ELSE levenshtein(array_to_string(list_transform(r, lambda x: chr(CAST(33 + list_position(v, x) AS INTEGER))), ''), array_to_string(list_transform(h, lambda x: chr(CAST(33 + list_position(v, x) AS INTEGER))), '')) END / CAST(len(r) AS DOUBLE), 6) END AS wer FROM v""")
+@query()
 def wer_pairs(spark, sf_dir):
+    """No SQL: DuckDB's levenshtein compares bytes, and whole turns have more distinct words than a byte has values."""
     return pairs(spark, sf_dir).filter("ref IS NOT NULL").select("conv_id", "turn", F.round(edit.wer(F.col("ref"), F.col("hyp")), 6).alias("wer"))
 
 
@@ -201,13 +200,13 @@ def signal_issues(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.array_join(signal.issues(tests), ",").alias("issues"))
 
 
-@query("""WITH a AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < 40)
-SELECT x.vec_id AS a, y.vec_id AS b, round(list_cosine_similarity(x.v, y.v), 6) AS cosine FROM a x, a y WHERE x.vec_id < y.vec_id""")
+@query("""WITH r AS (SELECT label, min(vec_id) AS ref FROM embeddings GROUP BY label)
+SELECT a.vec_id, b.vec_id AS ref, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cosine
+FROM embeddings a JOIN r USING (label) JOIN embeddings b ON b.vec_id = r.ref""")
 def cosine_pairs(spark, sf_dir):
-    """All pairs of vectors: quadratic in their number, output included."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    x, y = e.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x")), e.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
-    return x.join(y, F.col("a") < F.col("b")).select("a", "b", F.round(vectors.cosine(F.col("x"), F.col("y")), 6).alias("cosine"))
+    """Every vector with the reference vector of its label (the speaker): its first one."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return vectors.against_reference(e, "vec_id", "embedding", "label").select("vec_id", "ref", F.round("cosine", 6).alias("cosine"))
 
 
 @query("SELECT vec_id, round(sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norm, round(CAST(embedding[1] AS DOUBLE) / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS first FROM embeddings")
@@ -221,10 +220,10 @@ def centroid_by_label(spark, sf_dir):
     return vectors.centroid(table(spark, sf_dir, "embeddings"), "label", "embedding").select("label", "pos", F.round("mean", 6).alias("mean"))
 
 
-@query("""WITH p AS (SELECT vec_id % 510 AS loc, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings WHERE label = 3),
-r AS (SELECT unnest(range(1, 511, 17)) AS row)
-SELECT row, CAST(pos AS INTEGER) AS pos, round(CASE WHEN sum(exp(-0.5 * ((loc - row) / 40.0) ** 2)) > 1e-3 THEN sum(exp(-0.5 * ((loc - row) / 40.0) ** 2) * x) / sum(exp(-0.5 * ((loc - row) / 40.0) ** 2)) ELSE avg(CAST(x AS DOUBLE)) END, 5) AS value
-FROM p, r WHERE pos < 8 GROUP BY ALL""")
+@query("""WITH p AS (SELECT label, vec_id % 510 AS loc, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
+s AS (SELECT label, loc, pos, count(*) AS n, sum(CAST(x AS DOUBLE)) AS x FROM p GROUP BY ALL), r AS (SELECT unnest(range(1, 511)) AS row),
+w AS (SELECT label, row, pos, sum(exp(-0.5 * ((loc - row) / 40.0) ** 2) * n) AS w, sum(exp(-0.5 * ((loc - row) / 40.0) ** 2) * x) AS wx, sum(x) / sum(n) AS mean FROM s, r GROUP BY ALL)
+SELECT label, row, CAST(pos AS INTEGER) AS pos, round(CASE WHEN w > 1e-3 THEN wx / w ELSE mean END, 5) AS value FROM w""")
 def gaussian_weighted_rows(spark, sf_dir):
     """Rows 1 to 510 of each label (the speaker), over all of its vectors and all positions."""
     e = table(spark, sf_dir, "embeddings").select("label", (F.col("vec_id") % 510).alias("at"), "embedding")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def admit_stream(stream: DataFrame, key: str, seq: str, value: str, cap: float) -> DataFrame:
@@ -29,6 +29,14 @@ def admit_stream(stream: DataFrame, key: str, seq: str, value: str, cap: float)
     return stream.groupBy(key).applyInPandasWithState(step, schema, "spent double", "append", "NoTimeout")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; on one machine, where it is unset, the session's warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.conf.get("spark.master", "local").startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return (base or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Appends everything that is available to Parquet at ``path`` and stops; run again, it takes only what is new."""
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()

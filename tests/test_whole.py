@@ -118,12 +118,12 @@ def test_gaussian_rows_of_all_vectors(spark, vecs):
             assert np.allclose([got[label, row, p] for p in range(12)], want, atol=1e-5)
 
 
-def test_cosine_of_all_pairs(spark, vecs):
+def test_cosine_with_the_label_s_reference(spark, vecs):
     rows, folder = vecs
-    got = {(r["a"], r["b"]): r["cosine"] for r in catalogue.QUERIES["cosine_pairs"](spark, folder).collect()}
-    v = {i: np.array(e, np.float64) for i, e, _ in rows}
-    assert got.keys() == {(a, b) for a in v for b in v if a < b}
-    assert all(abs(c - v[a] @ v[b] / np.linalg.norm(v[a]) / np.linalg.norm(v[b])) < 1e-6 for (a, b), c in got.items())
+    got = {r["vec_id"]: (r["ref"], r["cosine"]) for r in catalogue.QUERIES["cosine_pairs"](spark, folder).collect()}
+    v, ref = {i: np.array(e, np.float64) for i, e, _ in rows}, {x: min(i for i, _, y in rows if y == x) for _, _, x in rows}
+    assert {i: r for i, (r, _) in got.items()} == {i: ref[x] for i, _, x in rows}
+    assert all(abs(c - v[i] @ v[r] / np.linalg.norm(v[i]) / np.linalg.norm(v[r])) < 1e-6 for i, (r, c) in got.items())
 
 
 # --- cardinal_words ---
