@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import Scratch, written
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -26,11 +26,17 @@ def components(links: DataFrame) -> DataFrame:
     Nodes without a link to another node are left out; no links, no rows. Each round is a written table. Rounds
     grow with the logarithm of the longest path; nodes with many links are counted map-side and split by AQE.
     """
-    links = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    with Scratch(links.sparkSession) as scratch:
+        return _rounds(links, scratch)
+
+
+def _rounds(links: DataFrame, scratch: Scratch) -> DataFrame:
+    links = scratch(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
     while True:
         now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == mark or now[0] == 0:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select("b", "b").distinct())
-        mark = now
-        links = written(_star(_star(links, large=True), large=False))
+            return written(links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select("b", "b").distinct()))
+        mark, before = now, links
+        links = scratch(_star(_star(links, large=True), large=False))
+        scratch.drop(before)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import Scratch, beside, written
 
 #: Documents per block, on average.
 BLOCK = 128
@@ -100,67 +100,68 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     full are rounded apart. Documents without words take nothing (their copies are rounded one by one). The
     result depends on ids, sizes and ``seed`` alone, so reruns agree, whatever the partitions. No rows, no result.
     """
-    rows = written(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), count_words(F.col(text_col)).alias("size")))
-    goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
-    counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    goal = goal.join(counts, goal["source"].eqNullSafe(counts["source"])).select(
-        F.coalesce(F.xxhash64(goal["source"], goal["source"].isNull()), F.lit(0)).alias("sid"), goal["source"], "source_size", "target", "n"
-    )
-    goal = written(goal.withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)))
-    if goal.isEmpty():
-        return rows.select("doc_id", "source", "size", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("copies"), F.lit(0).cast("long").alias("taken"))
-
-    # rows that repeat in full count as one with a multiplicity, dealt out again under a number of their own
-    units = rows.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).cast("int").alias("m"))
-    units = units.select(F.xxhash64("source", F.col("source").isNull()).alias("sid"), "doc_id", "size", F.explode(F.sequence(F.lit(1), "m")).alias("rep"))
-    small = goal.select("sid", F.col("ratio") - F.floor("ratio"), "n").toDF("sid", "p", "n")
-    units = units.join(small, "sid").withColumn("class", F.when(F.col("size") > 0, F.floor(F.log2("size"))))
-    units = written(units.withColumn("loose", (F.col("size") == 0) | (F.col("p") == 0)))
-    classes = written(units.filter("not loose").groupBy("sid", "class").agg(F.count(F.lit(1)).alias("of")))
-    solo = units.filter("loose").select("sid", "doc_id", "rep", "size", (_uniform(F.col("doc_id"), F.col("rep"), F.lit(seed)) < F.col("p")).cast("double").alias("p"))
-    blocks = F.greatest(F.ceil(F.col("n") / block), F.lit(1))
-    held = _uniform(F.col("doc_id"), F.col("rep"), F.lit("held"), F.lit(seed)) * F.col("of") < HELD
-    tied = units.filter("not loose").join(classes, ["sid", "class"])
-    tied = written(tied.select("sid", "doc_id", "rep", "size", "p", held.alias("held"), F.pmod(F.xxhash64("doc_id", "rep", "size", F.lit(seed)), blocks).alias("block")))
-    root = tied.filter("held").drop("held", "block")  # a bounded number per source
-    tied = tied.filter("not held").drop("held")
-
-    parts, level = [solo], 0
-    while True:
-        folded = written(_fold(tied, ["sid", "block"], level, seed))
+    with Scratch(df.sparkSession) as scratch:
+        rows = scratch(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), count_words(F.col(text_col)).alias("size")))
+        goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
+        counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+        goal = goal.join(counts, goal["source"].eqNullSafe(counts["source"])).select(
+            F.coalesce(F.xxhash64(goal["source"], goal["source"].isNull()), F.lit(0)).alias("sid"), goal["source"], "source_size", "target", "n"
+        )
+        goal = scratch(goal.withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)))
+        if goal.isEmpty():
+            return written(rows.select("doc_id", "source", "size", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("copies"), F.lit(0).cast("long").alias("taken")))
+
+        # rows that repeat in full count as one with a multiplicity, dealt out again under a number of their own
+        units = rows.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).cast("int").alias("m"))
+        units = units.select(F.xxhash64("source", F.col("source").isNull()).alias("sid"), "doc_id", "size", F.explode(F.sequence(F.lit(1), "m")).alias("rep"))
+        small = goal.select("sid", F.col("ratio") - F.floor("ratio"), "n").toDF("sid", "p", "n")
+        units = units.join(small, "sid").withColumn("class", F.when(F.col("size") > 0, F.floor(F.log2("size"))))
+        units = scratch(units.withColumn("loose", (F.col("size") == 0) | (F.col("p") == 0)))
+        classes = scratch(units.filter("not loose").groupBy("sid", "class").agg(F.count(F.lit(1)).alias("of")))
+        solo = units.filter("loose").select("sid", "doc_id", "rep", "size", (_uniform(F.col("doc_id"), F.col("rep"), F.lit(seed)) < F.col("p")).cast("double").alias("p"))
+        blocks = F.greatest(F.ceil(F.col("n") / block), F.lit(1))
+        held = _uniform(F.col("doc_id"), F.col("rep"), F.lit("held"), F.lit(seed)) * F.col("of") < HELD
+        tied = units.filter("not loose").join(classes, ["sid", "class"])
+        tied = scratch(tied.select("sid", "doc_id", "rep", "size", "p", held.alias("held"), F.pmod(F.xxhash64("doc_id", "rep", "size", F.lit(seed)), blocks).alias("block")))
+        root = tied.filter("held").drop("held", "block")  # a bounded number per source
+        tied = tied.filter("not held").drop("held")
+
+        parts, level = [solo], 0
+        while True:
+            folded = scratch(_fold(tied, ["sid", "block"], level, seed))
+            parts.append(folded.select("sid", F.explode("done").alias("x")).select("sid", "x.doc_id", "x.rep", "x.size", "x.p"))
+            left = folded.select("sid", "block", "open.doc_id", "open.rep", "open.size", "open.p")
+            if left.filter("block > 0").isEmpty():
+                break
+            tied, level = left.withColumn("block", F.floor(F.col("block") / block).cast("long")), level + 1
+        # at the root the documents held back, of all sizes, large ones first, settle what the tree left open
+        folded = scratch(_fold(root.unionByName(left.drop("block")), ["sid"], -1, seed))
         parts.append(folded.select("sid", F.explode("done").alias("x")).select("sid", "x.doc_id", "x.rep", "x.size", "x.p"))
-        left = folded.select("sid", "block", "open.doc_id", "open.rep", "open.size", "open.p")
-        if left.filter("block > 0").isEmpty():
-            break
-        tied, level = left.withColumn("block", F.floor(F.col("block") / block).cast("long")), level + 1
-    # at the root the documents held back, of all sizes, large ones first, settle what the tree left open
-    folded = written(_fold(root.unionByName(left.drop("block")), ["sid"], -1, seed))
-    parts.append(folded.select("sid", F.explode("done").alias("x")).select("sid", "x.doc_id", "x.rep", "x.size", "x.p"))
-    last = folded.select("sid", "open.*")
-    chance = _uniform(F.col("doc_id"), F.col("rep"), F.lit(seed), F.lit("root"))
-    parts.append(last.withColumn("p", F.when(F.col("p").isin(0.0, 1.0), F.col("p")).otherwise((chance < F.col("p")).cast("double"))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    out = out.join(goal.select("sid", "source", "source_size", "target", "ratio"), "sid")
-    copies = (F.floor("ratio") + F.round("p")).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+        last = folded.select("sid", "open.*")
+        chance = _uniform(F.col("doc_id"), F.col("rep"), F.lit(seed), F.lit("root"))
+        parts.append(last.withColumn("p", F.when(F.col("p").isin(0.0, 1.0), F.col("p")).otherwise((chance < F.col("p")).cast("double"))))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        out = out.join(goal.select("sid", "source", "source_size", "target", "ratio"), "sid")
+        copies = (F.floor("ratio") + F.round("p")).cast("long")
+        return written(out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")))
 
 
 def take_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of ``df``, each as often as :func:`mix` takes it.
+    """The rows of ``df``, each as often as :func:`mix` takes it; an empty table gives an empty one.
 
-    Where rows share an id, their copies are summed and dealt evenly to those rows, the first ones getting more.
+    Null and empty texts have no words, and stay or go by the fraction alone. Where rows share an id (or have none),
+    their copies are summed and dealt evenly to those rows, the first ones in order of source and text getting more.
+    Whole rows move once, in a join by id; columns of any name are kept.
     """
     copies = mix(df, id_col, text_col, source_col, **options).groupBy(F.col("doc_id").alias("__id")).agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__n"))
     copies = written(copies.filter("__copies > 0"))
-    one = copies.filter("__n = 1")
-    out = df.join(one, df[id_col].cast("long").eqNullSafe(one["__id"]))
-    many = copies.filter("__n > 1")
-    if not many.isEmpty():  # ids that rows share
-        some = df.join(many, df[id_col].cast("long").eqNullSafe(many["__id"]))
+    out = beside(df, copies, df[id_col].cast("long").eqNullSafe(copies["__id"]), "inner")
+    if not copies.filter("__n > 1").isEmpty():  # ids that rows share
         rank = F.row_number().over(Window.partitionBy("__id").orderBy(source_col, text_col))
         dealt = F.floor(F.col("__copies") / F.col("__n")) + (rank <= F.col("__copies") % F.col("__n")).cast("long")
-        out = out.unionByName(some.withColumn("__copies", dealt).filter("__copies > 0"))
+        some = out.filter("__n > 1").withColumn("__copies", dealt).filter("__copies > 0")
+        out = out.filter("__n = 1").unionByName(some)
     out = out.withColumn("__rep", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
     return out.drop("__id", "__copies", "__n", "__rep")

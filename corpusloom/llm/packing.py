@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import Scratch, written
 
 #: Items per batch, on average: what one task packs.
 BATCH_ITEMS = 50_000
@@ -96,16 +96,27 @@ class Encoder:
         return [self.whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, plain, strict=True)]
 
 
+_ENCODERS: dict[str | None, Encoder] = {}
+
+
+def encoder(path: str | None = None) -> Encoder:
+    """One encoder per worker process and tokenizer file: tasks that follow each other share what it has learned."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def cut(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1, tokenizer: str | None = None, ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and ``end_id``, cut only where longer than ``capacity``.
 
-    Null text is empty text: one piece with ``end_id`` alone. ``ids`` adds the ids as little-endian unsigned 32-bit bytes.
+    Null text is empty text: one piece with ``end_id`` alone. Rows that repeat are cut each; an empty table gives no
+    pieces. Other columns are not read. ``ids`` adds the ids as little-endian unsigned 32-bit bytes.
     """
     end = int(end_id).to_bytes(4, "little")
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         for batch in batches:
             rows: list[list] = [[] for _ in range(5 + ids)]
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -161,33 +172,38 @@ def pack(pieces: DataFrame, capacity: int = 4096, batch_items: int = BATCH_ITEMS
     """``pieces`` (any columns, among them ``length`` from 1 to ``capacity``) with sequence_id and offset.
 
     Sequences are gapless from offset 0 and never longer than ``capacity``. Repeated rows are separate items. An
-    empty table gives an empty result.
+    empty table gives an empty result. Columns of ``pieces`` may have any name; one named sequence_id or offset is
+    replaced. Merging ends with a single batch, or when a round leaves more than 95 % of its items: bins that
+    best-fit can't join pairwise any more.
     """
-    pieces = written(pieces.withColumn("uid", F.monotonically_increasing_id()))
-    items, rounds, level, before = pieces.select("uid", "length"), [], 0, None
-    while True:
-        n = items.count()
-        if n == 0 or before is not None and n > 0.95 * before:
-            break
-        batches = -(-n // batch_items)
-        deal = F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(batches))
-        done = written(_round(items.withColumn("batch", deal), capacity))
-        rounds.append(done)
-        if batches == 1:
-            break
-        # bins that may still take something go up
-        least = items.agg(F.min("length")).first()[0]
-        room = max(int(SLACK * capacity), least - 1)
-        items = done.filter((F.col("at") == 0) & (F.col("fill") < capacity - room)).select("uid", F.col("fill").alias("length"))
-        before, level = n, level + 1
-    if not rounds:
-        return pieces.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).drop("uid")
-    out = pieces.join(rounds[0].select("uid", F.col("bin").alias("sequence_id"), F.col("at").alias("offset")), "uid")
-    for up in rounds[1:]:
-        up = up.select(F.col("uid").alias("sequence_id"), "bin", "at")
-        out = out.join(up, "sequence_id", "left").withColumn("offset", F.col("offset") + F.coalesce("at", F.lit(0)))
-        out = out.withColumn("sequence_id", F.coalesce("bin", "sequence_id")).drop("bin", "at")
-    return out.drop("uid")
+    own = pieces.drop("sequence_id", "offset")
+    with Scratch(pieces.sparkSession) as scratch:
+        # the row as one column, so that no name of it meets a name used here
+        rows = scratch(own.select(F.struct("*").alias("row"), F.col("length").alias("length"), F.monotonically_increasing_id().alias("uid")))
+        items, rounds, level, before = rows.select("uid", "length"), [], 0, None
+        while True:
+            n = items.count()
+            if n == 0 or before is not None and n > 0.95 * before:
+                break
+            batches = -(-n // batch_items)
+            deal = F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(batches))
+            done = scratch(_round(items.withColumn("batch", deal), capacity))
+            rounds.append(done)
+            if batches == 1:
+                break
+            # bins that may still take something go up
+            least = items.agg(F.min("length")).first()[0]
+            room = max(int(SLACK * capacity), least - 1)
+            items = done.filter((F.col("at") == 0) & (F.col("fill") < capacity - room)).select("uid", F.col("fill").alias("length"))
+            before, level = n, level + 1
+        if not rounds:
+            return written(rows.select("row.*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
+        out = rows.join(rounds[0].select("uid", F.col("bin").alias("sequence_id"), F.col("at").alias("offset")), "uid")
+        for up in rounds[1:]:
+            up = up.select(F.col("uid").alias("sequence_id"), "bin", "at")
+            out = out.join(up, "sequence_id", "left").withColumn("offset", F.col("offset") + F.coalesce("at", F.lit(0)))
+            out = out.withColumn("sequence_id", F.coalesce("bin", "sequence_id")).drop("bin", "at")
+        return written(out.select("row.*", "sequence_id", "offset"))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

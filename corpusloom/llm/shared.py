@@ -21,28 +21,83 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share.
+    """A new path in the folder that driver and executors share, the one named in ``spark.checkpoint.dir``.
 
-    The folder is the one named in ``spark.checkpoint.dir``; only where a session names none (tests) is
-    the warehouse used. The path goes when the application ends.
+    Only a session on one machine (tests) may name none; its warehouse is used then. The path goes when the
+    application ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{base.rstrip('/')}/corpusloom-{uuid.uuid4().hex}"
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.conf.get("spark.master", "").startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    path = f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/corpusloom-{uuid.uuid4().hex}"
+    fs, p = _hadoop(spark, path)
+    fs.deleteOnExit(p)
     return path
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, its lineage cut, safe against lost executors."""
+#: Spark drops the shuffle files of a statement as soon as it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, its lineage cut, safe against lost executors.
+
+    Its shuffle files go with the statement that writes it, since nothing reads them again.
+    """
     spark = df.sparkSession
-    path = shared_dir(spark)
-    df.write.parquet(path)
+    path = path or shared_dir(spark)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables that an operator needs on its way: ``with Scratch(spark) as scratch: t = scratch(df)``.
+
+    ``drop`` deletes one; all that are left go at the end of the block. What the operator returns must be
+    :func:`written` by itself before that.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = shared_dir(self.spark)
+        out = written(df, path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            path, _ = self.paths.pop(id(t))
+            fs, p = _hadoop(self.spark, path)
+            fs.delete(p, True)
+
+    def __exit__(self, *_) -> None:
+        self.drop(*[t for _, t in self.paths.values()])
+
+
+def beside(df: DataFrame, decisions: DataFrame, on: Column, how: str) -> DataFrame:
+    """Whole rows joined with decisions about them that grow with the table: always by one shuffle of either side.
+
+    No broadcast, whatever the size, so that the plan that holds on a small table is the plan on a large one.
+    """
+    return df.hint("merge").join(decisions.hint("merge"), on, how)
+
+
 def without_spaces(text: Column) -> Column:
     """The text without white space; null counts as empty. Plain replaces are the fastest native form."""
     out = F.coalesce(text, F.lit(""))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, StringStartsWith, WriterCommitMessage
 
-from .shared import shared_dir, tune, written
+from .shared import beside, shared_dir, tune, written
 
 SCHEMA = "record_id string, record_type string, target_uri string, date string, content_type string, refers_to string, header_digest string, content_length long, payload_length long, payload_digest string, payload binary"
 #: Columns that a record's headers alone decide.
@@ -319,7 +319,7 @@ def register(spark: SparkSession) -> None:
 def archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
     """Writes one record per row to ``path``: of equal payloads of at least ``least`` bytes the smallest id is a
     response, the others revisit it. Null html is an empty payload. Rows that repeat the smallest id of a payload
-    are all responses; a null id is larger than any other. Payloads are not shuffled while few ids revisit."""
+    are all responses; a null id is larger than any other. Payloads move once, in a join by id and digest."""
     register(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.encode(F.coalesce(html_col, F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
@@ -328,7 +328,7 @@ def archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str =
     again = written(keys.join(several, "sha").filter("first IS NOT NULL AND NOT (id <=> first)").distinct())
     again = again.select(F.col("id").alias("again"), F.col("sha").alias("of"), "first")
     name = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")))
-    rows = rows.join(again, F.col("id").eqNullSafe(F.col("again")) & (F.col("sha") == F.col("of")), "left").select(
+    rows = beside(rows, again, F.col("id").eqNullSafe(F.col("again")) & (F.col("sha") == F.col("of")), "left").select(
         name("id").alias("record_id"),
         F.when(F.col("first").isNull(), "response").otherwise("revisit").alias("record_type"),
         F.col("url").alias("target_uri"),

@@ -221,6 +221,42 @@ def test_near_groups_find_chains_through_a_middle(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
 
 
+def test_look_alikes_are_never_written_as_pairs(spark, monkeypatch):
+    """Texts of similarity 0.71, none of them linked, and one pair that is."""
+    n = 700
+    shared = [f"s{i}" for i in range(204)]
+    rows = {k: " ".join([*shared, *(f"u{k}x{i}" for i in range(41))]) for k in range(n)}
+    rows[n] = rows[5].replace("u5x40", "other")
+    counts, call = [], near_dedup.Scratch.__call__
+
+    def counted(self, df):
+        out = call(self, df)
+        if out.columns == ["a", "b"]:
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup.Scratch, "__call__", counted)
+    got = near_dedup.near_groups(spark.createDataFrame(list(rows.items()), "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {k: 5 if k == n else k for k in rows}
+    assert max(counts) < 4 * n
+
+
+def test_linked_pairs_equal_brute_force():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(30)]
+    p, q = np.arange(0, 20), np.arange(10, 30)
+    want = [[100 * len(set(sets[i]) & set(sets[j])) >= 75 * len(set(sets[i]) | set(sets[j])) for j in q] for i in p]
+    assert (near_dedup.linked_pairs(sets, p, q, 75, columns=16) == np.array(want)).all()
+    assert [[near_dedup.linked(sets[i], sets[j], 75) for j in q] for i in p] == want
+
+
+def test_rows_that_share_an_id_are_linked_each_by_its_text(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    df = spark.createDataFrame([(1, a), (1, b), (1, b), (2, a + " end"), (3, b + " end"), (4, "alone in here")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_groups(df).collect())
+    assert got == [(1, 1, True)] * 3 + [(2, 1, False), (3, 1, False), (4, 4, True)]
+
+
 def test_registers_estimate_similarity():
     rng = np.random.default_rng(0)
     for n, small in ((400, True), (5000, False)):
@@ -296,6 +332,23 @@ def test_packing_round_trip(docs, odd, empty):
     assert packing.pack(packing.cut(empty)).count() == 0
 
 
+def test_packing_keeps_columns_of_any_name(spark):
+    names = ["at", "bin", "uid", "fill", "row", "batch", "sequence_id", "offset"]
+    df = spark.createDataFrame([(i, 1 + i % 7, *[f"{c}{i}" for c in names]) for i in range(30)], ["doc_id", "length", *names])
+    packed = packing.pack(df, capacity=16, batch_items=8)
+    assert packed.columns == ["doc_id", "length", *names]
+    rows = packed.collect()
+    assert sorted(tuple(r)[:8] for r in rows) == sorted((i, 1 + i % 7, *[f"{c}{i}" for c in names[:6]]) for i in range(30))
+    fill = collections.defaultdict(list)
+    for r in rows:
+        fill[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert all([o for o, _ in sorted(x)] == np.cumsum([0] + [n for _, n in sorted(x)])[:-1].tolist() and sum(n for _, n in x) <= 16 for x in fill.values())
+
+
+def test_encoder_is_kept_in_a_worker():
+    assert packing.encoder() is packing.encoder()
+
+
 # --- 6 ---
 def test_exact_groups_odd(odd, empty):
     for support in (0.001, 0.1):
