@@ -2,8 +2,10 @@
 
 A bounded sample gets its exact neighbour graph; the graph is cut into balanced parts with few links between them;
 a small network learns, from the vector alone, in which parts its neighbours lie. The network then deals every
-vector of the table to its most probable part, and sends each query to as many of its most probable parts as the
-sample says are needed for the wanted recall. There all candidates are scored exactly, in tiles of bounded size.
+vector of the table to its most probable part, or to its two most probable ones, and sends each query to as many of
+its most probable parts as queries of the sample that the network has not seen need for the wanted recall; one or
+two copies, whichever scores fewer vectors for it. There candidates are scored exactly, in tiles of bounded size.
+Parts grow with the table, as far as the sample allows.
 """
 
 from __future__ import annotations
@@ -18,14 +20,14 @@ from pyspark.sql import functions as F
 
 from .shared import groups, written
 
-#: Vectors the partitions are learned from, at most on average.
-SAMPLE = 4096
-#: Parts, at most; always a power of two, and of at least LEAST vectors.
-PARTS, LEAST = 32, 128
+#: Vectors the partitions are learned from: an eighth of the table, but LEAST_SAMPLE to SAMPLE on average.
+LEAST_SAMPLE, SAMPLE = 4096, 32_768
+#: Sample vectors a part has at least; parts are a power of two.
+LEAST = 32
 #: Candidates and queries that meet in one task, on average.
 TILE, QUERY_TILE = 2048, 1024
 #: Recall the number of probed parts is chosen for, measured on sample queries the network has not seen.
-RECALL = 0.97
+RECALL = 0.93
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -75,20 +77,28 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 8
 
 @dataclass
 class Router:
-    """A network of one hidden layer: probabilities of parts for vectors. ``probes``: parts a query is sent to."""
+    """A network of one hidden layer: probabilities of parts for vectors.
+
+    ``probes``: parts a query is sent to; ``copies``: parts a vector is dealt to; ``share``: of all vectors, those that
+    a query is scored against, and ``recall``, both as measured on unseen queries of the sample.
+    """
 
     w1: np.ndarray
     b1: np.ndarray
     w2: np.ndarray
     b2: np.ndarray
     probes: int = 1
+    copies: int = 1
+    share: float = 1.0
+    recall: float = 1.0
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
 
 def train(x: np.ndarray, y: np.ndarray, hidden: int = 128, epochs: int = 40, rate: float = 2e-3, seed: int = 5) -> Router:
-    """Cross entropy against shares of neighbours ``y`` by part, with Adam."""
+    """Cross entropy against shares of neighbours ``y`` by part, with Adam; fewer epochs over large samples."""
+    epochs = max(8, min(epochs, 240_000 // max(1, len(x))))
     rng = np.random.default_rng(seed)
     shape = ((x.shape[1], hidden), (hidden,), (hidden, y.shape[1]), (y.shape[1],))
     scale = 1 / max(1e-9, float(np.sqrt((x**2).mean())))
@@ -109,27 +119,50 @@ def train(x: np.ndarray, y: np.ndarray, hidden: int = 128, epochs: int = 40, rat
     return Router(*w)
 
 
-def fit(x: np.ndarray, total: int, k: int = 20, parts: int = PARTS, recall: float = RECALL) -> Router:
+def blank(dim: int) -> Router:
+    """One part, in which everything is."""
+    return Router(np.zeros((dim, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
+
+
+def fit(x: np.ndarray, total: int, k: int = 20, recall: float = RECALL, least: int = LEAST) -> Router:
     """A router from sample vectors of a table of ``total`` rows."""
     n = 1
-    while 2 * n <= min(parts, total // LEAST, len(x) // 32):
+    while 2 * n * least <= len(x):
         n *= 2
-    k = min(k, len(x) - 1)
-    if n == 1 or k < 1:
-        return Router(np.zeros((x.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
-    graph = neighbour_graph(x, k)
+    k_all = min(k, len(x) - 1)
+    if n == 1 or k_all < 1:
+        return blank(x.shape[1])
+    graph = neighbour_graph(x, k_all)
     part = balanced_parts(x, graph, n)
     share = np.zeros((len(x), n))
-    np.add.at(share, (np.repeat(np.arange(len(x)), k), part[graph].ravel()), 1.0)
-    share[np.arange(len(x)), part] += k  # a vector belongs with its neighbours, and with itself
+    np.add.at(share, (np.repeat(np.arange(len(x)), k_all), part[graph].ravel()), 1.0)
+    share[np.arange(len(x)), part] += k_all  # a vector belongs with its neighbours, and with itself
     share /= share.sum(axis=1, keepdims=True)
     unseen = np.arange(len(x)) % 4 == 0
     router = train(x[~unseen], share[~unseen])
     at = router.logits(x)
-    place = np.argsort(np.argsort(-at[unseen], axis=1, kind="stable"), axis=1)  # when each part would be probed
-    when = np.take_along_axis(place, at.argmax(axis=1)[graph[unseen]], axis=1)
-    reached = np.array([(when < m + 1).mean() for m in range(n)])
-    router.probes = int(np.argmax(reached >= recall)) + 1 if reached[-1] >= recall else n
+    # the k nearest of the table have so many of the sample among them
+    near = graph[unseen]
+    nearest = np.argsort(-np.take_along_axis(x[unseen] @ x.T, near, axis=1), axis=1, kind="stable")
+    near = np.take_along_axis(near, nearest, axis=1)[:, : max(3, round(k * len(x) / max(total, len(x))))]
+    order = np.argsort(-at, axis=1, kind="stable")
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.broadcast_to(np.arange(n), order.shape), axis=1)  # when each part would be probed
+    place, best = place[unseen], None
+    for copies in (1, 2):
+        own = order[:, :copies]
+        when = np.take_along_axis(place[:, None, :], own[near].reshape(len(near), 1, -1), axis=2).reshape(*near.shape, copies).min(axis=2)
+        reached = np.array([(when < m + 1).mean() for m in range(n)])
+        probes = int(np.argmax(reached >= recall)) + 1
+        # a vector with copies in several probed parts is scored once
+        scored = np.zeros((len(place), n), bool)
+        np.put_along_axis(scored, order[unseen][:, :probes], True, axis=1)
+        hit = scored[:, own[:, 0]]
+        for c in range(1, copies):
+            hit = hit | scored[:, own[:, c]]
+        if best is None or hit.mean() < best[2]:
+            best = (probes, copies, float(hit.mean()), float(reached[probes - 1]))
+    router.probes, router.copies, router.share, router.recall = best
     return router
 
 
@@ -145,18 +178,19 @@ def _matrix(col: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def top(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query: its number, and ids and scores of the k best, ties to the smaller id.
+def top(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, barred: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query: its number, and ids and scores of the k best that are not ``barred`` (query, vector), ties to
+    the smaller id.
 
     Scores are summed component by component in double precision, so equal vectors have equal scores; the matrix
     product only finds who can be among the best.
     """
     rough = query @ vectors.T
+    rough[barred] = -np.inf
     norms = np.sqrt((vectors**2).sum(axis=1))
     slack = 1e-10 * np.sqrt((query**2).sum(axis=1)) * norms.max(initial=0.0)
     for r in range(len(query)):
         s = rough[r]
-        s[ids == own[r]] = -np.inf
         least = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else -np.inf
         at = np.flatnonzero((s >= least - slack[r]) & np.isfinite(s))
         exact = (query[r] * vectors[at]).cumsum(axis=1)[:, -1]
@@ -164,7 +198,15 @@ def top(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray
         yield r, ids[at][best], exact[best]
 
 
-def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, parts: int = PARTS, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+def learn(rows: DataFrame, dim: int, total: int, k: int = 20, sample: int = SAMPLE, recall: float = RECALL, least: int = LEAST) -> Router:
+    """A router from a share of the rows (id, v), chosen by a hash of the id: an eighth, ``sample`` on average at most."""
+    most = min(sample, max(LEAST_SAMPLE, total // 8))
+    rate = int(min(1.0, most / total) * (1 << 30))
+    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < rate).select("id", "v").toPandas().sort_values("id")
+    return fit(np.stack(chosen["v"].to_list()).astype(float), total, k, recall, least) if len(chosen) else blank(dim)
+
+
+def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, sample: int = SAMPLE, recall: float = RECALL, least: int = LEAST) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``is_query``, the ``k`` best of all rows with another id.
 
     Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part,
@@ -179,30 +221,30 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
         return spark.createDataFrame([], schema)
     dim, total = dims[0]["d"], dims[0]["n"]
     rows = rows.filter(usable(F.col("v"), dim))
-    rate = int(min(1.0, sample / total) * (1 << 30))
-    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < rate).select("id", "v").toPandas().sort_values("id")
-    x = np.stack(chosen["v"].to_list()).astype(float) if len(chosen) else np.zeros((0, dim))
-    router = fit(x, total, k, parts, recall) if len(x) else Router(np.zeros((dim, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
+    router = learn(rows, dim, total, k, sample, recall, least)
     held = spark.sparkContext.broadcast(router)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = held.value
         for b in batches:
             if b.num_rows:
-                order = np.argsort(-r.logits(_matrix(b.column(1), dim)), axis=1, kind="stable")[:, : r.probes].astype(np.int32)
+                order = np.argsort(-r.logits(_matrix(b.column(1), dim)), axis=1, kind="stable")[:, : max(r.probes, r.copies)].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(order), pa.list_(pa.int32()))], names=["id", "v", "query", "parts"])
 
     routed = written(rows.mapInArrow(route, "id long, v array<double>, query boolean, parts array<int>"))
-    asked = routed.filter("query").dropDuplicates(["id"]).select("id", "v", F.explode("parts").alias("part"))
-    items = routed.select("id", "v", F.element_at("parts", 1).alias("part"))
-    # tiles by part: at most PARTS rows
+    probed = F.slice("parts", 1, router.probes)
+    asked = routed.filter("query").dropDuplicates(["id"]).select("id", "v", F.explode(probed).alias("part"), probed.alias("parts"))
+    # ``parts`` of a candidate are those it has a copy in before this one
+    items = routed.select("id", "v", "parts", F.posexplode(F.slice("parts", 1, router.copies)).alias("n", "part"))
+    items = items.select("id", "v", "part", F.when(F.col("n") > 0, F.slice("parts", F.lit(1), F.col("n"))).alias("parts"))
+    # tiles by part: one row a part, and at most one part for each LEAST vectors of the sample
     tiles = items.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     tiles = tiles.join(asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / QUERY_TILE).cast("int").alias("query_tiles")), "part")
     tiles = F.broadcast(tiles)
     deal = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = asked.join(tiles, "part").select("part", every("tiles").alias("t"), deal("query_tiles", 1).alias("q"), F.lit(True).alias("query"), "id", "v")
-    right = items.join(tiles, "part").select("part", deal("tiles", 2).alias("t"), every("query_tiles").alias("q"), F.lit(False).alias("query"), "id", "v")
+    left = asked.join(tiles, "part").select("part", every("tiles").alias("t"), deal("query_tiles", 1).alias("q"), F.lit(True).alias("query"), "id", "v", "parts")
+    right = items.join(tiles, "part").select("part", deal("tiles", 2).alias("t"), every("query_tiles").alias("q"), F.lit(False).alias("query"), "id", "v", "parts")
     met = left.unionByName(right).repartition("part", "t", "q").sortWithinPartitions("part", "t", "q")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +254,14 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
                 continue
             ids, v = g["id"].to_numpy(), _matrix(g["v"], dim)
             own, out = ids[query], ([], [], [])
-            for r, found, scores in top(v[query], v[~query], ids[~query], own, k):
+            parts = g["parts"].to_pylist()
+            asked_in, before = [p for p, q in zip(parts, query, strict=True) if q], [p for p, q in zip(parts, query, strict=True) if not q]
+            barred = own[:, None] == ids[~query][None, :]
+            if again := [i for i, p in enumerate(before) if p]:  # scored in an earlier part, if the query goes there
+                sets = [set(p) for p in asked_in]
+                for i in again:
+                    barred[:, i] |= [not s.isdisjoint(before[i]) for s in sets]
+            for r, found, scores in top(v[query], v[~query], ids[~query], barred, k):
                 for col, part in zip(out, (np.full(len(found), own[r]), found, scores), strict=True):
                     col.append(part)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["query_id", "vec_id", "score"])

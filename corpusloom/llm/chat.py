@@ -18,9 +18,20 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 SYSTEM = ("system",)
 
 
+#: Characters that may not stand in a name in a template head, and how they are written there.
+NAME_ESCAPES = {"%": "%25", " ": "%20", "\t": "%09", "\n": "%0A", "\r": "%0D", "<": "%3C", ">": "%3E", "|": "%7C"}
+
+
 def _clean(name: Column) -> Column:
-    """A speaker's name as it may stand in a template head: no white space, no angle brackets or bars."""
-    return F.regexp_replace(name, r"[\s<>|]+", "_")
+    """A speaker's name as it may stand in a template head; different names stay different."""
+    for ch, code in NAME_ESCAPES.items():
+        name = F.replace(name, F.lit(ch), F.lit(code))
+    return name
+
+
+def _harmless(text: Column) -> Column:
+    """The text without anything that reads as a control token: a space parts the bracket from the bar."""
+    return F.replace(text, F.lit("<|"), F.lit("< |"))
 
 
 def rotate(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", system: tuple[str, ...] = SYSTEM) -> DataFrame:
@@ -30,11 +41,12 @@ def rotate(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", rol
     and text (null first), ``start`` is the segment's first code point in the rendering, and the mask covers the
     body and the end mark of the perspective's own turns (length 0 elsewhere). A null text is empty, a null
     speaker is called ``unknown``; a dialogue of system turns alone has no participant and gives no rows. A null
-    conv_id is a dialogue of its own. Turns that repeat in full are rendered as often as they stand. Other
+    conv_id is a dialogue of its own. Control tokens in a text are written apart (``< |``), so that no text forges a
+    turn; names are escaped as in addresses. Turns that repeat in full are rendered as often as they stand. Other
     columns are ignored; an empty table gives an empty result.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("unknown")).alias("speaker"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = df.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("unknown")).alias("speaker"), _harmless(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     # slices of a dialogue: ranges of all turns in order, so that a long dialogue spreads over many tasks
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = written(rows.repartitionByRange(n, "conv", "turn", "speaker", "text").withColumn("slice", F.spark_partition_id()))

@@ -3,8 +3,9 @@
 Each language has a tree of byte contexts up to order 3. Under frozen counts a symbol seen n times among the N
 symbols (q of them distinct) that followed a context costs -log2(n / (N + q)) bits there, one not seen costs the
 escape, -log2(q / (N + q)), and then what it costs in the context one byte shorter; below the empty context all
-symbols are alike. The costs of every kept context, symbol and language are worked out once into a table, so that
-a text's exact code length under every language is a sum of table rows. The shortest code names the language.
+symbols are alike. Where that table is small the costs of every context, symbol and language are worked out once, and
+a text's exact code length under every language is a sum of table rows; else they are worked out for the different
+grams of the texts at hand. The shortest code names the language.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from .shared import tune
 
 #: Documents per language from which the trees are learned, at most on average; whole texts.
 DOCS_PER_LANGUAGE = 1500
-#: Byte values with a symbol of their own; rarer ones share symbol 0.
-MAX_SYMBOLS = 160
-#: Contexts of order 3 are kept while the table of costs has no more numbers than this.
-MAX_COSTS = 8_000_000
+#: Code lengths are looked up in one dense table of up to so many numbers; beyond that, in sorted ones. They are the same.
+MAX_DENSE = 8_000_000
+#: More different labels than this are no languages: an error.
+MAX_LANGUAGES = 5000
 #: Bytes scored at a time.
 CHUNK = 1 << 20
 
@@ -67,54 +68,65 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Trees:
     """The frozen context trees of all languages as one table of code lengths."""
 
-    def __init__(self, counts: pd.DataFrame):
+    def __init__(self, counts: pd.DataFrame, max_dense: int = MAX_DENSE):
         self.langs = sorted(counts["lang"].unique())
         gram, lang = counts["gram"].to_numpy(np.int64), np.searchsorted(self.langs, counts["lang"]).astype(np.int64)
         n = counts["n"].to_numpy(np.int64)
-        k = max(1, len(self.langs))
-        used = np.bincount(gram & 255, weights=n, minlength=256)
-        kept = [b for b in np.argsort(-used, kind="stable")[: MAX_SYMBOLS - 1].tolist() if used[b] or b == 32]
-        kept = sorted({*kept, 32})
+        # every byte that was seen is a symbol (prepared UTF-8 has at most 142), all others are symbol 0
+        kept = sorted({32, *np.unique(gram & 255).tolist()})
         self.symbol = np.zeros(256, np.int32)
         self.symbol[kept] = np.arange(1, len(kept) + 1)
         a = self.n_symbols = len(kept) + 1
         s = [self.symbol[gram >> shift & 255].astype(np.int64) for shift in (24, 16, 8, 0)]
-        contexts = [np.zeros_like(gram), s[2], s[1] * a + s[2], (s[0] * a + s[1]) * a + s[2]]
-
-        cost = np.full((1, a, k), np.log2(a), np.float32)  # below the empty context
-        node = np.zeros(a**3, np.int64)  # the node of each context of three symbols: the longest kept one
-        below = np.zeros(1, np.int64)  # the parent's row for each node of the order at hand
-        row_of = {-1: np.zeros(1, np.int64)}
-        tables, begin = [], 0
+        # by order: sorted keys of (language, context) with the cost of the escape, of (language, context, symbol) with its cost
+        self.escapes, self.costs = [], []
+        for order in range(4):
+            context = (lang * a**order + self._context(s, order)) * a + s[3]
+            keys, at = np.unique(context, return_inverse=True)
+            freq = np.bincount(at, weights=n, minlength=len(keys))
+            contexts, of, distinct = np.unique(keys // a, return_inverse=True, return_counts=True)
+            total = np.bincount(of, weights=freq, minlength=len(contexts))
+            self.escapes.append((contexts, -np.log2(distinct / (total + distinct)) if len(contexts) else total))
+            self.costs.append((keys, -np.log2(freq / (total + distinct)[of]) if len(keys) else freq))
+        self.node = None
+        seen = np.unique(self._context(s, 3))
+        if (len(seen) + a * a) * a * max(1, len(self.langs)) <= max_dense:
+            self._fill(seen)
+
+    def _context(self, s: list[np.ndarray], order: int) -> np.ndarray:
+        """The last ``order`` of the three symbols before one, as a number."""
+        a = self.n_symbols
+        return [np.zeros_like(s[3]), s[2], s[1] * a + s[2], (s[0] * a + s[1]) * a + s[2]][order]
+
+    def _bits(self, s: list[np.ndarray], lang: int) -> np.ndarray:
+        """Exact cost of each symbol ``s[3]`` after the three others in one language."""
+        a = self.n_symbols
+        out = np.full(len(s[3]), np.log2(a))
         for order in range(4):
-            seen = np.unique(contexts[order])
-            if order == 3:  # as many as there is room for, the most frequent first
-                room = max(0, MAX_COSTS // (a * k) - begin)
-                weight = np.bincount(np.searchsorted(seen, contexts[3]), weights=n, minlength=len(seen))
-                seen = np.sort(seen[np.argsort(-weight, kind="stable")[:room]])
-            at = np.searchsorted(seen, contexts[order])
-            ok = (at < len(seen)) & (seen[np.minimum(at, max(0, len(seen) - 1))] == contexts[order]) if len(seen) else np.zeros(len(gram), bool)
-            freq = np.zeros((len(seen), a, k))
-            np.add.at(freq, (at[ok], s[3][ok], lang[ok]), n[ok])
-            if order:
-                shorter = seen % a ** (order - 1)  # the context without its first symbol
-                below = row_of[order - 1][shorter]
-            parent = (cost if order == 0 else np.concatenate(tables))[below if order else np.zeros(len(seen), np.int64)]
-            total, distinct = freq.sum(axis=1, keepdims=True), (freq > 0).sum(axis=1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                here = np.where(freq > 0, -np.log2(freq / (total + distinct)), -np.log2(distinct / (total + distinct)) + parent)
-            tables.append(np.where(total > 0, here, parent).astype(np.float32))  # a context that a language never has costs nothing
-            rows = np.full(a**order, -1, np.int64)
-            rows[seen] = begin + np.arange(len(seen))
-            if order:
-                rows = np.where(rows < 0, np.tile(row_of[order - 1], a), rows)
-            else:
-                rows = np.maximum(rows, 0)
-            row_of[order] = rows
-            begin += len(seen)
-        node = row_of[3]
-        self.node = (node * a).astype(np.int32)
-        self.cost = np.ascontiguousarray(np.concatenate(tables).reshape(-1, k)) if len(gram) else np.zeros((a, 1), np.float32)
+            context = lang * a**order + self._context(s, order)
+            (known, escape), (keys, cost) = self.escapes[order], self.costs[order]
+            if not len(known):
+                continue
+            at = np.minimum(np.searchsorted(known, context), len(known) - 1)
+            out = np.where(known[at] == context, escape[at] + out, out)  # a context that a language never has costs nothing
+            at = np.minimum(np.searchsorted(keys, context * a + s[3]), len(keys) - 1)
+            out = np.where(keys[at] == context * a + s[3], cost[at], out)
+        return out
+
+    def _fill(self, seen: np.ndarray) -> None:
+        """The dense table: a row for each context of three symbols that was seen, and for each pair of symbols."""
+        a = self.n_symbols
+        pairs = np.arange(a * a, dtype=np.int64)
+        first = np.concatenate([seen // (a * a), np.zeros_like(pairs)])  # symbol 0 has never been seen
+        rest = np.concatenate([seen % (a * a), pairs])
+        s = [np.repeat(x, a) for x in (first, rest // a, rest % a)]
+        s.append(np.tile(np.arange(a, dtype=np.int64), len(first)))
+        self.cost = np.zeros((len(s[3]), max(1, len(self.langs))), np.float32)
+        for lang in range(len(self.langs)):
+            self.cost[:, lang] = self._bits(s, lang)
+        node = np.tile(len(seen) + pairs.astype(np.int32), a)
+        node[seen] = np.arange(len(seen))
+        self.node = node * np.int32(a)
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each prepared text under each language."""
@@ -133,23 +145,34 @@ class Trees:
 
     def _add(self, out: np.ndarray, held: list[tuple[int, bytes]], a: int) -> None:
         x = self.symbol[np.frombuffer(b"".join(t for _, t in held), np.uint8)]
-        bits = self.cost[self.node[(x[:-3] * a + x[1:-2]) * a + x[2:-1]] + x[3:]]
         ends = np.cumsum([len(t) for _, t in held])
         starts = ends - [len(t) for _, t in held]
         # windows that reach over two texts belong to none
         cuts = np.column_stack([starts, ends - 3]).ravel()[:-1]
-        sums = np.add.reduceat(bits, cuts, axis=0, dtype=np.float64)[::2]
-        np.add.at(out, [i for i, _ in held], sums)
+        rows = [i for i, _ in held]
+        if self.node is not None:
+            bits = self.cost[self.node[(x[:-3] * a + x[1:-2]) * a + x[2:-1]] + x[3:]]
+            np.add.at(out, rows, np.add.reduceat(bits, cuts, axis=0, dtype=np.float64)[::2])
+            return
+        x = x.astype(np.int64)
+        grams, at = np.unique(((x[:-3] * a + x[1:-2]) * a + x[2:-1]) * a + x[3:], return_inverse=True)
+        s = [grams // a**3, grams // a**2 % a, grams // a % a, grams % a]
+        for lang in range(len(self.langs)):
+            np.add.at(out[:, lang], rows, np.add.reduceat(self._bits(s, lang)[at], cuts)[::2])
 
 
 def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_language: int = DOCS_PER_LANGUAGE) -> Trees:
     """Trees from a sample of the rows of ``df`` that have a text and a language.
 
     The sample is a share of each language's rows, chosen by a hash of the id so that ``docs_per_language`` are
-    expected; its counts, not its texts, come to the driver.
+    expected; its counts, not its texts, come to the driver. More than ``MAX_LANGUAGES`` labels are an error. Rows
+    that repeat count each; an empty table gives trees of no language.
     """
     rows = df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    rates = {r["lang"]: min(1.0, docs_per_language / r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels: these are no languages")
+    rates = {r["lang"]: min(1.0, docs_per_language / r["n"]) for r in sizes}
     if not rates:
         return Trees(pd.DataFrame({"lang": [], "gram": [], "n": []}))
     rate = F.create_map(*(F.lit(x) for kv in rates.items() for x in kv))[F.col("lang")]
@@ -189,7 +212,11 @@ def predict(df: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str =
 
 
 def keep_known(df: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, whose language is not ``und``; in one pass, without a join."""
+    """The rows of ``df``, all columns, whose language is not ``und``; in one pass, without a join.
+
+    Null and empty texts and those without a letter go, and all go where no language was learned. Rows that repeat
+    stay each. Columns of any name are kept; an empty table gives an empty one.
+    """
     tune(df.sparkSession)
     held = df.sparkSession.sparkContext.broadcast(trees)
     at = df.columns.index(text_col)

@@ -3,7 +3,8 @@
 All templates go into one suffix automaton over word numbers. A document is streamed through it once: at each
 word the automaton knows the longest suffix of the text so far that occurs in any template (the matching
 statistic). Complete phrases are read off the suffix links. Maximal matches of some length are chained, template
-by template, where they keep their order in both, and a chain that covers enough of its template is a span.
+by template, where they keep their order in both, and a chain that covers enough of its template is a span. Short
+templates must be covered whole, and the first number of any template (its version) must be covered in any case.
 """
 
 from __future__ import annotations
@@ -25,13 +26,19 @@ PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserv
 TEMPLATES: list[tuple[str, str]] = [
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("apache-1.1", "Licensed under the Apache License, Version 1.1"),
     ("mit", "Released under the MIT License"),
     ("mit", "Licensed under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("gpl-2.0-notice", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("gpl-3.0-notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("gpl-2.0", "licensed under the GNU General Public License, version 2"),
     ("gpl-3.0", "licensed under the GNU General Public License, version 3"),
     ("lgpl", "GNU Lesser General Public License"),
     ("agpl", "GNU Affero General Public License"),
@@ -101,46 +108,87 @@ class Automaton:
         return new
 
 
-def _chain(matches: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
-    """Chains of (text start, template start, length) as (covered words, first word, last word + 1).
+#: What a word between two matches of a chain takes from its weight: of chains that cover as much, the closest.
+_FAR = 1e-4
 
-    Weighted longest chain that moves forward in the template, cut where the text leaves a wide gap. Overlaps in
-    the text are trimmed. Matches come in the order of their ends in the text.
+Match = tuple[int, int, int]  # text start, template start, length
+
+
+def _follow(a: Match, b: Match) -> tuple[Match, int] | None:
+    """``b`` after ``a`` in a chain, without what they share in text or template, and the words between; or None."""
+    cut = max(0, a[0] + a[2] - b[0], a[1] + a[2] - b[1])
+    if b[0] <= a[0] or b[1] <= a[1] or cut >= b[2]:
+        return None
+    return (b[0] + cut, b[1] + cut, b[2] - cut), b[0] + cut - a[0] - a[2]
+
+
+def chains(matches: list[Match], gap: int) -> list[list[Match]]:
+    """Chains that don't meet in the text, the heaviest first; every match is in one at most.
+
+    A chain moves forward in text and template, with no more than ``gap`` words of text between two of its matches,
+    and what two matches share is counted once. Its weight is the words it covers, less a little for each between.
+    Matches come in the order of their ends in the text; of chains with the same weight, the first comes first.
     """
-    starts: list[int] = []  # a staircase: template end and best covered so far, both rising
-    best: list[tuple[int, int, int]] = []
-    found: tuple[int, int, int] | None = None
-    for at, template_at, n in matches:
-        k = bisect_left(starts, template_at + 1)
-        covered, first, last = best[k - 1] if k else (0, at, at)
-        here = max((covered + n - max(0, last - at), first, at + n), (n, at, at + n), key=lambda x: x[0])
-        end = template_at + n
-        k = bisect_left(starts, end)
-        while k < len(starts) and best[k][0] <= here[0]:
-            del starts[k], best[k]
-        if not k or best[k - 1][0] < here[0]:
-            starts.insert(k, end)
-            best.insert(k, here)
-        if found is None or here[0] > found[0]:
-            found = here
-    if found is not None:
-        yield found
+    best: list[tuple[float, int, Match]] = []  # weight, match before or -1, the match itself as trimmed
+    begin = 0
+    for i, m in enumerate(matches):
+        while begin < i and matches[begin][0] + matches[begin][2] + gap < m[0]:
+            begin += 1
+        here = (float(m[2]), -1, m)
+        for j in range(begin, i):
+            if step := _follow(best[j][2], m):
+                trimmed, between = step
+                if between <= gap and (weight := best[j][0] + trimmed[2] - _FAR * between) > here[0]:
+                    here = (weight, j, trimmed)
+        best.append(here)
+    out, taken = [], [False] * len(matches)
+    spans: list[tuple[int, int]] = []  # of the text, sorted, apart
+    for i in sorted(range(len(matches)), key=lambda i: (-best[i][0], i)):
+        chain, j = [], i
+        while j >= 0 and not taken[j]:
+            chain.append(j)
+            j = best[j][1]
+        if not chain:
+            continue
+        found = [best[j][2] for j in reversed(chain)]
+        first, last = found[0][0], found[-1][0] + found[-1][2]
+        at = bisect_left(spans, (first, last))
+        if at < len(spans) and spans[at][0] < last or at and spans[at - 1][1] > first:
+            taken[i] = True
+            continue
+        spans.insert(at, (first, last))
+        for j in chain:
+            taken[j] = True
+        out.append(found)
+    return out
+
+
+def _first_numbers(template: list[bytes]) -> list[int]:
+    out: list[int] = []
+    for i, w in enumerate(template):
+        if w.isdigit() and (not out or out[-1] == i - 1):
+            out.append(i)
+    return out
 
 
 class Scanner:
     """Finds phrases and template spans in lists of words.
 
-    ``min_match`` words make a match worth chaining, ``coverage`` of a template's words make a span, and a chain
-    breaks where the text has more than ``gap`` words between two matches.
+    ``min_match`` words make a match worth chaining, ``coverage`` of a template's words make a span (all of them in
+    templates of up to ``short`` words), the first number of a template must be among them, and a chain breaks where
+    the text has more than ``gap`` words between two matches.
     """
 
-    def __init__(self, phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES, min_match: int = 3, coverage: float = 0.75, gap: int = 60):
+    def __init__(self, phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES, min_match: int = 3, coverage: float = 0.75, gap: int = 60, short: int = 20):
         texts = [*((label, p, True) for p, label in phrases.items()), *((label, t, False) for label, t in templates)]
         self.labels = [x[0] for x in texts]
         split = [words(x[1].encode()) for x in texts]
         self.numbers = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for s in split for w in s))}
         self.sizes = [len(s) for s in split]
-        self.n_phrases, self.min_match, self.coverage, self.gap = len(phrases), min_match, coverage, gap
+        self.n_phrases, self.min_match, self.gap = len(phrases), min_match, gap
+        self.wanted = [n if n <= short else coverage * n for n in self.sizes]
+        # the places of the first run of numbers in each template
+        self.numbered = [_first_numbers(x) for x in split]
         self.automaton = a = Automaton([[self.numbers[w] for w in s] for s in split])
         # the phrases that end at each state, longest string first, also by its suffix links
         self.phrases: list[list[int]] = [[] for _ in a.next]
@@ -182,13 +230,10 @@ class Scanner:
                         places.append((i + 1 - sizes[t], t))
         spans = []
         for t, found in matches.items():
-            part: list[tuple[int, int, int]] = []
-            for m in [*found, None]:
-                if part and (m is None or m[0] - part[-1][0] - part[-1][2] > self.gap):
-                    spans += [(t, c, first, last) for c, first, last in _chain(part) if min(c, sizes[t]) >= self.coverage * sizes[t]]
-                    part = []
-                if m:
-                    part.append(m)
+            for chain in chains(found, self.gap):
+                covered = sum(n for *_, n in chain)
+                if covered >= self.wanted[t] and all(any(at <= k < at + n for _, at, n in chain) for k in self.numbered[t]):
+                    spans.append((t, covered, chain[0][0], chain[-1][0] + chain[-1][2]))
         return places, self._own(spans)
 
     def _keep(self, matches: dict, state: int, l: int, end: int, x: int) -> None:

@@ -48,21 +48,25 @@ def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(_table(spark, sf_dir, "conversations"))
 
 
+_NAME = "speaker"
+for _ch, _code in chat.NAME_ESCAPES.items():
+    _NAME = f"replace({_NAME}, chr({ord(_ch)}), '{_code}')"
+
 OP4_SQL = r"""
-WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
      n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, speaker, text) - 1 AS seq FROM t),
      people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
      r AS (SELECT n.conv_id, perspective, seq, turn, speaker,
                   CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS role, text
            FROM n JOIN people p ON n.conv_id IS NOT DISTINCT FROM p.conv_id),
-     h AS (SELECT *, '<|im_start|>' || CASE role WHEN 'user' THEN 'user name=' || regexp_replace(speaker, '[\s<>|]+', '_', 'g') ELSE role END || chr(10) AS head FROM r),
+     h AS (SELECT *, '<|im_start|>' || CASE role WHEN 'user' THEN 'user name=' || {NAME} ELSE role END || chr(10) AS head FROM r),
      s AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS segment FROM h),
      p AS (SELECT *, CAST(coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM s)
 SELECT conv_id, perspective, seq, turn, speaker, role, segment, start, length(segment) AS length,
        start + CASE role WHEN 'assistant' THEN length(head) ELSE 0 END AS mask_start,
        CASE role WHEN 'assistant' THEN length(text) + 11 ELSE 0 END AS mask_length
 FROM p
-"""
+""".replace("{NAME}", _NAME)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 #: Labelled rows from which everything is learned, at most on average; whole texts.
 MAX_LABELLED = 24_000
 #: Learned terms: in so many toxic documents at least, and so much likelier there (natural logarithm).
-MIN_DOCS, MIN_ODDS, MAX_TERMS = 3, 2.5, 20_000
+MIN_DOCS, MIN_ODDS = 3, 2.5
 #: Lengths of word beginnings, in bytes.
 PREFIXES = (4, 5, 6)
 #: Words and their weights kept in a worker; emptied when full.
@@ -97,7 +97,7 @@ def _terms(words: set[bytes]) -> set[bytes]:
 PARTS = 3
 
 
-def learn_terms(df: DataFrame, max_terms: int = MAX_TERMS) -> list[dict[bytes, float]]:
+def learn_terms(df: DataFrame) -> list[dict[bytes, float]]:
     """Terms that stand in many more toxic documents of (text, toxic, part) than others, and their log odds.
 
     One dictionary for each part, learned from the other parts, and at last one from all.
@@ -124,7 +124,7 @@ def learn_terms(df: DataFrame, max_terms: int = MAX_TERMS) -> list[dict[bytes, f
     good = sum((F.col(n) for n in names[::2]), F.lit(0))
     # what no part can do without, before anything comes to the driver
     rows = rows.filter((bad >= MIN_DOCS) & (F.log(bad + 0.5) - F.log(good + 0.5) >= MIN_ODDS - 1 + float(np.log((size[1::2].sum() + 1) / (size[::2].sum() + 1)))))
-    found = rows.orderBy(bad.desc(), "term").limit(max_terms).toPandas()
+    found = rows.toPandas()  # bounded by the labelled rows: each term stands in MIN_DOCS toxic ones at least
     n = found[names].to_numpy(float)
     out = []
     for part in range(PARTS + 1):
@@ -230,7 +230,9 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A model from rows of ``df`` whose id has a label of 0 or 1 in ``labels``.
 
     A document labelled several times is toxic if any label says so. Of more than ``max_labelled`` labels a share
-    is chosen by a hash of the id. Terms, numbers of features and labels come to the driver, no texts.
+    is chosen by a hash of the id. Terms, numbers of features and labels come to the driver, no texts. Null texts
+    count as empty, and rows of ``df`` that repeat count each. Without labels of both kinds, or with an empty table,
+    the model scores by the share of insults alone.
     """
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("toxic"))
     n = known.count()

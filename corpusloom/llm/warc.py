@@ -171,6 +171,8 @@ class Member:
         start = self.data.index(b"\r\n\r\n") + 4
         parts, have = [self.data[start:]], len(self.data) - start
         while have < length:
+            if self.z.eof:
+                raise EOFError(f"the record at byte {self.at} is shorter than it says")
             parts.append(self._more(1 << 20))
             have += len(parts[-1])
         self.z_left = None
