@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from .plans import corpus, language, scoring
+from .plans import corpus, frontend, language, scoring
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _plan in (corpus, language, scoring):
+for _plan in (corpus, language, scoring, frontend):
     QUERIES |= _plan.QUERIES
     ORACLES |= _plan.ORACLES
 

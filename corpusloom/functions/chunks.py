@@ -18,6 +18,19 @@ def merge_short(sentences: Column, least: int, most: int) -> Column:
     return F.aggregate(sentences, F.array().cast("array<string>"), step)
 
 
+def merge_spoken(sentences: Column, least: int, most: int) -> Column:
+    """:func:`merge_short` of (text, phonemes) structs by the length of the phones; texts go with them."""
+
+    def step(acc: Column, s: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        a, b = F.char_length(last["phonemes"]), F.char_length(s["phonemes"])
+        joins = F.coalesce(((a < least) | (b < least)) & (a + b + 1 <= most), F.lit(False))
+        both = F.struct(F.concat_ws(" ", last["text"], s["text"]).alias("text"), F.concat_ws(" ", last["phonemes"], s["phonemes"]).alias("phonemes"))
+        return F.when(joins, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(both))).otherwise(F.concat(acc, F.array(s)))
+
+    return F.aggregate(sentences, F.array().cast("array<struct<text:string,phonemes:string>>"), step)
+
+
 def fill_lines(text: Column, limit: int) -> Column:
     """Pieces that end in a mark, packed greedily to at most ``limit`` characters; longer pieces are cut hard."""
     pieces = F.filter(F.split(text, r"(?<=[,.!?;:…]) "), lambda p: p != "")

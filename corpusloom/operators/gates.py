@@ -13,6 +13,38 @@ def gate(value: Column, test: Column) -> Column:
     return F.when(value.isNotNull() & ~F.isnan(value), test)
 
 
+# --- fixed values: the margins of the evaluation ---
+OOD_MARGIN, APPENDIX_MARGIN, BASELINE_MARGIN, WER_MARGIN = 0.03, 0.06, 0.05, 0.05
+MIXED_PCER, MIXED_PCER_EN, LEAST_MOS, MOS_MARGIN = 0.10, 0.15, 3.5, 0.3
+MOST_CLIPPING, MOST_SILENCE, COMB_MARGIN = 0.001, 1.5, 3.0
+# --- end of fixed values ---
+
+
+def evaluation(df: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, one column per gate) of measured metrics by name; NaN counts as missing.
+
+    A gate that needs a baseline, a naturalness score or a real recording is null without it; the others fail without
+    their value, as a comparison with NaN does.
+    """
+    m = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    must = lambda test: F.coalesce(test, F.lit(False))
+    mos, real = F.coalesce(m("utmos"), m("dnsmos")), m("real_mos")
+    tests = {
+        "ood_cer": m("ood_cer") <= m("floor") + OOD_MARGIN,
+        "beats_baseline": F.when(m("base_cer").isNotNull(), must(m("appendix_cer") < m("base_cer") - BASELINE_MARGIN)),
+        "appendix_cer": must(m("appendix_cer") <= m("floor") + APPENDIX_MARGIN),
+        "mixed_pcer": must(m("mixed_pcer") <= MIXED_PCER),
+        "mixed_pcer_en": m("mixed_pcer_en") <= MIXED_PCER_EN,
+        "no_english_word_lost": must(m("words_lost") == 0),
+        "english_wer": F.when(m("base_wer").isNotNull(), must(m("english_wer") <= m("base_wer") + WER_MARGIN)),
+        "naturalness": F.when(mos.isNotNull(), (mos >= LEAST_MOS) | must(mos >= real - MOS_MARGIN)),
+        "no_clipping": must(m("clipping_max") < MOST_CLIPPING),
+        "no_long_silence": must(m("max_silence") <= MOST_SILENCE),
+        "no_comb": m("comb_median") <= m("real_comb") + COMB_MARGIN,
+    }
+    return df.select(*keys, *[t.alias(f"g_{n}") for n, t in tests.items()])
+
+
 def passed(gates: Sequence[str]) -> Column:
     """True unless a gate is false: gates without a value do not count."""
     out = F.lit(True)

@@ -24,8 +24,19 @@ def merge(records: DataFrame) -> DataFrame:
     """(seq, word, pron, source) in order of seq to one entry per word: word, pron, source, variants, seq.
 
     A better source replaces the entry, old variants included; a record that is not better adds its pronunciation
-    as a variant. So the entry is the first record of the best rank, and variants are what came after it.
+    as a variant. So the entry is the first record of the best rank, and variants are what came after it, behind those
+    that the entry's own record has in ``variants`` (an optional array). A record whose optional ``override`` holds
+    replaces whatever came before it.
     """
+    if "override" in records.columns:
+        reset = records.filter("override").groupBy(F.col("word").alias("__w")).agg(F.max("seq").alias("__reset"))
+        records = records.join(reset, F.col("word") == F.col("__w"), "left").filter("seq >= coalesce(__reset, seq)").drop("__w", "__reset")
+    if "variants" in records.columns:
+        plain = merge(records.drop("variants", "override"))
+        entry = records.groupBy(F.col("word").alias("__w")).agg(F.min_by(F.coalesce("variants", F.array().cast("array<string>")), F.struct(rank(F.col("source")), "seq")).alias("__own"))
+        out = plain.join(entry, F.col("word") == F.col("__w"))
+        own = F.concat("__own", F.array_except("variants", "__own"))
+        return out.select("word", "pron", "source", own.alias("variants"), "seq")
     first = records.groupBy("word", "pron", "source").agg(F.min("seq").alias("seq"))  # few rows, before the sort that min_by needs
     best = first.groupBy("word").agg(F.min_by(F.struct("seq", "pron", "source"), F.struct(rank(F.col("source")), "seq")).alias("w"), F.min("seq").alias("first_seq"))
     later = records.join(best, "word").filter((F.col("seq") > F.col("w.seq")) & (F.col("pron") != F.col("w.pron")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -102,3 +103,120 @@ def comb_peak(rate: int, lo_ms: float = 12.5, hi_ms: float = 30.0, n_fft: int =
         return samples.map(one)
 
     return run
+
+
+def audit(df: DataFrame, speaker: str, clip: str, rolloff: str, high: str, per_speaker: int = 30, limit: float = 8000.0, seed: int = 0) -> DataFrame:
+    """(speaker, n_sampled, n_clips, rolloff_hz, high_percent, band_limited): means over a pseudo-random sample of each
+    speaker's clips; clips without a measure are left out of the means. ``band_limited`` is null without any."""
+    order = F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(clip).cast("string"))), clip)
+    rank = F.row_number().over(Window.partitionBy(speaker).orderBy(order))
+    sample = df.select(speaker, clip, rolloff, high).withColumn("__r", rank).filter(F.col("__r") <= per_speaker)
+    means = sample.groupBy(speaker).agg(F.count(rolloff).alias("n_sampled"), F.avg(rolloff).alias("__m"), F.avg(high).alias("__h"))
+    clips = df.groupBy(F.col(speaker).alias("__s")).agg(F.count(F.lit(1)).alias("n_clips"))
+    out = clips.join(means, F.col("__s").eqNullSafe(F.col(speaker)))
+    return out.select(speaker, "n_sampled", "n_clips", F.round("__m", 1).alias("rolloff_hz"), F.round(100 * F.col("__h"), 3).alias("high_percent"), (F.col("__m") < limit).alias("band_limited"))
+
+
+def assert_full_band(references: DataFrame, verdicts: DataFrame, speaker: str) -> DataFrame:
+    """``references`` of speakers, or an error that names one whose audit says that it is band-limited."""
+    bad = verdicts.filter("band_limited").select(F.col(speaker).alias("__bad"), "rolloff_hz")
+    rows = references.join(bad, F.col(speaker) == F.col("__bad"), "left")
+    message = F.concat(F.lit("band-limited, no reference: "), F.col(speaker).cast("string"))
+    return rows.filter(F.when(F.col("__bad").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))).drop("__bad", "rolloff_hz")
+
+
+def _levels(y: np.ndarray, frame: int = 2048, hop: int = 512) -> np.ndarray:
+    """RMS of frames centred on every ``hop``-th sample, in decibels below the loudest frame; zeros around the clip."""
+    padded = np.pad(y.astype(np.float64), frame // 2)
+    rms = np.sqrt((np.lib.stride_tricks.sliding_window_view(padded, frame)[::hop] ** 2).mean(axis=1))
+    return 20 * np.log10(np.maximum(rms, 1e-5) / max(1e-5, rms.max(initial=0.0)))
+
+
+def resample(y: np.ndarray, rate: int, target: int) -> np.ndarray:
+    """Band-limited resampling by the spectrum; a clip of any length gets round(n * target / rate) samples."""
+    n = round(len(y) * target / rate)
+    if rate == target or not len(y) or not n:
+        return y
+    spectrum = np.fft.rfft(y)
+    out = np.zeros(n // 2 + 1, complex)
+    k = min(len(out), len(spectrum))
+    out[:k] = spectrum[:k]
+    return np.fft.irfft(out, n) * n / len(y)
+
+
+def clean_clip(samples, rate: int, target: int = 24_000, top_db: float = 40.0, pad: float = 0.1, least: float = 1.5) -> tuple[str, np.ndarray | None]:
+    """(reason, samples): resampled, its peak at -1 dBFS, silence at the ends cut but for ``pad`` seconds; reasons are
+    decode_error, silent, too_short, kept."""
+    if samples is None or not rate:
+        return "decode_error", None
+    y = resample(np.asarray(samples, np.float64), int(rate), target)
+    peak = float(np.abs(y).max(initial=0.0))
+    if peak <= 1e-4:
+        return "silent", None
+    y = y / peak * 10 ** (-1 / 20)
+    loud = np.flatnonzero(_levels(y) > -top_db)
+    first, last = (int(loud[0]) * 512, min(len(y), (int(loud[-1]) + 1) * 512)) if len(loud) else (0, 0)
+    margin = int(pad * target)
+    y = y[max(0, first - margin) : min(len(y), last + margin)]
+    return ("too_short", None) if len(y) / target < least else ("kept", y)
+
+
+def split_clip(y: np.ndarray, sentences: list[str], rate: int = 24_000, most: float = 20.0, least: float = 1.5, gap: float = 0.3, top_db: float = 35.0) -> list[tuple[np.ndarray, str]]:
+    """The parts of a long clip at its pauses, each with its sentence; none if pauses and sentences don't agree in
+    number, or a part is too short or too long."""
+    loud = _levels(y) > -top_db
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], loud, [False]]).astype(int)))
+    spans = np.minimum(edges * 512, len(y)).reshape(-1, 2)
+    if len(spans) < 2:
+        return []
+    pauses = np.flatnonzero((spans[1:, 0] - spans[:-1, 1]) / rate >= gap)
+    if not len(pauses) or len(pauses) + 1 != len(sentences):
+        return []
+    ends = [*(spans[pauses, 1] + int(0.15 * rate)).tolist(), len(y)]
+    starts = [0, *(max(0, e - int(0.1 * rate)) for e in ends[:-1])]
+    parts = [y[a:b] for a, b in zip(starts, ends, strict=True)]
+    return list(zip(parts, sentences, strict=True)) if all(least <= len(p) / rate <= most for p in parts) else []
+
+
+def prepare_clips(df: DataFrame, key: str, samples: str, rate: str, text: str, target: int = 24_000, most: float = 20.0) -> DataFrame:
+    """(key, part, reason, text, dur, samples): clips made ready, long ones in parts; a clip that is left out is one row
+    with its reason (decode_error, silent, too_short, too_long_dropped) and without samples."""
+    kind = dict(df.dtypes)[key]
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for k, y, r, t in zip(pdf["key"], pdf["samples"], pdf["rate"], pdf["text"], strict=True):
+                reason, clean = clean_clip(y, 0 if pd.isna(r) else int(r), target)
+                parts = [(clean, t)] if clean is not None else []
+                if clean is not None and len(clean) / target > most:
+                    sentences = [s for s in re.split(r"(?<=[۔؟!?.])\s+", (t or "").strip()) if s]
+                    parts = split_clip(clean, sentences, target, most)
+                    reason = "split" if parts else "too_long_dropped"
+                out += [(k, i, reason, s, round(len(p) / target, 3), p.astype(np.float32)) for i, (p, s) in enumerate(parts)] or [(k, 0, reason, t, None, None)]
+            yield pd.DataFrame(out, columns=["key", "part", "reason", "text", "dur", "samples"])
+
+    rows = df.select(F.col(key).alias("key"), F.col(samples).alias("samples"), F.col(rate).alias("rate"), F.col(text).alias("text"))
+    return rows.mapInPandas(run, f"key {kind}, part int, reason string, text string, dur double, samples array<float>").withColumnRenamed("key", key)
+
+
+def longest_pause(rate: int, level: float = -45.0, frame_ms: float = 20.0):
+    """A pandas UDF: seconds of the longest run of quiet frames between the first and the last loud one; a clip that is
+    quiet throughout counts whole, one shorter than a frame 0; null for null."""
+    n = int(rate * frame_ms / 1000)
+
+    @F.pandas_udf("double")
+    def run(samples: pd.Series) -> pd.Series:
+        def one(y) -> float | None:
+            if y is None:
+                return None
+            y = np.asarray(y, float)
+            if len(y) < n:
+                return 0.0
+            rms = np.sqrt((y[: len(y) // n * n].reshape(-1, n) ** 2).mean(axis=1))
+            loud = np.flatnonzero(20 * np.log10(rms + 1e-9) >= level)
+            return float(np.diff(loud, prepend=loud[0] - 1).max() - 1) * frame_ms / 1000 if len(loud) else len(y) / rate
+
+        return samples.map(one)
+
+    return run

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import tarfile
 import uuid
 import wave
@@ -11,9 +12,15 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import phones
+from ..functions.text import URDU_LETTERS, normalize_chars, strip_diacritics
+
+#: Members of one tar archive.
+TAR_MEMBERS = 256
+
 MANIFEST = (
     "utt string, raw string, wav string, spk int, lang string, source string, style string, gender string, emotional boolean, "
     "text_raw string, text string, dur_raw double, dur double, asr_cer double, asr_hyp string, phonemes string"
@@ -76,10 +83,20 @@ def read_tsv(spark: SparkSession, path: str, columns: Sequence[str], least: int
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """(seq, word, pron, source, variants): lines of at least two fields; the default source is ``wikipron``."""
+    """(seq, word, pron, source, variants): lines of at least two fields; the default source is ``wikipron``. Words are
+    normalised, pronunciations and variants brought into the canonical phone set."""
     rows = read_tsv(spark, path, ["word", "pron", "source", "variants"], least=2)
-    variants = F.filter(F.split(F.coalesce("variants", F.lit("")), ";"), lambda v: v != "")
-    return rows.select("seq", "word", "pron", first_of(F.col("source"), F.lit("wikipron")).alias("source"), variants.alias("variants"))
+    variants = F.split(phones.canonical(F.trim(F.coalesce("variants", F.lit("")))), r"\s*;\s*")
+    word, pron = normalize_chars(F.trim("word")), phones.canonical(F.trim("pron"))
+    return rows.select("seq", word.alias("word"), pron.alias("pron"), first_of(F.trim("source"), F.lit("wikipron")).alias("source"), F.filter(variants, lambda v: v != "").alias("variants"))
+
+
+def read_words(spark: SparkSession, path: str, top: int | None = None) -> DataFrame:
+    """(seq, word): the first fields of lines that are Urdu words of at least two letters, normalised, the first ``top``."""
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("seq"), normalize_chars(F.trim(F.substring_index("value", "\t", 1))).alias("word"))
+    bare = strip_diacritics(F.col("word"))
+    words = lines.filter(bare.rlike(f"^[{URDU_LETTERS}]{{2,}}$"))
+    return words if not top else words.orderBy("seq").limit(top)
 
 
 def write_lexicon(df: DataFrame, path: str, header: str = "") -> None:
@@ -93,8 +110,8 @@ def write_lexicon(df: DataFrame, path: str, header: str = "") -> None:
 
 
 def read_wikipron(spark: SparkSession, path: str) -> DataFrame:
-    """(word, prons): pronunciations in the order of lines, words of at least two characters."""
-    rows = read_tsv(spark, path, ["word", "pron"], least=2).filter(F.char_length("word") >= 2)
+    """(word, prons): pronunciations in the order of lines, words normalised, of at least two characters."""
+    rows = read_tsv(spark, path, ["word", "pron"], least=2).withColumn("word", normalize_chars(F.col("word"))).filter(F.char_length("word") >= 2)
     one = F.sort_array(F.collect_list(F.struct("seq", "pron")))
     return rows.groupBy("word").agg(F.transform(one, lambda x: x["pron"]).alias("prons"))
 
@@ -214,9 +231,57 @@ def from_wav(content: Column) -> Column:
     return run(content)
 
 
+#: Rows of what is written as one document.
+MOST_REPORTED = 10_000
+
+
+def _few(df: DataFrame) -> list:
+    rows = df.limit(MOST_REPORTED + 1).collect()
+    if len(rows) > MOST_REPORTED:
+        raise ValueError(f"more than {MOST_REPORTED} rows for one document")
+    return rows
+
+
+def write_json_document(df: DataFrame, path: str) -> None:
+    """All rows as one indented JSON array; for reports."""
+    rows = [json.loads(x) for x in (r["j"] for r in _few(df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j"))))]
+    text = json.dumps(rows, ensure_ascii=False, indent=2)
+    df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_review(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[str]) -> None:
+    """Tab-separated lines under a header for people to look through, in order, in one file; for samples. Tabs and line
+    ends in a field become spaces."""
+    fields = [F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "[\t\r\n]", " ") for c in columns]
+    lines = [r["value"] for r in _few(df.orderBy(*order).select(F.concat_ws("\t", *fields).alias("value")))]
+    df.sparkSession.createDataFrame([("\n".join(["\t".join(columns), *lines]),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def pack_tar(df: DataFrame, archive: str, member: str, content: str) -> DataFrame:
+    """(archive, part, content): tar archives of the members of each archive, in parts of at most TAR_MEMBERS members."""
+    one = F.struct(F.col(member).alias("m"), F.col(content).alias("c"))
+    rows = df.withColumn("__part", F.floor((F.row_number().over(Window.partitionBy(archive).orderBy(member)) - 1) / TAR_MEMBERS).cast("int"))
+    rows = rows.groupBy(archive, F.col("__part").alias("part")).agg(F.sort_array(F.collect_list(one)).alias("members"))
+
+    @F.pandas_udf("binary")
+    def pack(members: pd.Series) -> pd.Series:
+        def one_archive(items) -> bytes:
+            out = io.BytesIO()
+            with tarfile.open(fileobj=out, mode="w") as tar:
+                for x in items:
+                    info = tarfile.TarInfo(x["m"])
+                    info.size = len(x["c"] or b"")
+                    tar.addfile(info, io.BytesIO(x["c"] or b""))
+            return out.getvalue()
+
+        return members.map(one_archive)
+
+    return rows.select(archive, "part", pack("members").alias("content"))
+
+
 def markdown(df: DataFrame, title: str) -> str:
-    """A small result as a Markdown table; for reports, whose rows are bounded."""
-    rows = df.collect()
+    """A small result as a Markdown table; more than ``MOST_REPORTED`` rows are an error."""
+    rows = _few(df)
     lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "-|" * len(df.columns)]
     return "\n".join([*lines, *("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows)]) + "\n"
 
