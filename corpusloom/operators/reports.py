@@ -42,10 +42,11 @@ def histogram(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
 
     def place(v: Column) -> Column:
         inside = [(v >= a) & ((v <= b) if i == last else (v < b)) & ~F.isnan(v) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
-        return F.coalesce(*(F.when(x, i) for i, x in enumerate(inside)))
+        return F.coalesce(*(F.when(x, i) for i, x in enumerate(inside)), F.lit(-1))
 
-    # bound as a lambda's argument, the value is computed once a row, not once a bin
-    counts = df.select(F.transform(F.array(F.col(value).cast("double")), place)[0].alias("bin")).filter("bin IS NOT NULL").groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    # bound as a lambda's argument, the value is computed once a row, not once a bin; a bin of -1 for what is in none,
+    # since a test for null would be pushed down and compute the value again
+    counts = df.select(F.coalesce(F.transform(F.array(F.col(value).cast("double")), place)[0], F.lit(-1)).alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     return bins.join(counts, "bin", "left").select("bin", "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"))
 
 
