@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ from ..functions.text import URDU_LETTERS, normalize_chars, strip_diacritics
 
 #: Members of one tar archive.
 TAR_MEMBERS = 256
+#: Bytes that a reader of archives gathers before it hands rows on.
+BATCH_BYTES = 16 << 20
 
 MANIFEST = (
     "utt string, raw string, wav string, spk int, lang string, source string, style string, gender string, emotional boolean, "
@@ -32,6 +35,19 @@ def first_of(*columns: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
 
 
+def place(latest: bool = False) -> Column:
+    """The place of a line in its files, to order by: file, block, line. With ``latest`` files go by their time first."""
+    parts = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")]
+    return F.struct(*([F.col("_metadata.file_modification_time").alias("time")] if latest else []), *parts)
+
+
+def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI, and the path there."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
 def read_manifest(spark: SparkSession, path: str, schema: str = MANIFEST, require: bool = True) -> DataFrame:
     """JSON lines under an explicit schema; blank lines are skipped. With ``require`` an empty manifest is an error."""
     df = spark.read.schema(schema).json(path)
@@ -57,10 +73,9 @@ def read_json_document(spark: SparkSession, path: str, schema: str) -> DataFrame
 
 
 def read_cache(spark: SparkSession, path: str, schema: str = "w string, p string") -> DataFrame:
-    """An append-only cache of JSON lines; malformed rows are dropped, of equal keys the last file's last row wins."""
-    rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path).select("*", "_metadata.file_path", F.monotonically_increasing_id().alias("__at"))
-    rows = rows.filter(F.col("w").isNotNull())
-    return rows.groupBy("w").agg(F.max_by("p", F.struct("file_path", "__at")).alias("p"))
+    """An append-only cache of JSON lines; malformed rows are dropped, of equal keys the newest file's last row wins."""
+    rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path).select("*", place(latest=True).alias("__at"))
+    return rows.filter(F.col("w").isNotNull()).groupBy("w").agg(F.max_by("p", "__at").alias("p"))
 
 
 def append_cache(df: DataFrame, path: str) -> None:
@@ -75,8 +90,8 @@ def read_lines(spark: SparkSession, path: str, comment: str | None = "#") -> Dat
 
 def read_tsv(spark: SparkSession, path: str, columns: Sequence[str], least: int | None = None) -> DataFrame:
     """Tab-separated lines as strings, no quoting; comments, blank lines and lines of fewer than ``least`` fields are
-    skipped; missing fields are null. ``seq`` follows the order of lines within a file."""
-    rows = spark.read.text(path).select(F.col("value"), F.monotonically_increasing_id().alias("seq"))
+    skipped; missing fields are null. ``seq`` follows the order of files by name and of their lines."""
+    rows = spark.read.text(path).select(F.col("value"), place().alias("seq"))
     rows = rows.filter((F.trim("value") != "") & ~F.col("value").startswith("#")).withColumn("f", F.split("value", "\t"))
     rows = rows.filter(F.size("f") >= (least or 1))
     return rows.select("seq", *[F.try_element_at("f", F.lit(i + 1)).alias(c) for i, c in enumerate(columns)])
@@ -93,7 +108,7 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
 
 def read_words(spark: SparkSession, path: str, top: int | None = None) -> DataFrame:
     """(seq, word): the first fields of lines that are Urdu words of at least two letters, normalised, the first ``top``."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("seq"), normalize_chars(F.trim(F.substring_index("value", "\t", 1))).alias("word"))
+    lines = spark.read.text(path).select(place().alias("seq"), normalize_chars(F.trim(F.substring_index("value", "\t", 1))).alias("word"))
     bare = strip_diacritics(F.col("word"))
     words = lines.filter(bare.rlike(f"^[{URDU_LETTERS}]{{2,}}$"))
     return words if not top else words.orderBy("seq").limit(top)
@@ -109,6 +124,12 @@ def write_lexicon(df: DataFrame, path: str, header: str = "") -> None:
     rows.coalesce(1).sortWithinPartitions("__part", "__key").select("value").write.mode("overwrite").text(path)
 
 
+def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """(seq, word, pron): pairs to learn from, as they stand but for white space at the ends, phones canonical without spaces."""
+    rows = read_tsv(spark, path, ["word", "pron"], least=2)
+    return rows.select("seq", F.trim("word").alias("word"), phones.canonical(F.replace("pron", F.lit(" "), F.lit(""))).alias("pron"))
+
+
 def read_wikipron(spark: SparkSession, path: str) -> DataFrame:
     """(word, prons): pronunciations in the order of lines, words normalised, of at least two characters."""
     rows = read_tsv(spark, path, ["word", "pron"], least=2).withColumn("word", normalize_chars(F.col("word"))).filter(F.char_length("word") >= 2)
@@ -152,36 +173,76 @@ def read_media(spark: SparkSession, path: str, pattern: str = "*.wav") -> DataFr
 
 
 def read_tar_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
-    """(archive, member, content) of tar archives, compressed or not; an archive is read by one task."""
+    """(archive, pos, member, content) of tar archives, compressed or not, ``pos`` the place in the archive.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with tarfile.open(fileobj=io.BytesIO(data)) as tar:
-                    for m in tar:
-                        if m.isfile() and m.name.endswith(suffix):
-                            yield pa.RecordBatch.from_pydict({"archive": [name], "member": [m.name], "content": [tar.extractfile(m).read()]})
+    Archives are read as streams, so that one may be larger than memory; an archive is read by one task. Arrow opens
+    the paths, on any file system that it knows.
+    """
+    schema = pa.schema([("archive", pa.string()), ("pos", pa.int64()), ("member", pa.string()), ("content", pa.binary())])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "archive string, member string, content binary")
+    def members(name: str) -> Iterator[tuple]:
+        fs, at = open_fs(name)
+        with fs.open_input_stream(at, compression=None) as raw, tarfile.open(fileobj=raw, mode="r|*") as tar:
+            for pos, m in enumerate(tar):
+                if m.isfile() and m.name.endswith(suffix):
+                    yield name, pos, m.name, tar.extractfile(m).read()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                rows, size = [], 0
+                for row in members(name):
+                    rows.append(row)
+                    size += len(row[3])
+                    if size >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    names = spark.read.format("binaryFile").load(path).select("path")  # the listing alone: no content is read
+    return names.mapInArrow(run, "archive string, pos long, member string, content binary")
+
+
+def write_files(df: DataFrame, path: str, name: str, content: str) -> None:
+    """Each row's ``content`` as a file ``name`` below ``path``; a file appears when it is complete, and a task that
+    runs again writes the same files again. Names are unique."""
+    path = path.rstrip("/")
 
-def tar_with_transcripts(spark: SparkSession, archives: str, transcripts: str, limit: int | None = None) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = open_fs(path)
+        for batch in batches:
+            done = []
+            for file, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                at = f"{base}/{file}"
+                folder, _, last = at.rpartition("/")
+                fs.create_dir(folder, recursive=True)
+                stage = f"{folder}/_{uuid.uuid4().hex}"
+                with fs.open_output_stream(stage, compression=None) as out:
+                    out.write(data or b"")
+                fs.move(stage, at)
+                done.append(last)
+            yield pa.RecordBatch.from_pydict({"file": pa.array(done, pa.string())})
+
+    df.select(F.col(name).cast("string"), F.col(content).cast("binary")).mapInArrow(run, "file string").write.format("noop").mode("overwrite").save()
+
+
+def tar_with_transcripts(spark: SparkSession, archives: str, transcripts: str, limit: int | None = None, suffix: str = ".wav") -> DataFrame:
     """(file, text, content): members of archives with their transcripts, joined by file name.
 
     Transcripts are lines of at least three fields, the file first, the text second; of a file that comes twice the
-    last line counts.
+    last line counts. With ``limit`` the first members in the order of archives and of their members.
     """
     lines = read_tsv(spark, transcripts, ["file", "text"], least=3)
     last = lines.groupBy(basename(F.col("file")).alias("file")).agg(F.max_by("text", "seq").alias("text"))
-    out = read_tar_members(spark, archives, ".wav").select(basename(F.col("member")).alias("file"), "content").join(last, "file").select("file", "text", "content")
-    return out.orderBy("file").limit(limit) if limit is not None else out
+    out = read_tar_members(spark, archives, suffix).select(basename(F.col("member")).alias("file"), "archive", "pos", "content").join(last, "file")
+    return (out.orderBy("archive", "pos").limit(limit) if limit is not None else out).select("file", "text", "content")
 
 
 def parse_log(spark: SparkSession, path: str, values: dict[str, str], markers: Sequence[str] = ()) -> DataFrame:
     """(name, first, last, mean, n) of numbers in a log: ``values`` maps names to patterns with one group; ``markers``
     are counted as plain words."""
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at"))
+    lines = spark.read.text(path).select("value", place().alias("at"))
     found = None
     for name, pattern in values.items():
         part = lines.select("at", F.lit(name).alias("name"), F.posexplode(F.regexp_extract_all("value", F.lit(pattern), F.lit(1))).alias("k", "raw")).select("name", F.struct("at", "k").alias("o"), F.col("raw").try_cast("double").alias("v"))

@@ -61,6 +61,25 @@ def test_tar_join_and_wav(spark, tmp_path):
     assert [round(x, 2) for x in rows[0]["d"]["samples"]] == [0.0, 0.5, -1.0]
 
 
+def test_archives_written_and_read_in_order(spark, tmp_path):
+    rows = [("b", "z.wav", b"3"), ("a", "y.wav", b"2"), ("a", "n.txt", b""), ("a", "x.wav", None), ("b", "m.wav", b"4" * 70_000)]
+    packed = files.pack_tar(spark.createDataFrame(rows, "a string, m string, c binary"), "a", "m", "c")
+    for _ in range(2):  # a task that runs again leaves the same files
+        files.write_files(packed.withColumn("name", F.concat("a", F.lit("/"), "part", F.lit(".tar"))), str(tmp_path / "t"), "name", "content")
+    assert sorted(str(x.relative_to(tmp_path / "t")) for x in (tmp_path / "t").rglob("*") if x.is_file()) == ["a/0.tar", "b/0.tar"]
+    got = files.read_tar_members(spark, str(tmp_path / "t" / "*"), ".wav").orderBy("archive", "pos").collect()
+    assert [(r["member"], r["pos"], len(r["content"])) for r in got] == [("x.wav", 1, 0), ("y.wav", 2, 1), ("m.wav", 0, 70_000), ("z.wav", 1, 1)]
+    (tmp_path / "l.tsv").write_text("".join(f"{m}\t{m[0]}\tx\n" for _, m, _ in rows))
+    few = files.tar_with_transcripts(spark, str(tmp_path / "t" / "*"), str(tmp_path / "l.tsv"), limit=3).collect()
+    assert sorted(r["text"] for r in few) == ["m", "x", "y"]
+
+
+def test_cache_newest_file_wins(spark, tmp_path):
+    for i in range(3):
+        files.append_cache(spark.createDataFrame([("k", str(i))], "w string, p string"), str(tmp_path / "c"))
+    assert [r["p"] for r in files.read_cache(spark, str(tmp_path / "c")).collect()] == ["2"]
+
+
 def test_log_and_small_readers(spark, tmp_path):
     (tmp_path / "log").write_text("Mel Loss: 3.5, x\nSaving..\nMel Loss: 1.5 Mel Loss: bad\nSaving..\n")
     got = {r["name"]: (r["first"], r["last"], r["n"]) for r in files.parse_log(spark, str(tmp_path / "log"), {"mel": r"Mel Loss: ([\d.]+)"}, ["Saving.."]).collect()}
