@@ -45,18 +45,20 @@ def source_counts(said: DataFrame) -> DataFrame:
 
 
 def _english(tagged: DataFrame, english: DataFrame, retroflex: bool) -> DataFrame:
-    """(key, pos, piece, missing) of the tokens of English runs: acronyms spelled, spoken ones looked up capitalised."""
+    """(key, pos, piece, missing) of the tokens of English runs: acronyms spelled, spoken ones looked up capitalised.
+    Each different token is looked up and its sounds mapped once, then brought back to its places."""
     table = english.select(F.col("word").alias("__w"), F.col("pron").alias("__pron"))
-    rows = tagged.filter(F.col("tag").isin(*tokens.ENGLISH))
+    rows, kind = tagged.filter(F.col("tag").isin(*tokens.ENGLISH)), ["token", "tag", "accent"]
     asked = F.when(F.col("tag") == "en_acronym_word", F.initcap("token")).otherwise(F.col("token"))
-    rows = rows.withColumn("__asked", asked)
-    exact = rows.join(table, F.col("__asked") == F.col("__w"), "left").drop("__w")
+    once = rows.select(*kind).distinct().withColumn("__asked", asked)
+    exact = once.join(table, F.col("__asked") == F.col("__w"), "left").drop("__w")
     lower = table.toDF("__l", "__lower")
-    rows = exact.join(lower, F.lower("__asked") == F.col("__l"), "left")
+    once = exact.join(lower, F.lower("__asked") == F.col("__l"), "left")
     spoken = F.when(F.col("tag") == "en_acronym", tokens.spell(F.col("token"))).otherwise(F.coalesce("__pron", "__lower"))
-    rows = rows.withColumn("__raw", spoken)
+    once = once.withColumn("__raw", spoken)
     mapped = F.when(F.col("accent") == "native", phones.to_native(F.col("__raw"))).otherwise(phones.to_pakistani(F.col("__raw"), retroflex=retroflex))
-    return rows.select("key", "pos", mapped.alias("piece"), F.when(F.col("__raw").isNull(), F.col("token")).alias("missing"))
+    said = once.select(*kind, mapped.alias("piece"), F.when(F.col("__raw").isNull(), F.col("token")).alias("missing"))
+    return rows.join(said, kind).select("key", "pos", "piece", "missing")
 
 
 def phonemize(df: DataFrame, key: str, column: str, entries: DataFrame, english: DataFrame, letters: DataFrame | None = None, known: DataFrame | None = None, accent: str = "auto", retroflex: bool = True, normalized: bool = False, strict: bool = False) -> DataFrame:

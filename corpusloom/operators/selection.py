@@ -33,20 +33,32 @@ def admit(df: DataFrame, value: str, cap: Column | float, partition: Sequence[st
     return spent_before(df, F.col(value), partition, order, bucket, "spent").filter(F.col("spent") < cap)
 
 
-def four_passes(df: DataFrame, value: str, cap: float, flag: str, partition: Sequence[str], order: Sequence[str | Column], shares: tuple[float, float] = (0.8, 0.2)) -> DataFrame:
+def four_passes(df: DataFrame, value: str, cap: float, flag: str, partition: Sequence[str], order: Sequence[str | Column], shares: tuple[float, float] = (0.8, 0.2), bucket: Column | None = None) -> DataFrame:
     """``pass`` (1 to 4, null if not taken): plain rows up to a share of the cap, flagged rows up to theirs, then
-    plain and at last flagged rows for what the cap has left. All passes share one exchange and one sort."""
-    taken, order = F.lit(None).cast("int"), list(order)
-    rows = df.withColumn("pass", taken)
-    got = F.coalesce(F.sum(F.when(F.col("pass").isNotNull(), F.col(value))).over(Window.partitionBy(*partition)), F.lit(0))
-    for number, (flagged, share) in enumerate(((False, shares[0]), (True, shares[1]), (False, None), (True, None)), 1):
-        open_row = F.col("pass").isNull() & (F.col(flag) == F.lit(flagged))
-        budget = F.lit(share * cap) if share is not None else F.lit(cap) - got
-        rows = rows.withColumn("__budget", budget)
-        spent = before(F.when(open_row, F.col(value)).otherwise(0), partition, order)
-        rows = rows.withColumn("__spent", spent)
-        rows = rows.withColumn("pass", F.when(open_row & (F.col("__spent") < F.col("__budget")), F.lit(number)).otherwise(F.col("pass")))
-    return rows.drop("__budget", "__spent")
+    plain and at last flagged rows for what the cap has left. Values are at least 0, nulls count as 0; a row whose flag
+    is null is not taken.
+
+    So a pass takes the next rows of its kind, and one prefix sum per kind with three totals per partition says what
+    each pass takes. With ``bucket`` (any column that follows the order) no partition has to fit one task.
+    """
+    v, spent, plain, flagged = F.coalesce(F.col(value), F.lit(0)), F.col("__spent"), F.col(flag) == F.lit(False), F.col(flag) == F.lit(True)
+    rows = spent_before(df, v, [*partition, flag], order, bucket, "__spent")
+    first, second = plain & (spent < shares[0] * cap), flagged & (spent < shares[1] * cap)
+
+    def totals(rows: DataFrame, **of: Column) -> DataFrame:
+        """``rows`` with sums over their partition, one row of it each."""
+        sums = rows.groupBy(*[F.col(p).alias(f"__p_{p}") for p in partition]).agg(*[F.coalesce(F.sum(F.when(c, v)), F.lit(0)).alias(n) for n, c in of.items()])
+        on = F.lit(True)
+        for p in partition:
+            on = on & F.col(p).eqNullSafe(F.col(f"__p_{p}"))
+        return rows.join(sums, on).drop(*[f"__p_{p}" for p in partition])
+
+    rows = totals(rows, __plain=first, __flagged=second)
+    third = plain & (spent < F.lit(cap) - F.col("__flagged"))
+    rows = totals(rows, __third=third & ~first)
+    fourth = flagged & (spent < F.lit(cap) - F.col("__plain") - F.col("__third"))
+    taken = F.when(first, 1).when(second, 2).when(third, 3).when(fourth, 4)
+    return rows.withColumn("pass", taken).drop("__spent", "__plain", "__flagged", "__third")
 
 
 def two_levels(df: DataFrame, value: str, group: str, group_cap: float, cap: float, seq: str, bucket: int = 4096) -> DataFrame:

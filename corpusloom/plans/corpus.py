@@ -117,7 +117,7 @@ _GOT = "50000.0 - coalesce(sum(CASE WHEN pass IS NOT NULL THEN n_chars END) OVER
 SELECT doc_id, lang, n_chars, toxic, pass FROM p4 WHERE pass IS NOT NULL""")
 def budget_four_pass_fill(spark, sf_dir):
     rows = labelled(spark, sf_dir).withColumn("flagged", F.col("toxic") == 1).withColumn("h", ordering.shuffle_key(7, "doc_id"))
-    out = selection.four_passes(rows, "n_chars", 50000.0, "flagged", ["lang"], ["h", "doc_id"])
+    out = selection.four_passes(rows, "n_chars", 50000.0, "flagged", ["lang"], ["h", "doc_id"], bucket=F.substring("h", 1, 2))
     return out.filter("pass IS NOT NULL").select("doc_id", "lang", "n_chars", "toxic", "pass")
 
 

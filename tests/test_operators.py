@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import chunks, edit, phones, text
-from corpusloom.operators import gates, ordering, reports, selection, signal, splits
+from corpusloom.operators import gates, ordering, reports, selection, signal, splits, vectors
 
 
 def md5(*parts):
@@ -146,3 +146,41 @@ def test_functions_in_sql(spark):
     assert "corpus_shout" in names
     r = spark.sql("SELECT corpus_expand_numbers('25 لوگ') AS a, corpus_rules('دوست') AS b, corpus_shout('x') AS c, size(corpus_align(array('a'), array('a', 'b'))) AS d").first()
     assert tuple(r) == ("پچیس لوگ", "doːst", "X", 2)
+
+
+def test_kernel_rows_against_plain_code(spark):
+    """Vectors of several lengths with nulls, a null key, a point without a place, rows far from any point."""
+    points = [("a", 1.0, [1.0, None, 3.0]), ("a", 2.0, [2.0, 5.0]), (None, 3.0, [4.0]), ("a", None, [9.0]), ("a", 1.0, None), ("b", 7.0, [None])]
+    got = vectors.kernel_rows(spark.createDataFrame(points, "k string, at double, v array<float>"), "at", "v", spark.createDataFrame([(1,), (2,), (90,)], "row long"), "row", sigma=2.0, by=["k"])
+    want = {}
+    for k in ("a", None, "b"):
+        mine = [(p, v) for kk, p, v in points if kk == k and p is not None and v is not None]
+        for row in (1, 2, 90):
+            for pos in range(max(len(v) for _, v in mine)):
+                there = [(math.exp(-0.5 * ((p - row) / 2.0) ** 2), v[pos]) for p, v in mine if pos < len(v)]
+                some = [x for _, x in there if x is not None]
+                w = sum(a for a, _ in there)
+                wx = sum(a * x for a, x in there if x is not None)
+                want[k, row, pos] = wx / w if w > 1e-3 else (sum(some) / len(some) if some else None)
+    assert {(r["k"], r["row"], r["pos"]): None if r["value"] is None else round(r["value"], 9) for r in got.collect()} == {k: None if v is None else round(v, 9) for k, v in want.items()}
+
+
+def test_four_passes_by_slices(spark):
+    """Prefix sums over slices take the same rows as one window per group; odd flags and values are defined."""
+    rows = [(i, "g" if i % 3 else None, i % 4 == 0 if i % 13 else None, float(i % 7) if i % 11 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, g string, flag boolean, v double")
+    take = lambda **x: sorted((r["id"], r["pass"]) for r in selection.four_passes(df, "v", 120.0, "flag", ["g"], ["id"], **x).collect() if r["pass"])
+    got = take(bucket=F.floor(F.col("id") / 10))
+    want = []
+    for g in ("g", None):
+        mine, spent, done = [r for r in rows if r[1] == g and r[2] is not None], 0.0, {}
+        for number, (flag, budget) in enumerate(((False, 96.0), (True, 24.0), (False, None), (True, None)), 1):
+            left, used = 120.0 - spent if budget is None else budget, 0.0
+            for i, _, f, v in mine:
+                if f == flag and i not in done:
+                    if used < left:
+                        done[i] = number
+                        spent += v or 0.0
+                    used += v or 0.0
+        want += done.items()
+    assert got == take() == sorted(want)
