@@ -19,12 +19,28 @@ MARKS = ',.!?;:—…"()“”'
 SHORTEST, LONGEST = 3, 510
 OOD_SHORTEST, OOD_LONGEST = 20, 500
 MIN_TOKENS, MAX_TOKENS = 10, 400
+SEPARATOR = "<sep>"
 # --- end of fixed values ---
 
 
-def urdu_words(words: DataFrame, entries: DataFrame, letters: DataFrame | None = None) -> DataFrame:
-    """(word, pron, source) of distinct Urdu words: the cascade, with the rules for what no lexicon knows."""
-    return lexicon.cascade(words, entries, letters, rules=rules_phones(F.col("word")))
+def urdu_words(words: DataFrame, entries: DataFrame, letters: DataFrame | None = None, nbest: DataFrame | None = None) -> DataFrame:
+    """(word, pron, source) of distinct Urdu words: the cascade, with the rules for what no lexicon knows.
+
+    ``nbest`` (word, cands: array of pron and logp), one row a word, competes with the rules; where they win against
+    candidates, ``source`` is ``rules`` and ``rejected`` holds.
+    """
+    said = lexicon.cascade(words, entries, letters, rules=rules_phones(F.col("word")))
+    if nbest is None:
+        return said
+    offers = said.filter("source = 'rules'").join(nbest.filter(F.size("cands") > 0), "word").select("word", "cands", F.col("pron").alias("rules"))
+    chosen = lexicon.rerank(offers).select(F.col("word").alias("__w"), F.col("pron").alias("__pron"), F.col("source").alias("__source"))
+    out = said.join(chosen, F.col("word") == F.col("__w"), "left")
+    return out.select("word", F.coalesce("__pron", "pron").alias("pron"), F.coalesce("__source", "source").alias("source"), F.coalesce(F.col("__source") == "rules", F.lit(False)).alias("rejected"))
+
+
+def source_tokens(word: Column, said: Column) -> Column:
+    """Input of a model that corrects the rules: the letters, a separator, the units of the rules' phones."""
+    return F.concat(F.filter(F.split(word, ""), lambda c: c != ""), F.array(F.lit(SEPARATOR)), phones.units(said))
 
 
 def urdu_phones(df: DataFrame, key: str, column: str, entries: DataFrame, letters: DataFrame | None = None) -> DataFrame:
@@ -40,7 +56,10 @@ def urdu_phones(df: DataFrame, key: str, column: str, entries: DataFrame, letter
 
 
 def source_counts(said: DataFrame) -> DataFrame:
-    """(source, n): how many words each step of the cascade has answered."""
+    """(source, n): how many words each step of the cascade has answered; ``neural_rejected`` counts candidates that
+    lost against the rules, whose words count under ``rules`` too."""
+    if "rejected" in said.columns:
+        said = said.select(F.explode(F.when(F.col("rejected"), F.array("source", F.lit("neural_rejected"))).otherwise(F.array("source"))).alias("source"))
     return said.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 

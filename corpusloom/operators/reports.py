@@ -61,3 +61,22 @@ def masked_mean(value: Column, where: Column) -> Column:
 
 def ratio_of_sums(top: Column, bottom: Column, least: float = 1e-6) -> Column:
     return F.sum(top) / F.greatest(F.sum(bottom), F.lit(least))
+
+
+def correlation(a: Column, b: Column, least: int = 1000) -> Column:
+    """Pearson's correlation of two signals, a row per pair of samples; 0 with fewer than ``least``. Nulls don't count."""
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    n = F.count(a)
+    return F.when(n < least, 0.0).otherwise(n * F.covar_pop(a, b) / (n * F.stddev_pop(a) * F.stddev_pop(b) + 1e-9))
+
+
+def shown(value: Column) -> Column:
+    """A number for a report: three digits, ``n/a`` for null and NaN."""
+    return F.when(value.isNull() | F.isnan(value), "n/a").otherwise(F.format_string("%.3f", value))
+
+
+def by_suffix(sums: DataFrame, key: str, value: str, suffixes: Sequence[str]) -> DataFrame:
+    """(suffix, total): the sum of ``value`` over the keys that end in ``_suffix``; 0 where there is none."""
+    total = lambda s: F.coalesce(F.sum(F.when(F.col(key).endswith(f"_{s}"), F.col(value))), F.lit(0.0)).alias("total")
+    one = sums.agg(F.array(*(F.struct(F.lit(s).alias("suffix"), total(s)) for s in suffixes)).alias("x"))
+    return one.select(F.inline("x"))

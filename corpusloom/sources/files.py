@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import phones
 from ..functions.text import URDU_LETTERS, normalize_chars, strip_diacritics
+from ..operators import lexicon
 
 #: Members of one tar archive.
 TAR_MEMBERS = 256
@@ -114,6 +115,15 @@ def read_words(spark: SparkSession, path: str, top: int | None = None) -> DataFr
     return words if not top else words.orderBy("seq").limit(top)
 
 
+def load_lexicon(spark: SparkSession, base: str, extras: Sequence[str] = ()) -> DataFrame:
+    """(word, pron, source, variants) of a base file and further ones, one after the other, merged by rank."""
+    parts = [read_lexicon(spark, path).withColumn("seq", F.struct(F.lit(i).alias("list"), F.col("seq").alias("at"))) for i, path in enumerate([base, *extras])]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return lexicon.merge(rows).select("word", "pron", "source", "variants")
+
+
 def write_lexicon(df: DataFrame, path: str, header: str = "") -> None:
     """One sorted file of word, pronunciation, source, variants, with a commented header. A lexicon is small."""
     line = F.concat_ws("\t", "word", "pron", "source", F.array_join("variants", ";"))
@@ -147,6 +157,17 @@ def write_list(df: DataFrame, path: str, columns: Sequence[str], separator: str
     df.select(checked.alias("value")).write.mode("overwrite").text(path)
 
 
+def write_shards(shards: DataFrame, path: str, line: str, epoch: int) -> None:
+    """Lines of (pos, shard, line) in order of ``pos``, a folder for each shard of an epoch."""
+    rows = shards.select(F.lit(epoch).alias("epoch"), "shard", "pos", F.col(line).alias("value")).repartition("shard").sortWithinPartitions("shard", "pos")
+    rows.select("epoch", "shard", "value").write.partitionBy("epoch", "shard").mode("overwrite").option("maxRecordsPerFile", 0).text(path)
+
+
+def append_log(lines: DataFrame, path: str) -> None:
+    """One column of text, appended to the lines that are there."""
+    lines.write.mode("append").text(path)
+
+
 def read_list(spark: SparkSession, path: str, columns: Sequence[str], separator: str = "|") -> DataFrame:
     fields = F.split("value", "\\" + separator)
     return spark.read.text(path).filter("trim(value) <> ''").select(*[F.try_element_at(fields, F.lit(i + 1)).alias(c) for i, c in enumerate(columns)])
