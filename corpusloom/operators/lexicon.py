@@ -72,7 +72,7 @@ def cascade(words: DataFrame, entries: DataFrame, letters: DataFrame | None = No
     name = F.lit(None).cast("string")
     if letters is not None:
         n = letters.select(F.col("letter").alias("__l"), F.col("name").alias("__name"))
-        out, name = out.join(F.broadcast(n), strip_diacritics(F.col("word")) == F.col("__l"), "left"), F.col("__name")
+        out, name = out.join(n, strip_diacritics(F.col("word")) == F.col("__l"), "left"), F.col("__name")
     pron = F.coalesce("exact", F.concat("of_base", F.lit(IZAFAT_SOUND)), "found")
     fallback = rules if rules is not None else F.lit(None).cast("string")
     return out.select("word", F.coalesce(name, pron, fallback).alias("pron"), F.when(name.isNotNull(), "letter").when(pron.isNotNull(), "lexicon").otherwise("rules").alias("source"))

@@ -69,8 +69,11 @@ def two_levels(df: DataFrame, value: str, group: str, group_cap: float, cap: flo
     return rows.filter(F.col("spent") < cap)
 
 
-def first_seen_ids(df: DataFrame, key: str, seq: str, base: int = 0, name: str = "key_id") -> DataFrame:
-    """Dense numbers from ``base`` in the order in which keys first appear; one row per key is ranked."""
+def first_seen_ids(df: DataFrame, key: str, seq: str, base: int = 0, name: str = "key_id", bucket: int = 1 << 20) -> DataFrame:
+    """Dense numbers from ``base`` in the order in which keys first appear, ``seq`` being a whole number; one row per
+    key is ranked, in slices of ``bucket`` numbers. Keys that first appear at one number share an id."""
     first = df.groupBy(key).agg(F.min(seq).alias("__first"))
-    ids = first.select(F.col(key).alias("__key"), (F.dense_rank().over(Window.orderBy("__first")) - 1 + base).alias(name))
+    places = prefix(first.select("__first").distinct(), F.floor(F.col("__first") / bucket), ["__first"], name="__id")
+    places = places.select(F.col("__first").alias("__place"), (F.col("__id") + base).cast("int").alias(name))
+    ids = first.join(places, F.col("__first").eqNullSafe(F.col("__place"))).select(F.col(key).alias("__key"), name)
     return df.join(ids, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
