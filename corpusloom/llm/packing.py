@@ -43,8 +43,8 @@ def default_tokenizer() -> str:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to the tokenizer's own.
 
-    The tokenizer never joins what white space parts and works word by word, so each distinct chunk is split and
-    each distinct word encoded once. Texts with characters for which that is not certain, or with the look of a
+    The tokenizer never joins what white space parts and works word by word, so each distinct chunk, in lower case, is
+    split and each distinct word encoded once. Texts with characters for which that is not certain, or with the look of a
     special token, go to the tokenizer whole.
     """
 
@@ -67,7 +67,7 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, chunks: list[str]) -> None:
-        split = [_SPLIT.findall(c.lower()) for c in chunks]
+        split = list(map(_SPLIT.findall, chunks))
         if len(self.words) > CACHE:
             self.words.clear()
         new = list(set().union(*split).difference(self.words))
@@ -85,7 +85,7 @@ class Encoder:
         self.chunks.update(zip(chunks, [get(x[0]) if len(x) == 1 else b"".join(map(get, x)) for x in split], strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        plain = [t.split() if "<|" not in t and _PLAIN.fullmatch(t) else None for t in texts]
+        plain = [t.lower().split() if "<|" not in t and _PLAIN.fullmatch(t) else None for t in texts]
         new = set().union(*filter(None, plain)).difference(self.chunks)
         if len(self.chunks) > CACHE:
             self.chunks.clear()
