@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, exact_dedup, langid, license_scan, mixing, near_dedup, packing, toxicity, warc
+from . import ann, chat, exact_dedup, langid, license_scan, merkle, mixing, near_dedup, packing, toxicity, warc
 from .shared import tune
 
 
@@ -114,6 +114,63 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of ``documents``, some tampered with; see :func:`merkle.manifest` and :func:`merkle.fold`."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    tampered = F.when(changed, merkle.leaf(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields]))
+    out = merkle.manifest(_table(spark, sf_dir, "documents"), fields, carry={"tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"), F.col("path"))
+    out = out.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+#: CRC-32 of a short ASCII string ``s``: eight steps a byte over the reflected polynomial 0xEDB88320.
+_CRC = "list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(s, ''), lambda c: ascii(c)::BIGINT)), lambda acc, b: {8})"
+_step = "xor(acc, b)"
+for _ in range(8):
+    _step = f"list_transform([{_step}], lambda v: xor(v >> 1, (v & 1) * 3988292384))[1]"
+CRC32_SQL = f"xor({_CRC.replace('{8}', _step)}, 4294967295)"
+
+OP13_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, source, n_chars, text, (CRC32) % 7 = 0 AS tampers FROM (SELECT *, CAST(doc_id AS VARCHAR) AS s FROM documents)),
+v AS (
+  SELECT doc_id, lang, tampers AND n_chars IS NOT NULL AS changed, FIELD(CAST(doc_id AS VARCHAR)) || FIELD(source) || FIELD(lang) AS head,
+         FIELD(CAST(n_chars AS VARCHAR)) AS size, FIELD(CAST(n_chars + 1 AS VARCHAR)) AS size1, FIELD(text) AS tail FROM d),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || size || tail) AS h, changed, sha256(head || size1 || tail) AS t FROM v),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS p, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+up AS (
+  SELECT 0 AS k, lang, p, h, n FROM placed
+  UNION ALL
+  SELECT k + 1, lang, p // 2, sha256(string_agg(h, '' ORDER BY p)), any_value((n + 1) // 2) FROM up WHERE n > 1 GROUP BY k + 1, lang, p // 2),
+subs AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS k, p, h, n FROM subs
+  UNION ALL
+  SELECT k + 1, p // 2, sha256(string_agg(h, '' ORDER BY p)), any_value((n + 1) // 2) FROM top WHERE n > 1 GROUP BY k + 1, p // 2),
+own AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, 0 AS k, p, xor(p, 1) AS sib, n, CASE WHEN changed THEN t ELSE h END AS h, '' AS proof FROM placed
+  UNION ALL
+  SELECT f.doc_id, f.g, f.k + 1, f.p // 2, xor(f.p // 2, 1), (f.n + 1) // 2,
+         CASE WHEN f.p % 2 = 1 THEN sha256(x.h || f.h) ELSE sha256(f.h || coalesce(x.h, '')) END, f.proof || coalesce(x.h, '')
+  FROM own f LEFT JOIN (SELECT coalesce('=' || lang, '') AS g, k, p, h FROM up) x ON x.g = f.g AND x.k = f.k AND x.p = f.sib WHERE f.n > 1),
+"over" AS (
+  SELECT doc_id, 0 AS k, s.p, xor(s.p, 1) AS sib, s.n, f.h, proof, f.g FROM own f JOIN subs s ON f.g = coalesce('=' || s.lang, '') WHERE f.n = 1
+  UNION ALL
+  SELECT f.doc_id, f.k + 1, f.p // 2, xor(f.p // 2, 1), (f.n + 1) // 2,
+         CASE WHEN f.p % 2 = 1 THEN sha256(x.h || f.h) ELSE sha256(f.h || coalesce(x.h, '')) END, f.proof || coalesce(x.h, ''), f.g
+  FROM "over" f LEFT JOIN top x ON x.k = f.k AND x.p = f.sib WHERE f.n > 1)
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, r.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM "over" f JOIN placed l ON f.doc_id = l.doc_id AND f.n = 1 JOIN subs s ON coalesce('=' || s.lang, '') = f.g CROSS JOIN (SELECT h FROM top WHERE n = 1) r
+"""
+for _c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", "CAST(n_chars + 1 AS VARCHAR)", "text"):
+    OP13_SQL = OP13_SQL.replace(f"FIELD({_c})", f"coalesce(strlen({_c}) || ':' || {_c}, '-')")
+OP13_SQL = OP13_SQL.replace("CRC32", CRC32_SQL)
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -125,6 +182,7 @@ QUERIES = {
     "op8_learned_partitions": op8_learned_partitions,
     "op9_boosted_toxicity": op9_boosted_toxicity,
     "op10_pivotal_mix": op10_pivotal_mix,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLES = {"op4_perspective_rotation": OP4_SQL, "op2_warc_round_trip": OP2_SQL, "op6_heavy_hitter_dedup": OP6_SQL}
+ORACLES = {"op4_perspective_rotation": OP4_SQL, "op2_warc_round_trip": OP2_SQL, "op6_heavy_hitter_dedup": OP6_SQL, "op13_merkle_manifest": OP13_SQL}
