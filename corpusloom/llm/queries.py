@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, exact_dedup, langid, license_scan, merkle, mixing, near_dedup, packing, toxicity, warc
+from . import ann, changes, chat, exact_dedup, langid, license_scan, merkle, mixing, near_dedup, packing, toxicity, warc
 from .shared import tune
 
 
@@ -114,6 +114,12 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op12_change_applier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``client_changes`` applied in the order of their numbers; see :func:`changes.apply_changes`."""
+    out = changes.apply_changes(_table(spark, sf_dir, "client_changes"))
+    return out.select("change_id", "client_id", "status", "batch", "missed", "city", changes.cents(F.col("balance")).alias("cents"), "current")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves, roots and proofs of ``documents``, some tampered with; see :func:`merkle.manifest` and :func:`merkle.fold`."""
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -182,6 +188,7 @@ QUERIES = {
     "op8_learned_partitions": op8_learned_partitions,
     "op9_boosted_toxicity": op9_boosted_toxicity,
     "op10_pivotal_mix": op10_pivotal_mix,
+    "op12_change_applier": op12_change_applier,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows per Arrow batch: a batch of whole documents stays within tens of megabytes.
@@ -98,6 +98,24 @@ def beside(df: DataFrame, decisions: DataFrame, on: Column, how: str) -> DataFra
     return df.hint("merge").join(decisions.hint("merge"), on, how)
 
 
+def positions(df: DataFrame, group: list[str], order: list[str], scratch: Scratch, name: str = "pos") -> DataFrame:
+    """``df`` with the place (from 0) of each row within its ``group`` in ``order``; no group meets in one task.
+
+    Rows are range-sorted once; a row's place is the one in its partition, plus what the group has in the partitions
+    before. There is one small row a partition and group, not one a row, in the window over the partitions.
+    """
+    keys = [*group, *order]
+    ordered = scratch(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)
+    pieces = ordered.groupBy(part.alias("__part"), *[F.col(g).alias(f"__g_{g}") for g in group]).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    before = Window.partitionBy(*[f"__g_{g}" for g in group]).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("__base", F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first"))
+    on = part == F.col("__part")
+    for g in group:
+        on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+    return ordered.join(pieces, on).select(*df.columns, (F.col("__at") + F.col("__base")).alias(name))
+
+
 def without_spaces(text: Column) -> Column:
     """The text without white space; null counts as empty. Plain replaces are the fastest native form."""
     out = F.coalesce(text, F.lit(""))
