@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, changes, chat, exact_dedup, langid, license_scan, merkle, mixing, near_dedup, packing, toxicity, warc
+from . import ann, changes, chat, exact_dedup, langid, license_scan, merkle, mixing, near_dedup, packing, suffix_dedup, toxicity, warc
 from .shared import tune
 
 
@@ -114,6 +114,13 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated strings of 400 bytes in ``documents``; see :func:`suffix_dedup.remove_repeats`."""
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return out.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_change_applier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``client_changes`` applied in the order of their numbers; see :func:`changes.apply_changes`."""
     out = changes.apply_changes(_table(spark, sf_dir, "client_changes"))
@@ -188,6 +195,7 @@ QUERIES = {
     "op8_learned_partitions": op8_learned_partitions,
     "op9_boosted_toxicity": op9_boosted_toxicity,
     "op10_pivotal_mix": op10_pivotal_mix,
+    "op11_bwt_merge_dedup": op11_bwt_merge_dedup,
     "op12_change_applier": op12_change_applier,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
