@@ -163,7 +163,7 @@ class Sequencer(StatefulProcessor):
 
 
 @contextmanager
-def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     old = {k: spark.conf.get(k, None) for k in values}
     try:
         for k, v in values.items():
@@ -216,6 +216,9 @@ def apply_changes(changes: DataFrame, batches: int = BATCHES, after_start: Calla
     at = lambda *x: _hadoop(spark, "/".join([base, *x]))[1]
     settings = {
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # stores of earlier starts stay open until the next round of maintenance, and each would have megabytes set aside
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+        "spark.sql.streaming.stateStore.maintenanceInterval": "20s",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     }
@@ -226,7 +229,7 @@ def apply_changes(changes: DataFrame, batches: int = BATCHES, after_start: Calla
     days = {r[0]: r[1] for r in spark.read.schema(_IN).parquet(f"{base}/staged").groupBy("batch").agg(F.max("day")).collect()}  # a row a batch
     fs.mkdirs(at("in"))
     horizon = None
-    with _settings(spark, **settings):
+    with _settings(spark, settings):
         for batch in range(1, batches + 2):
             fs.rename(at("staged", f"batch={batch}"), at("in", f"batch={batch}"))
             _start(spark, base, Sequencer(batch, horizon, batch > batches))
