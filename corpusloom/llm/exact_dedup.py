@@ -31,7 +31,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def _best() -> Column:
     """Most code points, then the smallest doc_id (null last), then the first row."""
-    rank = F.struct("chars", F.col("doc_id").isNotNull(), -F.coalesce("doc_id", F.lit(0)), -F.col("row_ix"))
+    rank = F.struct("chars", F.col("doc_id").isNotNull(), F.bitwise_not(F.coalesce("doc_id", F.lit(0))), F.bitwise_not("row_ix"))
     return F.max_by(F.struct("doc_id", "row_ix"), rank)
 
 

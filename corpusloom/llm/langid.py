@@ -4,7 +4,7 @@ Each language has a tree of byte contexts up to order 3. Under frozen counts a s
 symbols (q of them distinct) that followed a context costs -log2(n / (N + q)) bits there, one not seen costs the
 escape, -log2(q / (N + q)), and then what it costs in the context one byte shorter; below the empty context all
 symbols are alike. Where that table is small the costs of every context, symbol and language are worked out once, and
-a text's exact code length under every language is a sum of table rows; else they are worked out for the different
+a text's code length under every language is a sum of table rows; else they are worked out for the different
 grams of the texts at hand. The shortest code names the language.
 """
 
@@ -23,8 +23,9 @@ from .shared import tune
 
 #: Documents per language from which the trees are learned, at most on average; whole texts.
 DOCS_PER_LANGUAGE = 1500
-#: Code lengths are looked up in one dense table of up to so many numbers; beyond that, in sorted ones. They are the same.
+#: Code lengths are looked up in one dense table of up to so many numbers; beyond that, in sorted ones. Costs are rounded to ``STEP``, so sums are exact and the same.
 MAX_DENSE = 8_000_000
+STEP = 2.0**-16
 #: More different labels than this are no languages: an error.
 MAX_LANGUAGES = 5000
 #: Bytes scored at a time.
@@ -111,7 +112,7 @@ class Trees:
             out = np.where(known[at] == context, escape[at] + out, out)  # a context that a language never has costs nothing
             at = np.minimum(np.searchsorted(keys, context * a + s[3]), len(keys) - 1)
             out = np.where(keys[at] == context * a + s[3], cost[at], out)
-        return out
+        return np.rint(out / STEP) * STEP  # below 256 bits: exact in single precision, and sums of 2 ** 29 of them in double
 
     def _fill(self, seen: np.ndarray) -> None:
         """The dense table: a row for each context of three symbols that was seen, and for each pair of symbols."""
@@ -175,7 +176,8 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     rates = {r["lang"]: min(1.0, docs_per_language / r["n"]) for r in sizes}
     if not rates:
         return Trees(pd.DataFrame({"lang": [], "gram": [], "n": []}))
-    rate = F.create_map(*(F.lit(x) for kv in rates.items() for x in kv))[F.col("lang")]
+    rate = df.sparkSession.createDataFrame(list(rates.items()), "of string, rate double")  # at most MAX_LANGUAGES rows
+    rows, rate = rows.join(F.broadcast(rate), F.col("lang") == F.col("of")), F.col("rate")
     chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < rate * float(1 << 30))
     counts = chosen.select("lang", "text").mapInArrow(count_grams, "lang string, gram long, n long")
     return Trees(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -17,6 +16,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +26,47 @@ from .shared import Scratch, written
 BATCH_ITEMS = 50_000
 #: A bin with at most this share of its room left is nearly full.
 SLACK = 1 / 256
-#: Words, and chunks between white space, kept with their ids in a worker; a memory is emptied when full.
+#: Words kept with their ids in a worker; the memory is emptied when full.
 CACHE = 500_000
-
-#: Characters for which splitting and lower-casing here agree with the tokenizer file's own rules.
-_PLAIN = re.compile("[\t\n\r -~¡-įı-ɏ]*")
-_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼-¾]|[^\\sa-zªµºß-öø-ɏ0-9²³¹¼-¾]+")
+#: Words whose ids are put together at a time.
+SLICE = 1 << 20
+
+#: Other characters than those for which splitting here agrees with the tokenizer file's own rules; the look of a special token.
+_STRANGE = "[^\t\n\r -~¡-įı-ɏ]|<[|]"
+#: Classes of characters in the tokenizer's pattern, by code point: white space, letters, digits, others.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_CLASS = np.full(0x250, _OTHER, np.int8)
+_CLASS[[ord(c) for c in "\t\n\r "]] = _SPACE
+_CLASS[[c for c in range(0x250) if 97 <= c <= 122 or c in (0xAA, 0xB5, 0xBA) or 0xDF <= c and c != 0xF7]] = _LETTER
+_CLASS[[*range(48, 58), 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE]] = _DIGIT
+#: Texts gathered before they are encoded, in bytes.
+GATHER = 6_000_000
+
+
+def word_starts(b: np.ndarray) -> np.ndarray:
+    """Where words and runs of white space begin in UTF-8 bytes of characters below U+0250 in lower case.
+
+    A word is a run of letters, one digit, or a run of others; at a word's beginning an apostrophe takes s, t, m, d, re, ve
+    or ll with it. The last byte must be white space.
+    """
+    kind = _CLASS[np.minimum(b, 127)]
+    lead = np.flatnonzero(b >= 0xC0)
+    two = _CLASS[(b[lead].astype(np.int64) & 31) << 6 | b[lead + 1] & 63]
+    kind[lead] = kind[lead + 1] = two
+    start = np.empty(len(b), bool)
+    start[:1] = True
+    np.not_equal(kind[1:], kind[:-1], out=start[1:])
+    start |= kind == _DIGIT
+    start[lead + 1] = False
+    quote = np.flatnonzero((b == 39) & start)  # not behind another character of its class
+    one = b[quote + 1]
+    with_one = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    second = b[np.minimum(quote + 2, len(b) - 1)]
+    with_two = np.isin(one, np.frombuffer(b"rv", np.uint8)) & (second == ord("e")) | (one == ord("l")) & (second == ord("l"))
+    start[quote[with_one | with_two] + 1] = False
+    start[quote[with_one] + 2] = True
+    start[quote[with_two] + 3] = True
+    return np.flatnonzero(start)
 
 
 def default_tokenizer() -> str:
@@ -43,9 +78,10 @@ def default_tokenizer() -> str:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to the tokenizer's own.
 
-    The tokenizer never joins what white space parts and works word by word, so each distinct chunk, in lower case, is
-    split and each distinct word encoded once. Texts with characters for which that is not certain, or with the look of a
-    special token, go to the tokenizer whole.
+    The tokenizer puts texts in lower case, splits them to words and works word by word. So whole batches are put in lower case and split as
+    Arrow columns, each distinct word is encoded once, and a text's ids are gathered by the numbers of its words. A text
+    with a character, as it stands or in lower case, for which that is not certain (only those tried one by one
+    are), or with the look of a special token, goes to the tokenizer whole.
     """
 
     def __init__(self, path: str | None = None):
@@ -60,40 +96,61 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # the tokens that end a word
         self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.begin = self.size = np.zeros(1, np.int64)
+        self.pool = np.empty(0, "<u4")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, chunks: list[str]) -> None:
-        split = list(map(_SPLIT.findall, chunks))
-        if len(self.words) > CACHE:
-            self.words.clear()
-        new = list(set().union(*split).difference(self.words))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
+    def learn(self, words: list[str]) -> None:
+        pools, sizes = [self.pool], [self.size]
+        for at in range(0, len(words), 10_000):
+            part = words[at : at + 10_000]
             (found,) = self.by_word.encode_batch_fast([" ".join(part)], add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
-            data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-            if len(ends) == len(part):
-                self.words.update(zip(part, map(data.__getitem__, map(slice, cuts, cuts[1:])), strict=False))
-            else:
-                self.words.update((w, self.whole(w)) for w in part)
-        get = self.words.__getitem__
-        self.chunks.update(zip(chunks, [get(x[0]) if len(x) == 1 else b"".join(map(get, x)) for x in split], strict=True))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        plain = [t.lower().split() if "<|" not in t and _PLAIN.fullmatch(t) else None for t in texts]
-        new = set().union(*filter(None, plain)).difference(self.chunks)
-        if len(self.chunks) > CACHE:
-            self.chunks.clear()
-            new = set().union(*filter(None, plain))
-        if new:
-            self.learn(list(new))
-        get = self.chunks.__getitem__
-        return [self.whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, plain, strict=True)]
+            if len(ends) != len(part):
+                each = [self.whole(w) for w in part]
+                ids, ends = np.frombuffer(b"".join(each), "<u4"), np.cumsum([len(x) // 4 for x in each])
+            pools.append(ids)
+            sizes.append(np.diff(ends, prepend=0))
+        self.number.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
+        self.pool, self.size = np.concatenate(pools), np.concatenate(sizes)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        texts = texts.fill_null("")
+        low = pc.utf8_lower(texts)
+        strange = pc.or_(pc.match_substring_regex(texts, _STRANGE), pc.match_substring_regex(low, _STRANGE))
+        low = pc.binary_join_element_wise(pc.if_else(strange, "", low), "", "\n").cast(pa.large_string())
+        offsets = np.frombuffer(low.buffers()[1], np.int64)[low.offset : low.offset + len(low) + 1]
+        data = low.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])) if len(low) else pa.py_buffer(b"")
+        starts = word_starts(np.frombuffer(data, np.uint8))
+        cuts = np.searchsorted(starts, offsets - offsets[0])
+        ends = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        words = pa.LargeStringArray.from_buffers(len(starts), ends, data).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        if len(self.number) > CACHE:
+            self.forget()
+        if new := [w for w in distinct if w not in self.number]:
+            self.number.update((w, 0) for w in new if w.isspace())  # no ids
+            self.learn([w for w in new if not w.isspace()])
+        number = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        number = number[words.indices.to_numpy(zero_copy_only=False)]
+        sizes = self.size[number]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        parts = []
+        for at in range(0, len(number), SLICE):
+            n, k = number[at : at + SLICE], sizes[at : at + SLICE]
+            shift = self.begin[n] - (ends[at : at + len(n)] - ends[at])
+            parts.append(self.pool[np.repeat(shift, k) + np.arange(k.sum())])
+        data = np.concatenate([self.pool[:0], *parts]).tobytes()
+        at = (4 * ends[cuts]).tolist()
+        return [self.whole(texts[i].as_py()) if odd else data[b:e] for i, (b, e, odd) in enumerate(zip(at, at[1:], strange.to_pylist(), strict=False))]
 
 
 _ENCODERS: dict[str | None, Encoder] = {}
@@ -106,6 +163,25 @@ def encoder(path: str | None = None) -> Encoder:
     return _ENCODERS[path]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], pa.Array]]:
+    """(ids, texts) of some batches together: the more texts, the fewer of their words are new."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GATHER:
+            yield _together(held)
+            held, size = [], 0
+    if held:
+        yield _together(held)
+
+
+def _together(batches: list[pa.RecordBatch]) -> tuple[list[int | None], pa.Array]:
+    texts = pa.concat_arrays([b.column(1) for b in batches])
+    return [i for b in batches for i in b.column(0).to_pylist()], texts
+
+
 def cut(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1, tokenizer: str | None = None, ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and ``end_id``, cut only where longer than ``capacity``.
 
@@ -117,10 +193,9 @@ def cut(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch in batches:
+        for docs, texts in _gathered(batches):
             rows: list[list] = [[] for _ in range(5 + ids)]
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc, data in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
+            for doc, data in zip(docs, encode(texts), strict=True):
                 data += end
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
