@@ -1,4 +1,4 @@
-"""Queries of what is let in and refused, and of the smaller reports, over the driver tables and on literal cases."""
+"""Queries of what is let in and refused, and of the smaller reports."""
 
 from __future__ import annotations
 
@@ -6,13 +6,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import phones, registry
-from ..functions.text import letters_only
-from ..operators import admission, frontend, reports, splits
+from ..operators import admission, reports, splits
 from ..sources import files
 from .corpus import table
 from .formats import folder
-from .frontend import ENTRIES
-from .language import values
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -98,18 +95,6 @@ def version_contract(spark, sf_dir):
     return d.select("doc_id", admission.version_warning(found).alias("warning"))
 
 
-@query(values([("a", "x", True), ("b", "T4 x2", False), ("c", "L4", True), ("d", "x", False)], "variant, device, runs"))
-def variants_by_device(spark, sf_dir):
-    rows = spark.createDataFrame([("a", "NvidiaTeslaT4", "x"), ("b", "NvidiaL4", "T4 x2"), ("c", "NvidiaL4", "L4"), ("d", None, "x")], "variant string, accelerator string, device string")
-    return rows.select("variant", "device", admission.runs_on(F.col("accelerator"), F.col("device")).alias("runs"))
-
-
-@query(values([("Kernel is RUNNING", "running"), ("queued, then error", "queued"), ("has status cancelAcknowledged", "cancel"), ("complete after an error", "complete"), ("", "unknown"), ("?", "unknown")], "said, state"))
-def status_class(spark, sf_dir):
-    rows = spark.createDataFrame([(s,) for s in ("Kernel is RUNNING", "queued, then error", "has status cancelAcknowledged", "complete after an error", "", "?")], "said string")
-    return rows.select("said", admission.state_of(F.col("said")).alias("state"))
-
-
 @query("""WITH w AS (SELECT DISTINCT lang AS title, 'n' AS body FROM documents WHERE lang IS NOT NULL), i AS (SELECT source || '' AS s, lang AS title, doc_id AS number, doc_id % 2 = 0 AS is_open FROM documents WHERE n_chars > 900 AND doc_id % 3 = 0),
 f AS (SELECT title, min(number) AS number FROM i WHERE is_open GROUP BY title) SELECT w.title, w.body, f.number, CASE WHEN f.number IS NULL THEN 'create' ELSE 'comment' END AS action FROM w LEFT JOIN f USING (title)""")
 def issue_upsert(spark, sf_dir):
@@ -202,50 +187,6 @@ def progress_log(spark, sf_dir):
 
 # --- words and functions ---
 
-# --- expected results: fixed values ---
-BASE = [("کتاب", "kɪtɑːb", "wikipron", []), ("گھر", "ɡər", "llm", [])]
-EXTRA = [("گھر", "ɡʰər", "gold", ["ɡʰɪr"]), ("کتاب", "kətɑːb", "rules", []), ("قلم", "qələm", "rules", [])]
-LOADED = [("کتاب", "kɪtɑːb", "wikipron", "kətɑːb"), ("گھر", "ɡʰər", "gold", "ɡʰɪr"), ("قلم", "qələm", "rules", "")]
-NBEST = [("گھر", [("ɡʰər", -0.1)]), ("قلم", [("xx", -0.1)]), ("دوست", [])]
-ANSWERED = [("lexicon", 2), ("neural", 1), ("neural_rejected", 1), ("rules", 2)]
-# --- end of expected results ---
-
-
-@query(values(LOADED, "word, pron, source, variants"))
-def lexicon_load(spark, sf_dir):
-    """A base file, then an extra one whose better source takes an entry over."""
-    at, kind = folder(spark), "word string, pron string, source string, variants array<string>"
-    for name, rows in (("base", BASE), ("extra", EXTRA)):
-        files.write_lexicon(spark.createDataFrame(rows, kind), f"{at}/{name}")
-    return files.load_lexicon(spark, f"{at}/base", [f"{at}/extra"]).select("word", "pron", "source", F.array_join("variants", ";").alias("variants"))
-
-
-@query(values(ANSWERED, "source, n"))
-def cascade_sources(spark, sf_dir):
-    """Two words of the lexicon, three others: one takes a candidate, one refuses it, one has none."""
-    entries = spark.createDataFrame(ENTRIES, "seq int, word string, pron string")
-    words = spark.createDataFrame([(w,) for w in ("کتاب", "ہے", "گھر", "قلم", "دوست")], "word string")
-    nbest = spark.createDataFrame(NBEST, "word string, cands array<struct<pron:string,logp:double>>")
-    return frontend.source_counts(frontend.urdu_words(words, entries, nbest=nbest))
-
-
-@query(values([("کتاب", "ک ت ا ب <sep> k ɪ t ɑː b"), ("گھر", "گ ھ ر <sep> ɡʰ ə r")], "word, tokens"))
-def model_source_tokens(spark, sf_dir):
-    rows = spark.createDataFrame([("کتاب", "kɪtɑːb"), ("گھر", "ɡʰər")], "word string, said string")
-    return rows.select("word", F.array_join(frontend.source_tokens(F.col("word"), F.col("said")), " ").alias("tokens"))
-
-
-@query(values([("کتاب", "letters want: [k t ʔ? b]  pron has: [k t b]  ok=True"), ("گھر", "letters want: [ɡʰ r]  pron has: [k r]  ok=False"), ("دنیا", "letters want: [d m/n/ŋ j? ʔ? n?]  pron has: [d n j]  ok=True")], "word, report"))
-def skeleton_reports(spark, sf_dir):
-    rows = spark.createDataFrame([("کتاب", "kɪtɑːb"), ("گھر", "kər"), ("دنیا", "dʊnjɑː")], "word string, pron string")
-    return rows.select("word", phones.skeleton_report(F.col("word"), F.col("pron")).alias("report"))
-
-
-@query(values([("۔کتاب، ", "کتاب"), ("abc گھر 12", "گھر"), ("", "")], "word, letters"))
-def letters_of_words(spark, sf_dir):
-    rows = spark.createDataFrame([("۔کتاب، ",), ("abc گھر 12",), ("",)], "word string")
-    return rows.select("word", letters_only(F.col("word")).alias("letters"))
-
 
 @query("SELECT conv_id, turn, replace(regexp_replace(lower(text), '[^a-z ]', '', 'g'), 'g', 'ɡ') AS said FROM conversations")
 def known_symbols(spark, sf_dir):

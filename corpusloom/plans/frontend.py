@@ -1,12 +1,12 @@
-"""Queries of the way from sentences to phones and of the last gates, over the driver tables and on literal cases."""
+"""Queries of the way from sentences to phones and of the last gates."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import frontend, gates, lexicon, signal
+from ..operators import frontend, gates, signal
 from .corpus import table
-from .language import VOCAB_SQL, values
+from .language import VOCAB_SQL
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -22,42 +22,6 @@ def query(sql: str | None = None):
     return add
 
 
-# --- expected results: fixed values ---
-ENTRIES = [(1, "کتاب", "kɪtɑːb"), (2, "یہ", "jeː"), (3, "ہے", "hɛː"), (4, "کِیا", "kɪjɑː"), (5, "کْیا", "kjɑː"), (6, "آپ", "ɑːp"), (7, "نے", "neː"), (8, "کام", "kɑːm"), (9, "اچھی", "əʧʧʰiː")]
-ENGLISH = [("laptop", "lˈæptˌɑp"), ("good", "ɡˈʊd"), ("Nadra", "nˈɑdɹə"), ("this", "ðˈɪs"), ("is", "ɪz")]
-SENTENCES = [(0, "یہ laptop ہے۔"), (1, "کْیا آپ نے کام کِیا؟"), (2, "this is good."), (3, "یہ USB ہے!"), (4, "یہ NADRA، کتاب ہے"), (5, "یہ gadget ہے"), (6, ""), (7, None)]
-SAID = [
-    (0, "jeː lɛːpʈɑːp hɛː.", "pakistani", ""), (1, "kjɑː ɑːp neː kɑːm kɪjɑː?", "pakistani", ""), (2, "ðˈɪs ɪz ɡˈʊd.", "native", ""), (3, "jeː juː ɛs biː hɛː!", "pakistani", ""),
-    (4, "jeː nɑːɖrə, kɪtɑːb hɛː", "pakistani", ""), (5, None, "pakistani", "gadget"), (6, "", "pakistani", ""), (7, "", "pakistani", ""),
-]
-# --- end of expected results ---
-
-
-def _tables(spark):
-    return spark.createDataFrame(ENTRIES, "seq int, word string, pron string"), spark.createDataFrame(ENGLISH, "word string, pron string")
-
-
-@query(values(SAID, "id, phonemes, accent, missing"))
-def sentence_phones_golden(spark, sf_dir):
-    entries, english = _tables(spark)
-    out = frontend.phonemize(spark.createDataFrame(SENTENCES, "id int, text string"), "id", "text", entries, english)
-    return out.select("id", "phonemes", "accent", F.array_join("missing", ",").alias("missing"))
-
-
-@query(values([(0, "kɪtɑːb əʧʧʰiː hɛː", "lexicon,lexicon,lexicon"), (1, "kɪtɑːbeː", "lexicon"), (2, "", "")], "id, phonemes, sources"))
-def urdu_span_phones(spark, sf_dir):
-    entries, _ = _tables(spark)
-    out = frontend.urdu_phones(spark.createDataFrame([(0, "کتاب اچھی  ہے"), (1, "كتابِ"), (2, " ")], "id int, text string"), "id", "text", entries)
-    return out.select("id", "phonemes", F.array_join("sources", ",").alias("sources"))
-
-
-@query(values([(0, 0, "یہ کتاب ہے۔ ہے۔", "jeː kɪtɑːb hɛː. hɛː."), (0, 1, "آپ نے کام کِیا؟", "ɑːp neː kɑːm kɪjɑː?"), (1, 0, "یہ کتاب، یہ کتاب", "jeː kɪtɑːb,"), (1, 1, "یہ کتاب، یہ کتاب", "jeː kɪtɑːb")], "id, n, text, phonemes"))
-def chunk_text_golden(spark, sf_dir):
-    entries, english = _tables(spark)
-    rows = spark.createDataFrame([(0, "یہ کتاب ہے۔ ہے۔ آپ نے کام کِیا؟"), (1, "یہ کتاب، یہ کتاب")], "id int, text string")
-    return frontend.chunk_text(rows, "id", "text", least=6, most=20, entries=entries, english=english)
-
-
 _TOKEN = r"[a-z][a-z''’\-]*|\d+(?:[.:,]\d+)*|[^\s]"
 _KEPT = f"array_to_string(list_filter(string_split(t, ''), lambda c: list_contains({VOCAB_SQL}, c)), '')"
 _MARKS = "[" + ", ".join("'" + c + "'" for c in frontend.MARKS) + "]"
@@ -123,26 +87,6 @@ def best_take(spark, sf_dir):
     return frontend.best_take(table(spark, sf_dir, "events"), "user_id", "event_id", "value")
 
 
-@query(values([("b", "p2", "gold", "x;y;p3"), ("a", "p5", "rules", "p6"), ("c", "p9", "llm", "")], "word, pron, source, variants"))
-def lexicon_merge_golden(spark, sf_dir):
-    """Variants of a loaded entry stay before later ones; an override replaces what came before it, whatever its rank."""
-    rows = [(1, "b", "p1", "llm", ["z"], False), (2, "b", "p2", "gold", ["x", "y"], False), (3, "b", "p3", "llm", [], False), (4, "a", "p4", "gold", ["q"], False), (5, "a", "p5", "rules", [], True), (6, "a", "p6", "neural", [], False), (7, "b", "x", "rules", [], False), (8, "c", "p9", "llm", None, False)]
-    df = spark.createDataFrame(rows, "seq int, word string, pron string, source string, variants array<string>, override boolean")
-    return lexicon.merge(df).select("word", "pron", "source", F.array_join("variants", ";").alias("variants"))
-
-
-@query(values([("کتاب", "kɪtɑːb"), ("گھر", "ɡʰər"), ("گھر", "ɡər")], "word, pron"))
-def training_pairs_golden(spark, sf_dir):
-    entries = spark.createDataFrame([("کتاب", "kɪtɑːb", []), ("گھر", "ɡʰər", ["ɡər", "ɡɪr"]), ("ہے", "hɛː", []), ("ایک دو", "eːk doː", None)], "word string, pron string, variants array<string>")
-    return frontend.training_pairs(entries, spark.createDataFrame([("ہے",)], "word string"))
-
-
-@query(values([(5, "کتاب", "kɪtɑb"), (2, "گھر", "ɡʰər")], "seq, word, pron"))
-def usable_candidates_golden(spark, sf_dir):
-    lines = [(1, "كتاب\tkɪtɑːb"), (2, "`گھر` ɡʱəɾ"), (3, "قلم\tqələm"), (4, "گھر\t1!x"), (5, "کتاب<TAB>kɪtɑb"), (6, "one")]
-    return frontend.usable_candidates(spark.createDataFrame(lines, "seq int, line string"), spark.createDataFrame([("کتاب",), ("گھر",)], "word string"))
-
-
 @query("""WITH f AS (SELECT doc_id, lang || '|' || source AS t FROM documents ORDER BY doc_id LIMIT 120), o AS (SELECT t, min(doc_id) AS doc_id FROM f GROUP BY t)
 SELECT t, doc_id FROM o ORDER BY md5('3|' || doc_id), doc_id LIMIT 40""")
 def over_collected(spark, sf_dir):

@@ -1,16 +1,12 @@
-"""Queries of the text, token, phone and lexicon layers: over the driver tables with SQL, and on literal cases
-whose expected results stand in the SQL."""
+"""Queries of the text, token, phone and lexicon layers over the driver tables, with SQL."""
 
 from __future__ import annotations
 
-import unicodedata
 import uuid
-from collections.abc import Callable
 
-from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import chunks, edit, numbers, pcer, phones, rules, text, tokens
+from ..functions import chunks, numbers, phones, text, tokens
 from ..operators import lexicon
 from ..streaming import budget
 from .corpus import table, words_of
@@ -43,87 +39,6 @@ def values(rows: list[tuple], names: str) -> str:
     return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(_lit, r)) + ')' for r in rows)}) AS t({names})"
 
 
-def golden(name: str, kind: str, cases: list[tuple], f: Callable[..., Column], decomposed: bool = False) -> None:
-    """A query that computes ``f`` on literal inputs (all but the last of each case), and the expected outputs as SQL.
-
-    ``decomposed``: outputs are in phone space, where marks are separate characters (NFD).
-    """
-    if decomposed:
-        cases = [(*c[:-1], unicodedata.normalize("NFD", c[-1])) for c in cases]
-    n = len(cases[0]) - 1
-    cols = [f"x{i}" for i in range(n)]
-
-    def run(spark: SparkSession, sf_dir: str):
-        rows = spark.createDataFrame([(i, *c[:n]) for i, c in enumerate(cases)], f"id int, {', '.join(f'{c} {k}' for c, k in zip(cols, kind.split(), strict=True))}")
-        return rows.select("id", f(*map(F.col, cols)).alias("result"))
-
-    run.__name__ = name
-    QUERIES[name] = run
-    ORACLES[name] = values([(i, c[n]) for i, c in enumerate(cases)], "id, result")
-
-
-# --- expected results: fixed values ---
-golden("cardinal_golden", "long", [
-    (0, "صفر"), (1, "ایک"), (7, "سات"), (11, "گیارہ"), (19, "انیس"), (20, "بیس"), (25, "پچیس"), (38, "اڑتیس"), (45, "پینتالیس"),
-    (47, "سینتالیس"), (59, "انسٹھ"), (70, "ستر"), (89, "نواسی"), (99, "ننانوے"), (100, "ایک سو"), (101, "ایک سو ایک"), (250, "دو سو پچاس"),
-    (999, "نو سو ننانوے"), (1000, "ایک ہزار"), (2500, "دو ہزار پانچ سو"), (2026, "دو ہزار چھبیس"), (100000, "ایک لاکھ"), (2500000, "پچیس لاکھ"),
-    (10000000, "ایک کروڑ"), (1000000000, "ایک ارب"), (-5, "منفی پانچ"),
-], numbers.cardinal)
-golden("year_golden", "long", [(1947, "انیس سو سینتالیس"), (2026, "دو ہزار چھبیس"), (1999, "انیس سو ننانوے")], numbers.year)
-golden("decimal_golden", "string", [("38.5", "اڑتیس اعشاریہ پانچ"), ("3.14", "تین اعشاریہ ایک چار"), ("-2.5", "منفی دو اعشاریہ پانچ")], numbers.decimal)
-golden("time_golden", "int int", [(7, 45, "پونے آٹھ"), (3, 0, "تین بجے"), (4, 30, "ساڑھے چار"), (1, 30, "ڈیڑھ"), (10, 7, "دس بج کر سات منٹ")], numbers.clock)
-golden("ordinal_golden", "long", [(1, "پہلا"), (5, "پانچواں"), (12, "بارہواں")], numbers.ordinal)
-golden("digits_golden", "string", [("۲۰۲۶", "2026"), ("٠١٢", "012")], numbers.ascii_digits)
-golden("thousands_golden", "string", [("2,500,000", "2500000")], numbers.strip_thousands)
-golden("normalize_chars_golden", "string", [("كتاب يه", "کتاب یہ"), ("ه", "ہ"), ("بھائی", "بھائی"), ("کتـــاب", "کتاب")], text.normalize_chars)
-golden("normalize_golden", "string", [
-    ("اس کی قیمت ۲۵۰۰ روپے ہے۔", "اس کی قیمت دو ہزار پانچ سو روپے ہے۔"), ("میری سالگرہ 14 اگست کو ہوتی ہے۔", "میری سالگرہ چودہ اگست کو ہوتی ہے۔"),
-    ("ٹرین صبح ۷:۴۵ پر روانہ ہوئی۔", "ٹرین صبح پونے آٹھ پر روانہ ہوئی۔"), ("۱۹۴۷ء میں پاکستان آزاد ہوا۔", "انیس سو سینتالیس میں پاکستان آزاد ہوا۔"),
-    ("درجۂ حرارت ۳۸ اعشاریہ ۵ ڈگری تھا۔", "درجۂ حرارت اڑتیس اعشاریہ پانچ ڈگری تھا۔"), ("۲۰۲۶ میں 25 لوگ", "دو ہزار چھبیس میں پچیس لوگ"),
-    ("50% لوگ", "پچاس فیصد لوگ"), ("Rs. 500 کا بل", "پانچ سو روپے کا بل"), ("14/08/2026 کو", "چودہ اگست دو ہزار چھبیس کو"),
-], text.normalize)
-golden("english_numbers_golden", "string", [("یہ meeting 3 pm پر ہے", "یہ meeting 3 pm پر ہے"), ("call me at 5 pm", "call me at 5 pm")], text.expand_numbers)
-golden("sentence_split_golden", "string", [("پہلا جملہ۔ دوسرا جملہ؟ تیسرا!", "پہلا جملہ۔#دوسرا جملہ؟#تیسرا!")], lambda s: F.array_join(text.split_sentences(s), "#"))
-golden("punctuation_map", "string", [("ہاں، ٹھیک ہے۔ کیا؟", "ہاں, ٹھیک ہے. کیا?")], text.normalize_punctuation)
-golden("scoring_normalize_golden", "string string", [("كتاب، ۲۵!", "کتاب 25", True), ("وزیرِ اعظم", "وزیر اعظم", True), ("ہاں", "نہیں", False)], lambda a, b: text.scoring_normalize(a) == text.scoring_normalize(b))
-golden("symbols_golden", "string", [("$ 20", "20 ڈالر"), ("a & b", "a اور b"), ("see www.site.org/x now", "see site dot org slash x now")], text.expand_symbols)
-golden("phoneset_map_golden", "string", [
-    ("pɑːkɪst̪ɑːn", "pɑːkɪstɑːn"), ("ɡʱəɾ", "ɡʰər"), ("t͡ʃʰoːʈɑː", "ʧʰoːʈɑː"), ("d͡ʒɑːnɑː", "ʤɑːnɑː"), ("nəɦĩː", "nəhĩː"), ("xuːbʂuːrat", "xuːbsuːrət"),
-    ("ʋəzireː aːʐəm", "ʋəzireː ɑːzəm"), ("pʌr.hi", "pərhi"), ("mẽː", "mẽː"), ("gʰər", "ɡʰər"), ("mːəhəbbət", "mməhəbbət"), ("ãː", "ɑ̃ː"), ("ä", "ɑ"), ("ō", "oː"),
-], phones.canonical, decomposed=True)
-golden("split_units_golden", "string", [("bʰɑːiː", "bʰ ɑː iː"), ("nəhĩː", "n ə h ĩː"), ("ʧʰoːʈɑː", "ʧʰ oː ʈ ɑː")], lambda s: F.array_join(phones.units(s), " "), decomposed=True)
-golden("accent_map_golden", "string boolean", [("lˈæptˌɑp", True, "lɛːpʈɑːp"), ("θˈɪn", True, "tʰɪn"), ("ðˈɪs", True, "dɪs"), ("wˈɔTəɹ", True, "ʋɔːʈər"), ("lˈæptˌɑp", False, "lɛːptɑːp")], lambda s, r: F.when(r, phones.to_pakistani(s)).otherwise(phones.to_pakistani(s, retroflex=False)))
-golden("native_accent_golden", "string", [("ˈAʒə", "ˈAʒə")], phones.to_native)
-golden("spell_letters", "string", [("USB", "ju ɛs bi")], tokens.spell)
-golden("classify_latin_golden", "string", [("USB", "en_acronym"), ("NADRA", "en_acronym_word"), ("PTI", "en_acronym"), ("laptop", "en"), ("SIM", "en_acronym"), ("RADAR", "en_acronym_word"), ("BBCS", "en_acronym")], tokens.classify_latin)
-golden("skeleton_golden", "string string", [
-    ("لڑکی", "ləɽkiː", True), ("لڑکی", "lərkiː", False), ("گھر", "ɡʰər", True), ("گھر", "ɡər", False), ("محبت", "mʊhəbbət", True), ("آنسو", "ɑ̃ːsuː", True),
-    ("پاکستان", "pɑːkɪstɑːn", True), ("پاکستان", "bɑːkɪstɑːn", False), ("بچھو", "bɪʧʧʰuː", True), ("اتفاقاً", "ɪttɪfɑːqən", True),
-], phones.skeleton_ok)
-golden("rules_g2p_golden", "string", [("دوست", "doːst"), ("لڑکی", "ləɽkiː"), ("ہاں", "hɑ̃ː"), ("دیوار", "diːʋɑːr"), ("لوگوں", "loːɡõː"), ("کمرہ", "kəmrɑː"), ("خواب", "xɑːb"), ("شروع", "ʃəroː"), ("جَلْد", "ʤəld"), ("شاعر", "ʃɑːər")], rules.rules_phones, decomposed=True)
-golden("rules_skeleton_golden", "string", [(w, True) for w in "پاکستان لڑکی کتابیں دوست ہاں سڑک ٹھیک خواب دیوار زندگی".split()], lambda w: phones.skeleton_ok(w, rules.rules_phones(w)) & (F.size(phones.unknown_symbols(rules.rules_phones(w))) == 0))
-golden("collapse_golden", "string", [("ʈʰiːk", "t i k"), ("vɛ", "ʋ e"), ("Aɹ", "e ɪ r")], lambda s: F.array_join(phones.collapse(s), " "))
-golden("cer_wer_golden", "string string", [("please share the file now", "please share a file now", 0.2), ("one two", "one two", 0.0)], lambda a, b: edit.wer(edit.normalize_en(a), edit.normalize_en(b)))
-golden("vocab_ids_golden", "string", [("pɑːn", "0,58,69,158,56,0"), ("一b", "0,44,0")], lambda s: F.array_join(phones.framed_ids(s).cast("array<string>"), ","))
-golden("code_swap_golden", "string", [("یہ فائل دیکھو", "یہ file دیکھو"), ("ڈاکٹر؟", "doctor؟"), ("یہ نہیں", None)], lambda s: text.code_swap(s, s))
-golden("fill_lines_golden", "string", [("ab cd, ef. gh", "ab cd,#ef. gh"), ("abcdefghijkl", "abcdefgh#ijkl"), ("ab", "ab")], lambda s: F.array_join(chunks.fill_lines(s, 8), "#"))
-golden("align_golden", "string string", [("a b c", "a c", "M D M"), ("a", "b c", "I S"), ("a b", "b a", "S S"), ("", "x", "I")], lambda a, b: F.array_join(F.transform(edit.alignment(edit.words_of(a), edit.words_of(b)), lambda x: x["op"]), " "))
-# --- end of expected results ---
-
-
-@query(values([(0, "ur ur en ur ur ur ur punct"), (1, "en ur en ur ur en ur ur punct"), (2, "ur en_acronym ur en en ur en ur ur punct"), (3, "ur en num_en en ur en ur ur ur punct")], "id, tags"))
-def token_tags_golden(spark, sf_dir):
-    rows = ["آج کی meeting کینسل ہو گئی ہے۔", "Please اپنا password کسی کو share نہ کریں۔", "ہمیں AI اور machine learning پر focus کرنا چاہیے۔", "یہ meeting 3 pm پر Zoom پر ہو گی۔"]
-    df = tokens.tag(spark.createDataFrame(list(enumerate(rows)), "id int, text string"), "id", "text")
-    return df.groupBy("id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "tag"))), lambda x: x["tag"]), " ").alias("tags"))
-
-
-@query(values([(0, 1, "call me 5 pm"), (1, 1, "laptop"), (1, 2, "wifi - fi")], "id, run, span"))
-def english_runs_golden(spark, sf_dir):
-    df = spark.createDataFrame([(0, "آپ call me 5 pm کریں"), (1, "میرا laptop , اور wifi - fi ۔")], "id int, text string")
-    return tokens.english_runs(tokens.tag(df, "id", "text"), "id").select("id", "run", "span")
-
-
 TOKENS = r"SELECT conv_id * 1000 + turn AS id, unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z''’\-]*|\d+(?:[.:,]\d+)*|[^\s]')) AS token FROM conversations"
 
 
@@ -205,40 +120,6 @@ def lexicon_rank_merge(spark, sf_dir):
     return lexicon.merge(_records(spark, sf_dir, once=True)).select("word", "pron", "source", F.array_join("variants", ";").alias("variants"))
 
 
-_LEX = [(1, "کتاب", "kɪtɑːb"), (2, "عِلْم", "ɪlm"), (3, "وزیر", "ʋəziːr"), (4, "نامہ", "nɑːmɑː"), (5, "کِیا", "kɪjɑː"), (6, "کیا", "kjɑː"), (7, "راستی", "rɑːstiː")]
-
-
-@query(values([("کتاب", "kɪtɑːb"), ("کِتاب", "kɪtɑːb"), ("علم", "ɪlm"), ("کِیا", "kɪjɑː"), ("کَیا", "kjɑː"), ("راستے", "rɑːstiː"), ("قلم", None)], "word, pron"))
-def lexicon_lookup_chain(spark, sf_dir):
-    words = spark.createDataFrame([(w,) for w in ("کتاب", "کِتاب", "علم", "کِیا", "کَیا", "راستے", "قلم")], "word string")
-    return lexicon.lookup(words, spark.createDataFrame(_LEX, "seq int, word string, pron string")).select("word", "pron")
-
-
-@query(values([("کتابِ", "kɪtɑːbeː", "lexicon"), ("وزیرِ", "ʋəziːreː", "lexicon"), ("نامۂ", "nɑːmɑːeː", "lexicon"), ("کِیا", "kɪjɑː", "lexicon"), ("ق", "qɑːf", "letter"), ("قلم", None, "rules")], "word, pron, source"))
-def g2p_cascade_golden(spark, sf_dir):
-    words = spark.createDataFrame([(w,) for w in ("کتابِ", "وزیرِ", "نامۂ", "کِیا", "ق", "قلم")], "word string")
-    letters = spark.createDataFrame([("ق", "qɑːf"), ("غ", "ɣɛːn")], "letter string, name string")
-    return lexicon.cascade(words, spark.createDataFrame(_LEX, "seq int, word string, pron string"), letters)
-
-
-@query(values([("لڑکی", "ləɽkiː", "lərkiː"), ("گھر", "ɡʰər", "ɡər")], "word, best, others"))
-def choose_variant(spark, sf_dir):
-    df = spark.createDataFrame([("لڑکی", ["lərkiː", "ləɽkiː"]), ("گھر", ["ɡ ə r", "ɡʱ ə ɾ"])], "word string, prons array<string>")
-    return lexicon.choose_variant(df, "word", "prons").select("word", "best", F.array_join("others", ",").alias("others"))
-
-
-@query(values([("گھر", "ɡʰər", "agree"), ("لڑکی", "ləɽkiː", "llm"), ("پاکستان", "pɑːkɪstɑːn", "espeak"), ("محبت", "mʊhəbbət", "llm"), ("قلم", "x", "espeak"), ("دوست", "doːst", "rules")], "word, pron, source"))
-def candidate_select(spark, sf_dir):
-    rows = [("گھر", "ɡʰər", "ɡʰər", ""), ("لڑکی", "lɪɽkiː", "ləɽkiː", ""), ("پاکستان", "pɑːkɪstɑːn", "bɑːn", ""), ("محبت", "bət", "mʊhəbbət", ""), ("قلم", "x", "", ""), ("دوست", "", "", "doːst")]
-    return lexicon.select_candidate(spark.createDataFrame(rows, "word string, a string, b string, r string"), rules=F.col("r"))
-
-
-@query(values([("گھر", "ɡʰər", "neural"), ("لڑکی", "ləɽkiː", "rules"), ("دوست", "doːst", "rules")], "word, pron, source"))
-def rerank_select(spark, sf_dir):
-    rows = [("گھر", [("ɡʰər", -0.3), ("ɡər", -0.1)], "ɡʰɪr"), ("لڑکی", [("lərkiː", -0.1)], "ləɽkiː"), ("دوست", [("doːst", -9.0)], "doːst")]
-    return lexicon.rerank(spark.createDataFrame(rows, "word string, cands array<struct<pron:string,logp:double>>, rules string"))
-
-
 @query(f"""WITH r AS ({RECORDS}), known AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark)
 SELECT word, count(*) AS n FROM r WHERE word NOT IN (SELECT word FROM known) AND word NOT IN (SELECT word FROM r WHERE source = 'wikipron') GROUP BY word""")
 def oov_new_words(spark, sf_dir):
@@ -248,15 +129,6 @@ def oov_new_words(spark, sf_dir):
     return fresh.join(r, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(values([(0.0, 0.0, 0.0, "", 4), (2 / 7, 1 / 3, 0.25, "", 7), (4 / 7, 1 / 3, 0.75, "email", 7)], "pcer, pcer_ur, pcer_en, lost, n_ref"))
-def pcer_golden(spark, sf_dir):
-    w = "array<struct<word:string,lang:string,phones:array<string>>>"
-    rows = [([("کام", "ur", list("kɑm")), ("a", "en", ["ə"])], list("kɑmə")), ([("کام", "ur", list("kɑm")), ("email", "en", list("imel"))], list("kɑmel"))]
-    rows.append((rows[1][0], list("kɑm")))
-    df = spark.createDataFrame(rows, f"ref {w}, hyp array<string>").select(pcer.pcer(F.col("ref"), F.col("hyp")).alias("r"))
-    return df.select("r.pcer", "r.pcer_ur", "r.pcer_en", F.array_join("r.lost", ",").alias("lost"), "r.n_ref")
-
-
 @query(r"""WITH RECURSIVE s AS (SELECT conv_id * 1000 + turn AS id, list_filter(list_transform(string_split(regexp_replace(text, '([.?!])\s+', '\1' || chr(10), 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS p FROM conversations),
 m AS (SELECT id, p, 1 AS k, CAST([] AS VARCHAR[]) AS acc FROM s UNION ALL
 SELECT id, p, k + 1, CASE WHEN len(acc) > 0 AND (length(acc[-1]) < 60 OR length(p[k]) < 60) AND length(acc[-1]) + length(p[k]) + 1 <= 200 THEN list_append(acc[:-2], acc[-1] || ' ' || p[k]) ELSE list_append(acc, p[k]) END FROM m WHERE k <= len(p))
