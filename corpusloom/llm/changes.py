@@ -4,10 +4,13 @@ The first stage keeps a state for each (client, n): of rows with the same number
 are rejected there, so that the rows of a hot client spread over all tasks. What goes on is one row a number; the
 second stage keeps, for each client, the next number, the current values and the rows that wait for a gap to close.
 
+Both states are map states, keyed by (client, n) and by client; the grouping keys are ``BUCKETS`` hashes of those, since the
+Python worker sends a batch of its own for each grouping key, which for keys of one row each takes four fifths of the time.
+
 A row that is the first of its number is rejected by the second stage only if its number lies below ``next`` as it was
 when the batch began: within a batch ``next`` passes a number only by applying it. So that stage needs no order
 among the rows of a batch and takes them as they come; what it holds of a client in memory is bounded, more waits in
-a map state. Clients without rows in a batch are woken by timers.
+a map state. Buckets without rows in a batch are woken by timers.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -26,137 +30,168 @@ BATCHES = 12
 PATIENCE = 3
 #: Waiting rows of a client that its state holds as one value; more go to a map state, row by row.
 FEW = 200
-#: Lanes over which repeated rows, which need no state any more, pass the second stage.
-LANES = 1024
+#: Grouping keys of either stage; a task holds the rows that one of them has in a batch.
+BUCKETS = 2048
 _TICK = "#"
 
 _IN = "batch int, client_id long, n long, day int, change_id long, op string, city string, balance double"
-_MID = "owner long, lane int, client_id long, n long, day int, change_id long, op string, city string, balance double"
+_MID = "repeat boolean, client_id long, n long, day int, change_id long, op string, city string, balance double"
 _OUT = "client_id long, n long, change_id long, op string, status string, batch int, missed long, city string, balance double"
-_mid, _out = (Row(*[c.split()[0] for c in schema.split(", ")]) for schema in (_MID, _OUT))
 _WAIT = "n long, day int, change_id long, op string, city string, balance double"
+_mid, _out = (Row(*[c.split()[0] for c in schema.split(", ")]) for schema in (_MID, _OUT))
 
 
 class Firsts(StatefulProcessor):
-    """Keyed by (client_id, n): the first row ever goes on to the client, every later one to a lane of its own."""
+    """The first row ever of each (client, n) goes on, every later one is marked as a repeat."""
 
     def init(self, handle) -> None:
-        self.seen = handle.getValueState("seen", "there boolean")
+        self.seen = handle.getMapState("seen", "client_id long, n long", "there boolean")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        rows = [r for r in rows if r.op != _TICK]
-        if not rows:
-            return
-        first = None
-        if not self.seen.exists():
-            self.seen.update((True,))
-            # ties beyond day and change_id only happen between rows of one change_id: any fixed order
-            first = min(rows, key=lambda r: (r.day, r.change_id, r.op or "", r.city or "", str(r.balance)))
+        best: dict[tuple, tuple] = {}
         for r in rows:
-            if r is first:
-                yield _mid(r.client_id, 0, r.client_id, r.n, r.day, r.change_id, r.op, r.city, r.balance)
+            if r.op == _TICK:
                 continue
-            yield _mid(None, 1 + r.change_id % LANES, r.client_id, r.n, r.day, r.change_id, r.op, r.city, r.balance)
+            # ties beyond day and change_id only happen between rows of one change_id: any fixed order
+            at, own = (r.client_id, r.n), ((r.day, r.change_id, r.op or "", r.city or "", str(r.balance)), r)
+            before = best.get(at)
+            if before is None or own[0] < before[0]:
+                best[at], own = own, before
+            if own is not None:
+                yield _mid(True, *own[1][1:])
+        for at, (_, r) in best.items():
+            repeat = self.seen.containsKey(at)
+            if not repeat:
+                self.seen.updateValue(at, (True,))
+            yield _mid(repeat, *r[1:])
 
     def close(self) -> None:
         pass
 
 
+class _Client:
+    """The state of a client while it is in hand; ``few`` are its waiting rows by number, as far as they are few."""
+
+    __slots__ = ("balance", "begun", "city", "earliest", "few", "many", "next", "waited")
+
+    def __init__(self, row: tuple | None):
+        self.next, self.city, self.balance, self.earliest, self.many, few = row if row is not None else (1, None, None, None, 0, [])
+        self.few = {r[0]: tuple(r) for r in few or []}
+        self.waited, self.begun = bool(self.few or self.many), self.next
+
+
 class Sequencer(StatefulProcessor):
-    """Keyed by (owner, lane); lane 0 is a client. ``horizon``: the largest day of all earlier batches, None before any."""
+    """Applies the rows of each client in order. ``horizon``: the largest day of all earlier batches, None before any."""
 
     def __init__(self, batch: int, horizon: int | None, last: bool):
         self.batch, self.horizon, self.last = batch, horizon, last
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("client", f"next long, city string, balance double, batch int, alarm boolean, earliest int, many long, few array<struct<{_WAIT.replace(' ', ':').replace(',:', ',')}>>")
-        self.many = handle.getMapState("waiting", "n long", _WAIT)
-
-    def _load(self) -> None:
-        got = self.state.get()
-        self.next, self.city, self.balance, self.at, self.alarm, self.earliest, self.n_many, few = got if got is not None else (1, None, None, 0, False, None, 0, [])
-        self.few = {r[0]: tuple(r) for r in few or []}
-
-    def _save(self, timers) -> None:
-        if (self.few or self.n_many) and not self.alarm:
-            self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + 1)
-            self.alarm = True
-        self.state.update((self.next, self.city, self.balance, self.batch, self.alarm, self.earliest, self.n_many, list(self.few.values())))
-
-    def _wait(self, row: tuple) -> None:
-        self.earliest = row[1] if self.earliest is None else min(self.earliest, row[1])
-        if len(self.few) < FEW:
-            self.few[row[0]] = row
-        else:
-            self.many.updateValue((row[0],), row)
-            self.n_many += 1
-
-    def _take(self, n: int) -> tuple | None:
-        if (row := self.few.pop(n, None)) is None and self.n_many and (row := self.many.getValue((n,))) is not None:
+        few = f"array<struct<{_WAIT.replace(' ', ':').replace(',:', ',')}>>"
+        self.clients = handle.getMapState("clients", "client_id long", f"next long, city string, balance double, earliest int, many long, few {few}")
+        self.many = handle.getMapState("many", "client_id long, n long", _WAIT)  # what is beyond the few
+        self.alarms = handle.getMapState("alarms", "client_id long", "earliest int")  # of clients that have rows waiting
+        self.bucket = handle.getValueState("bucket", "batch int, timer boolean, waiting int")
+
+    def _load(self, client: int | None) -> _Client:
+        return _Client(self.clients.getValue((client,)))
+
+    def _save(self, client: int | None, c: _Client) -> None:
+        self.clients.updateValue((client,), (c.next, c.city, c.balance, c.earliest, c.many, list(c.few.values())))
+        if c.few or c.many:
+            self.alarms.updateValue((client,), (c.earliest,))
+            self.waiting += not c.waited
+        elif c.waited:
+            self.alarms.removeKey((client,))
+            self.waiting -= 1
+
+    def _take(self, client: int | None, c: _Client, n: int) -> tuple | None:
+        if (row := c.few.pop(n, None)) is None and c.many and (row := self.many.getValue((client, n))) is not None:
             row = tuple(row)
-            self.many.removeKey((n,))
-            self.n_many -= 1
+            self.many.removeKey((client, n))
+            c.many -= 1
         return row
 
-    def _apply(self, client, row: tuple | None, missed: int) -> Iterator[Row]:
+    def _apply(self, client: int | None, c: _Client, row: tuple | None, missed: int) -> Iterator[Row]:
         """Applies ``row`` and all that wait right behind it."""
         while row is not None:
             n, _, change_id, op, city, balance = row
             if op in ("I", "D"):
-                self.city, self.balance = (city, balance) if op == "I" else (None, None)
+                c.city, c.balance = (city, balance) if op == "I" else (None, None)
             elif op == "U":
-                self.city, self.balance = self.city if city is None else city, self.balance if balance is None else balance
-            yield _out(client, n, change_id, op, "applied", self.batch, missed, self.city, self.balance)
-            self.next, missed = n + 1, 0
-            row = self._take(self.next)
-
-    def _begin(self, client) -> Iterator[Row]:
-        """The start of a batch: gaps are jumped while the earliest waiting row has waited long enough."""
-        due = lambda day: self.last or self.horizon is not None and day + PATIENCE <= self.horizon
-        if (self.few or self.n_many) and due(self.earliest):
-            # numbers and days of what waits, 16 bytes a row; rows themselves stay where they are
-            import numpy as np
-
-            left = [(n, r[1]) for n, r in self.few.items()] + ([(k[0], v[1]) for k, v in self.many.iterator()] if self.n_many else [])
-            left = np.array(sorted(left), np.int64)
-            least = np.minimum.accumulate(left[::-1, 1])[::-1]  # the earliest day among a row and those above it
-            for (n, _), day in zip(left.tolist(), least.tolist(), strict=True):
-                if n < self.next:
-                    continue  # applied behind another
-                if not due(day):
-                    break
-                yield from self._apply(client, self._take(n), n - self.next)
-            still = left[:, 0] >= self.next
-            self.earliest = int(left[still, 1].min()) if still.any() else None
-        self.at = self.batch
+                c.city, c.balance = c.city if city is None else city, c.balance if balance is None else balance
+            yield _out(client, n, change_id, op, "applied", self.batch, missed, c.city, c.balance)
+            c.next, missed = n + 1, 0
+            row = self._take(client, c, c.next)
+
+    def _due(self, day: int) -> bool:
+        return self.last or self.horizon is not None and day + PATIENCE <= self.horizon
+
+    def _jump(self, client: int | None, c: _Client) -> Iterator[Row]:
+        """Gives up missing numbers while the earliest waiting row has waited long enough."""
+        left = [(n, r[1]) for n, r in c.few.items()]
+        if c.many:  # numbers and days of what waits, 16 bytes a row; rows themselves stay where they are
+            left += [(k[1], v[1]) for k, v in self.many.iterator() if k[0] == client]
+        left = np.array(sorted(left), np.int64)
+        least = np.minimum.accumulate(left[::-1, 1])[::-1]  # the earliest day among a row and those above it
+        for (n, _), day in zip(left.tolist(), least.tolist(), strict=True):
+            if n < c.next:
+                continue  # applied behind another
+            if not self._due(day):
+                break
+            yield from self._apply(client, c, self._take(client, c, n), n - c.next)
+        still = left[:, 0] >= c.next
+        c.earliest = int(left[still, 1].min()) if still.any() else None
+
+    def _begin(self) -> Iterator[Row]:
+        """The start of a batch, once a bucket."""
+        got = self.bucket.get()
+        at, self.timer, self.waiting = got if got is not None else (0, False, 0)
+        if at != self.batch and self.waiting:
+            for client in [k[0] for k, v in self.alarms.iterator() if self._due(v[0])]:
+                c = self._load(client)
+                yield from self._jump(client, c)
+                self._save(client, c)
+
+    def _end(self, timers) -> None:
+        if self.waiting and not self.timer:
+            self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + 1)
+            self.timer = True
+        self.bucket.update((self.batch, self.timer, self.waiting))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        client, lane = key
-        if lane:
-            for r in rows:
-                yield _out(r.client_id, r.n, r.change_id, r.op, "rejected", self.batch, 0, None, None)
-            return
-        self._load()
-        yield from self._begin(client)
-        begun = self.next
+        yield from self._begin()
+        held: dict[int | None, _Client] = {}
         for r in rows:
-            if r.n < begun:
+            client = r.client_id
+            if not r.repeat:
+                c = held.get(client)
+                if c is None:
+                    c = held[client] = self._load(client)
+            if r.repeat or r.n < c.begun:
                 yield _out(client, r.n, r.change_id, r.op, "rejected", self.batch, 0, None, None)
                 continue
             row = (r.n, r.day, r.change_id, r.op, r.city, r.balance)
-            if r.n == self.next:
-                yield from self._apply(client, row, 0)
+            if r.n == c.next:
+                yield from self._apply(client, c, row, 0)
+                if not c.few and not c.many:
+                    c.earliest = None
+                continue
+            c.earliest = r.day if c.earliest is None else min(c.earliest, r.day)
+            if len(c.few) < FEW:
+                c.few[r.n] = row
             else:
-                self._wait(row)
-        self._save(timerValues)
+                self.many.updateValue((client, r.n), row)
+                c.many += 1
+        for client, c in held.items():
+            self._save(client, c)
+        self._end(timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self._load()
-        self.alarm = False
-        if self.at != self.batch:
-            yield from self._begin(key[0])
-        self._save(timerValues)
+        yield from self._begin()
+        self.timer = False
+        self._end(timerValues)
 
     def close(self) -> None:
         pass
@@ -245,9 +280,12 @@ def apply_changes(changes: DataFrame, batches: int = BATCHES, after_start: Calla
 
 def _start(spark: SparkSession, base: str, sequencer: Sequencer) -> None:
     """One start of the query: takes what lies in the folder and is new, and ends."""
-    stream = spark.readStream.schema(_IN).parquet(f"{base}/in")
-    firsts = stream.groupBy("client_id", "n").transformWithState(Firsts(), _MID, "append", "none")
-    done = firsts.groupBy("owner", "lane").transformWithState(sequencer, _OUT, "append", "processingTime")
+    bucket = lambda *of: F.pmod(F.xxhash64(*of), F.lit(BUCKETS)).cast("int")
+    rows = spark.readStream.schema(_IN).parquet(f"{base}/in").select(bucket("client_id", "n").alias("slot"), *[c.split()[0] for c in _MID.split(", ")[1:]])
+    firsts = rows.groupBy("slot").transformWithState(Firsts(), _MID, "append", "none")
+    # repeats need no state any more: they pass the second stage in all its buckets
+    owner = F.when(F.col("repeat"), bucket("change_id")).otherwise(bucket("client_id"))
+    done = firsts.withColumn("owner", owner).groupBy("owner").transformWithState(sequencer, _OUT, "append", "processingTime")
     done.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start().awaitTermination()
 
 
