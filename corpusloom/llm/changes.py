@@ -4,8 +4,9 @@ The first stage keeps a state for each (client, n): of rows with the same number
 are rejected there, so that the rows of a hot client spread over all tasks. What goes on is one row a number; the
 second stage keeps, for each client, the next number, the current values and the rows that wait for a gap to close.
 
-Both states are map states, keyed by (client, n) and by client; the grouping keys are ``BUCKETS`` hashes of those, since the
-Python worker sends a batch of its own for each grouping key, which for keys of one row each takes four fifths of the time.
+The grouping keys are hashes of (client, n) and of the client, as many that each has about ``PER_BUCKET`` rows in all, and
+the states of what falls to one key are one value, text in JSON: the Python worker sends a batch of its own for each grouping
+key and asks the state store once for each value, which for keys of one row each takes most of the time.
 
 A row that is the first of its number is rejected by the second stage only if its number lies below ``next`` as it was
 when the batch began: within a batch ``next`` passes a number only by applying it. So that stage needs no order
@@ -15,6 +16,7 @@ a map state. Buckets without rows in a batch are woken by timers.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -30,8 +32,8 @@ BATCHES = 12
 PATIENCE = 3
 #: Waiting rows of a client that its state holds as one value; more go to a map state, row by row.
 FEW = 200
-#: Grouping keys of either stage; a task holds the rows that one of them has in a batch.
-BUCKETS = 2048
+#: Rows for each grouping key of either stage, on average over all batches; a task holds those of one key and batch.
+PER_BUCKET, LEAST_BUCKETS = 1000, 64
 _TICK = "#"
 
 _IN = "batch int, client_id long, n long, day int, change_id long, op string, city string, balance double"
@@ -45,7 +47,7 @@ class Firsts(StatefulProcessor):
     """The first row ever of each (client, n) goes on, every later one is marked as a repeat."""
 
     def init(self, handle) -> None:
-        self.seen = handle.getMapState("seen", "client_id long, n long", "there boolean")
+        self.seen = handle.getValueState("seen", "numbers string")  # by client
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         best: dict[tuple, tuple] = {}
@@ -59,25 +61,33 @@ class Firsts(StatefulProcessor):
                 best[at], own = own, before
             if own is not None:
                 yield _mid(True, *own[1][1:])
+        if not best:
+            return
+        got = self.seen.get()
+        seen = {(client, n) for client, numbers in json.loads(got[0]) for n in numbers} if got is not None else set()
         for at, (_, r) in best.items():
-            repeat = self.seen.containsKey(at)
-            if not repeat:
-                self.seen.updateValue(at, (True,))
-            yield _mid(repeat, *r[1:])
+            yield _mid(at in seen, *r[1:])
+        by: dict[int | None, list[int]] = {}
+        for client, n in seen.union(best):
+            by.setdefault(client, []).append(n)
+        self.seen.update((json.dumps(list(by.items())),))
 
     def close(self) -> None:
         pass
 
 
 class _Client:
-    """The state of a client while it is in hand; ``few`` are its waiting rows by number, as far as they are few."""
+    """What is known of a client; ``few`` are its waiting rows by number, as far as they are few."""
 
-    __slots__ = ("balance", "begun", "city", "earliest", "few", "many", "next", "waited")
+    __slots__ = ("balance", "begun", "city", "earliest", "few", "many", "next")
 
-    def __init__(self, row: tuple | None):
-        self.next, self.city, self.balance, self.earliest, self.many, few = row if row is not None else (1, None, None, None, 0, [])
-        self.few = {r[0]: tuple(r) for r in few or []}
-        self.waited, self.begun = bool(self.few or self.many), self.next
+    def __init__(self, next: int = 1, city: str | None = None, balance: float | None = None, earliest: int | None = None, many: int = 0, few: list = ()):
+        self.next, self.city, self.balance, self.earliest, self.many = next, city, balance, earliest, many
+        self.few = {r[0]: tuple(r) for r in few}
+        self.begun = next
+
+    def row(self) -> tuple:
+        return self.next, self.city, self.balance, self.earliest, self.many, list(self.few.values())
 
 
 class Sequencer(StatefulProcessor):
@@ -88,23 +98,8 @@ class Sequencer(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        few = f"array<struct<{_WAIT.replace(' ', ':').replace(',:', ',')}>>"
-        self.clients = handle.getMapState("clients", "client_id long", f"next long, city string, balance double, earliest int, many long, few {few}")
-        self.many = handle.getMapState("many", "client_id long, n long", _WAIT)  # what is beyond the few
-        self.alarms = handle.getMapState("alarms", "client_id long", "earliest int")  # of clients that have rows waiting
-        self.bucket = handle.getValueState("bucket", "batch int, timer boolean, waiting int")
-
-    def _load(self, client: int | None) -> _Client:
-        return _Client(self.clients.getValue((client,)))
-
-    def _save(self, client: int | None, c: _Client) -> None:
-        self.clients.updateValue((client,), (c.next, c.city, c.balance, c.earliest, c.many, list(c.few.values())))
-        if c.few or c.many:
-            self.alarms.updateValue((client,), (c.earliest,))
-            self.waiting += not c.waited
-        elif c.waited:
-            self.alarms.removeKey((client,))
-            self.waiting -= 1
+        self.bucket = handle.getValueState("bucket", "batch int, timer boolean, clients string")
+        self.many = handle.getMapState("many", "client_id long, n long", _WAIT)  # waiting rows beyond the few
 
     def _take(self, client: int | None, c: _Client, n: int) -> tuple | None:
         if (row := c.few.pop(n, None)) is None and c.many and (row := self.many.getValue((client, n))) is not None:
@@ -147,28 +142,26 @@ class Sequencer(StatefulProcessor):
     def _begin(self) -> Iterator[Row]:
         """The start of a batch, once a bucket."""
         got = self.bucket.get()
-        at, self.timer, self.waiting = got if got is not None else (0, False, 0)
-        if at != self.batch and self.waiting:
-            for client in [k[0] for k, v in self.alarms.iterator() if self._due(v[0])]:
-                c = self._load(client)
-                yield from self._jump(client, c)
-                self._save(client, c)
+        at, self.timer, clients = got if got is not None else (0, False, "[]")
+        self.clients = {client: _Client(*row) for client, row in json.loads(clients)}
+        if at != self.batch:
+            for client, c in self.clients.items():
+                if (c.few or c.many) and self._due(c.earliest):
+                    yield from self._jump(client, c)
+                    c.begun = c.next
 
     def _end(self, timers) -> None:
-        if self.waiting and not self.timer:
+        if not self.timer and any(c.few or c.many for c in self.clients.values()):
             self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + 1)
             self.timer = True
-        self.bucket.update((self.batch, self.timer, self.waiting))
+        self.bucket.update((self.batch, self.timer, json.dumps([(client, c.row()) for client, c in self.clients.items()])))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         yield from self._begin()
-        held: dict[int | None, _Client] = {}
         for r in rows:
             client = r.client_id
-            if not r.repeat:
-                c = held.get(client)
-                if c is None:
-                    c = held[client] = self._load(client)
+            if not r.repeat and (c := self.clients.get(client)) is None:
+                c = self.clients[client] = _Client()
             if r.repeat or r.n < c.begun:
                 yield _out(client, r.n, r.change_id, r.op, "rejected", self.batch, 0, None, None)
                 continue
@@ -184,8 +177,6 @@ class Sequencer(StatefulProcessor):
             else:
                 self.many.updateValue((client, r.n), row)
                 c.many += 1
-        for client, c in held.items():
-            self._save(client, c)
         self._end(timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -261,16 +252,18 @@ def apply_changes(changes: DataFrame, batches: int = BATCHES, after_start: Calla
         ticks = spark.range(1, batches + 2).select(F.col("id").cast("int").alias("batch"), F.lit(_TICK).alias("op"))
         rows = prepare(changes, scratch, batches).unionByName(ticks, allowMissingColumns=True)
         rows.repartition("batch", F.pmod(F.hash("change_id"), F.lit(8))).write.partitionBy("batch").parquet(f"{base}/staged")
-    days = {r[0]: r[1] for r in spark.read.schema(_IN).parquet(f"{base}/staged").groupBy("batch").agg(F.max("day")).collect()}  # a row a batch
+    # a row a batch
+    days = {r[0]: r[1:] for r in spark.read.schema(_IN).parquet(f"{base}/staged").groupBy("batch").agg(F.max("day"), F.count(F.lit(1))).collect()}
+    buckets = max(LEAST_BUCKETS, sum(n for _, n in days.values()) // PER_BUCKET)
     fs.mkdirs(at("in"))
     horizon = None
     with _settings(spark, settings):
         for batch in range(1, batches + 2):
             fs.rename(at("staged", f"batch={batch}"), at("in", f"batch={batch}"))
-            _start(spark, base, Sequencer(batch, horizon, batch > batches))
+            _start(spark, base, Sequencer(batch, horizon, batch > batches), buckets)
             if after_start:
                 after_start(batch)
-            horizon = max((x for x in (horizon, days.get(batch)) if x is not None), default=None)
+            horizon = max((x for x in (horizon, days[batch][0]) if x is not None), default=None)
     out = spark.read.schema(_OUT).parquet(f"{base}/out")
     final = out.filter("status = 'applied'").groupBy(F.col("client_id").alias("of")).agg(F.max("n").alias("top"))
     out = out.hint("merge").join(final.hint("merge"), F.col("client_id").eqNullSafe(F.col("of")) & (F.col("n") == F.col("top")), "left")
@@ -278,9 +271,9 @@ def apply_changes(changes: DataFrame, batches: int = BATCHES, after_start: Calla
     return written(out.select("change_id", "client_id", "n", "op", "status", "batch", "missed", "city", "balance", current.alias("current")))
 
 
-def _start(spark: SparkSession, base: str, sequencer: Sequencer) -> None:
+def _start(spark: SparkSession, base: str, sequencer: Sequencer, buckets: int) -> None:
     """One start of the query: takes what lies in the folder and is new, and ends."""
-    bucket = lambda *of: F.pmod(F.xxhash64(*of), F.lit(BUCKETS)).cast("int")
+    bucket = lambda *of: F.pmod(F.xxhash64(*of), F.lit(buckets)).cast("int")
     rows = spark.readStream.schema(_IN).parquet(f"{base}/in").select(bucket("client_id", "n").alias("slot"), *[c.split()[0] for c in _MID.split(", ")[1:]])
     firsts = rows.groupBy("slot").transformWithState(Firsts(), _MID, "append", "none")
     # repeats need no state any more: they pass the second stage in all its buckets
