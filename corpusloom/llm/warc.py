@@ -1,8 +1,10 @@
 """WARC archives as a Python data source: ``spark.read.format("warc")`` and ``df.write.format("warc")``.
 
 Reading plans partitions from the files, takes over predicates on the record type and other headers, parses a
-record's headers first, and leaves the payload of an unwanted record compressed. Every record is a gzip member of
-its own; members written here say their size in an extra field, so that an unwanted one is skipped with a seek.
+record's headers first, and leaves the payload of an unwanted record compressed. Every record written is a gzip member of
+its own that says its size in an extra field, so that an unwanted one is skipped with a seek, and a large file is read
+in parts by several tasks. Files of others may have any number of records in a member; they are one task each. What is
+cut off is an error.
 Paths are those of any file system that Arrow knows (local, S3, GCS, HDFS); they must be reachable by the driver
 and all executors. Writing is by task: a file comes to its place only when the whole job commits.
 """
@@ -12,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -128,7 +131,9 @@ class Writer(DataSourceArrowWriter):
 
 @dataclass
 class Part(InputPartition):
-    files: list[str]
+    """Files with the range of bytes in which the members or records begin that are read."""
+
+    files: list[tuple[str, int, int]]
 
 
 def _parse(head: bytes) -> dict[str, str]:
@@ -139,77 +144,144 @@ def _parse(head: bytes) -> dict[str, str]:
     return out
 
 
-class Member:
-    """One gzip member of an open file: its headers, and its rest only when asked for."""
-
-    def __init__(self, f, at: int):
-        self.f, self.at, self.size = f, at, None
-        f.seek(at)
-        self.raw = f.read(1 << 16)
-        if not self.raw:
-            raise EOFError
-        if self.raw[:4] == b"\x1f\x8b\x08\x04" and self.raw[12:16] == b"sl\x08\x00":
-            self.size = struct.unpack("<I", self.raw[16:20])[0]
-        self.z = zlib.decompressobj(31)
-        self.data = b""
-        while b"\r\n\r\n" not in self.data and not self.z.eof:
-            self.data += self._more(4096)
-
-    def _more(self, most: int) -> bytes:
-        if self.raw is None:
-            source = self.z.unconsumed_tail or self.f.read(1 << 20)
-        else:
-            source, self.raw = self.raw, None
-        if not source:
-            raise EOFError(f"a record at byte {self.at} is cut off")
-        return self.z.decompress(source, most)
-
-    def headers(self) -> dict[str, str]:
-        return _parse(self.data.partition(b"\r\n\r\n")[0])
-
-    def block(self, length: int) -> bytes:
-        start = self.data.index(b"\r\n\r\n") + 4
-        parts, have = [self.data[start:]], len(self.data) - start
-        while have < length:
+#: How a member written here begins: gzip with one extra field, ``sl``, of eight bytes.
+_SIGN = re.compile(rb"\x1f\x8b\x08\x04.{6}\x0c\x00sl\x08\x00", re.DOTALL)
+
+
+class Records:
+    """The records of an open file, one after another, plain or as gzip members: one record a member, several, or parts.
+
+    After :meth:`headers`, :meth:`block` reads the record's block or :meth:`skip` leaves it out. What a record announces and
+    the file does not hold is an error, never a record less.
+    """
+
+    def __init__(self, f, start: int, stop: int, gzipped: bool):
+        self.f, self.gzipped, self.stop, self.size = f, gzipped, stop, f.size()
+        self.z, self.raw, self.data, self.at = None, b"", b"", start  # at: where what is read next begins in the file
+        self.member = start  # where the member or record at hand begins
+        f.seek(start)
+
+    def _more(self) -> bool:
+        """Appends to ``data``; False at the end of the file."""
+        if not self.gzipped:
+            got = self.f.read(1 << 16)
+            self.data += got
+            return bool(got)
+        while True:
+            if not self.raw:
+                self.raw = self.f.read(1 << 16)
+                if not self.raw:
+                    if self.z is not None:
+                        raise EOFError(f"the gzip member at byte {self.member} is cut off")
+                    return False
+                self.at = self.f.tell() - len(self.raw)
+            if self.z is None:
+                if not self.data and self.at >= self.stop:
+                    return False
+                if self.raw.strip(b"\0") == b"" and self.f.tell() == self.size:
+                    return False  # padding behind the last member
+                self.z, self.member = zlib.decompressobj(31), self.at
+                self.fresh = not self.data  # a member begins where a record does
+                if len(self.raw) < 20:
+                    self.raw += self.f.read(20)
+                self.jump = struct.unpack("<II", self.raw[16:24]) if _SIGN.match(self.raw) and len(self.raw) >= 24 else None
+            got = self.z.decompress(self.raw, 1 << 20)
+            rest = self.z.unused_data if self.z.eof else self.z.unconsumed_tail
+            self.at += len(self.raw) - len(rest)
+            self.raw = rest
             if self.z.eof:
-                raise EOFError(f"the record at byte {self.at} is shorter than it says")
-            parts.append(self._more(1 << 20))
-            have += len(parts[-1])
-        self.z_left = None
-        return b"".join(parts)[:length]
-
-    def end(self) -> int:
-        if self.size is not None:
-            return self.at + self.size
-        while not self.z.eof:
-            self._more(1 << 20)
-        return self.f.tell() - len(self.z.unused_data)
-
-
-class Plain:
-    """One record of an uncompressed file."""
-
-    def __init__(self, f, at: int):
-        f.seek(at)
-        self.f, self.at, self.data = f, at, b""
-        while b"\r\n\r\n" not in self.data:
-            more = f.read(4096)
-            if not more:
-                raise EOFError
-            self.data += more
-        self.start = at + self.data.index(b"\r\n\r\n") + 4
-
-    def headers(self) -> dict[str, str]:
-        out = _parse(self.data.partition(b"\r\n\r\n")[0])
-        self.length = int(out.get("content-length", 0))
+                self.z = None
+            if got:
+                self.data += got
+                return True
+
+    def _over(self) -> bool:
+        """Whether the next record begins behind the range."""
+        if not self.gzipped:
+            return self.f.tell() - len(self.data) >= self.stop
+        return self.z is None and not self.data and self.at >= self.stop
+
+    def headers(self) -> dict[str, str] | None:
+        while True:
+            self.data = self.data.lstrip(b"\r\n")
+            if not self.data and self._over():
+                return None
+            if b"\r\n\r\n" in self.data:
+                break
+            if not self._more():
+                if self.data:
+                    raise EOFError(f"the record at or behind byte {self.member} is cut off")
+                return None
+        if not self.gzipped:
+            if self._over():
+                return None
+            self.member = self.f.tell() - len(self.data)
+        head, _, self.data = self.data.partition(b"\r\n\r\n")
+        self.head = len(head) + 4
+        out = _parse(head)
+        if not head.startswith(b"WARC/") or not out.get("content-length", "").isdigit():
+            raise ValueError(f"no record at or behind byte {self.member}")
         return out
 
     def block(self, length: int) -> bytes:
-        self.f.seek(self.start)
-        return self.f.read(length)
-
-    def end(self) -> int:
-        return self.start + self.length + 4
+        parts, have = [self.data], len(self.data)
+        while have < length:
+            self.data = b""
+            if not self._more():
+                raise EOFError(f"the record at or behind byte {self.member} is shorter than it says")
+            parts.append(self.data)
+            have += len(self.data)
+        whole = b"".join(parts)
+        self.data = whole[length:]
+        return whole[:length]
+
+    def skip(self, length: int) -> None:
+        if not self.gzipped and len(self.data) < length:
+            to = self.f.tell() - len(self.data) + length
+            if to > self.size:
+                raise EOFError(f"the record at byte {self.member} is shorter than it says")
+            self.f.seek(to)
+            self.data = b""
+        elif self.gzipped and self.z is not None and self.fresh and self.jump and self.jump[1] == (self.head + length + 4) & 0xFFFFFFFF:
+            if self.member + self.jump[0] > self.size:
+                raise EOFError(f"the gzip member at byte {self.member} is cut off")
+            self.f.seek(self.member + self.jump[0])
+            self.z, self.raw, self.data, self.at = None, b"", b"", self.member + self.jump[0]
+        else:
+            left = length
+            while len(self.data) < left:
+                left -= len(self.data)
+                self.data = b""
+                if not self._more():
+                    raise EOFError(f"the record at or behind byte {self.member} is shorter than it says")
+            self.data = self.data[left:]
+
+
+def first_member(f, start: int, stop: int) -> int:
+    """Where the first member written here begins at ``start`` or behind; the end of the file if none does.
+
+    From there each member must begin where the one before says that it ends, up to ``stop``. So what merely looks like a
+    member is passed over, be it an archive within an archive.
+    """
+    size, at, window = f.size(), start, b""
+    while at < size:
+        f.seek(at)
+        window = f.read(1 << 20)
+        for m in _SIGN.finditer(window):
+            here = at + m.start()
+            to = here
+            while to < stop:
+                f.seek(to)
+                head = f.read(20)
+                if not _SIGN.match(head):
+                    break
+                to += struct.unpack("<I", head[16:20].ljust(4, b"\0"))[0]
+            if stop <= to <= size:
+                return here
+        at += max(1, len(window) - 15)
+        if at + 16 > size:
+            break
+    return size
 
 
 class Reader(DataSourceReader):
@@ -238,17 +310,28 @@ class Reader(DataSourceReader):
         fs, base = open_fs(self.path)
         info = fs.get_file_info(base)
         if info.type == pafs.FileType.File:
-            return [Part([base])]
-        files = [x for x in fs.get_file_info(pafs.FileSelector(base, recursive=True)) if x.type == pafs.FileType.File and x.path.endswith((".warc", ".warc.gz")) and "/_" not in x.path[len(base) :]]
-        out, size = [], self.bytes
+            files = [info]
+        else:
+            files = [x for x in fs.get_file_info(pafs.FileSelector(base, recursive=True)) if x.type == pafs.FileType.File and x.path.endswith((".warc", ".warc.gz")) and "/_" not in x.path[len(base) :]]
+        pieces = []
         for x in sorted(files, key=lambda x: x.path):
-            if size + x.size > self.bytes:
+            ours = x.size > self.bytes and x.path.endswith(".gz") and self._ours(fs, x.path)
+            step = self.bytes if ours else max(1, x.size)  # members written here can be found from any place
+            pieces += [(x.path, at, min(at + step, x.size)) for at in range(0, max(1, x.size), step)]
+        out, size = [], self.bytes
+        for piece in pieces:
+            if size + piece[2] - piece[1] > self.bytes:
                 out.append(Part([]))
                 size = 0
-            out[-1].files.append(x.path)
-            size += x.size
+            out[-1].files.append(piece)
+            size += piece[2] - piece[1]
         return out or [Part([])]
 
+    @staticmethod
+    def _ours(fs: pafs.FileSystem, path: str) -> bool:
+        with fs.open_input_file(path) as f:
+            return bool(_SIGN.match(f.read(16)))
+
     def wanted(self, row: dict[str, Any]) -> bool:
         for name, test, value in self.tests:
             x = row[name]
@@ -259,25 +342,30 @@ class Reader(DataSourceReader):
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         fs, _ = open_fs(self.path)
         rows, size = [], 0
-        for name in partition.files:
+        for name, start, stop in partition.files:
             with fs.open_input_file(name) as f:
-                kind, at, end = (Member if name.endswith(".gz") else Plain), 0, f.size()
-                while at < end:
-                    r = kind(f, at)
-                    h = r.headers()
+                gzipped = name.endswith(".gz")
+                if start:
+                    start = first_member(f, start, stop)
+                records = Records(f, start, stop, gzipped)
+                while start < stop and (h := records.headers()) is not None:
                     row = {c: h.get(k) for c, k in HEADERS.items()}
                     for c in ("record_id", "refers_to"):
                         row[c] = row[c] and row[c].strip("<>")
-                    if self.wanted(row):
-                        row["content_length"] = length = int(h.get("content-length", 0))
-                        if self.payload != "none":
-                            self.decode(row, r.block(length))
-                        rows.append(row)
-                        size += 200 + len(row.get("payload") or b"")
-                        if len(rows) >= 4096 or size >= 8 << 20:
-                            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
-                            rows, size = [], 0
-                    at = r.end()
+                    length = int(h["content-length"])
+                    if not self.wanted(row):
+                        records.skip(length)
+                        continue
+                    row["content_length"] = length
+                    if self.payload != "none":
+                        self.decode(row, records.block(length))
+                    else:
+                        records.skip(length)
+                    rows.append(row)
+                    size += 200 + len(row.get("payload") or b"")
+                    if len(rows) >= 4096 or size >= 8 << 20:
+                        yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+                        rows, size = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
