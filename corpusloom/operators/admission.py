@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import ARABIC_SCRIPT, has_arabic_script
@@ -122,3 +122,42 @@ def with_candidates(words: DataFrame, candidates: DataFrame) -> DataFrame:
     """Every word with its candidate, null where there is none; of several for a word the first by ``seq`` counts."""
     first = candidates.groupBy(F.col("word").alias("__w")).agg(F.min_by("cand", "seq").alias("cand"))
     return words.join(first, F.col("word") == F.col("__w"), "left").drop("__w")
+
+
+# --- guards that are checked in the pass that does the work ---
+
+
+def edited(df: DataFrame, text: str, edits: DataFrame, key: str = "text", value: str = "edited", as_: str = "spoken") -> DataFrame:
+    """``df`` with ``as_``: the edit of its text, or the text itself. An edit whose key no row has is an error that names it,
+    raised by the job that computes the rows; so is one that is null or empty."""
+    e = edits.select(F.col(key).alias("__key"), F.col(value).alias("__value"), F.lit(True).alias("__edit"))
+    rows = df.withColumn("__row", F.lit(True)).join(e, F.col(text).eqNullSafe(F.col("__key")), "full_outer")
+    fault = F.when(F.col("__row").isNull(), F.concat(F.lit("no row has the text of the edit: "), F.coalesce("__key", F.lit("null"))))
+    fault = fault.when(F.col("__edit") & (F.trim(F.coalesce("__value", F.lit(""))) == ""), F.concat(F.lit("an empty edit of: "), F.coalesce("__key", F.lit("null"))))
+    checked = F.when(fault.isNotNull(), F.raise_error(fault).cast("string")).otherwise(F.coalesce("__value", F.col(text)))
+    return rows.withColumn(as_, checked).filter(F.col("__row") | F.col(as_).isNotNull()).drop("__row", "__key", "__value", "__edit")
+
+
+class NotAdmitted(ValueError):
+    """What was written does not meet its expectations."""
+
+
+def write_guarded(df: DataFrame, path: str, faults: dict[str, Column], least: int = 1) -> dict[str, int]:
+    """Writes ``df`` as Parquet and counts, in the same pass, its rows and those with each of ``faults``.
+
+    Fewer than ``least`` rows, or any row with a fault, is an error once the write has ended; what was written is
+    removed. Returns the counts.
+    """
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(name) for name, c in faults.items()]]
+    df.observe(seen, *counts).write.parquet(path)
+    got = seen.get
+    wrong = [f"{got[name]} rows: {name}" for name in faults if got[name]]
+    if got["rows"] < least:
+        wrong.append(f"{got['rows']} rows, at least {least} are needed")
+    if wrong:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        raise NotAdmitted("; ".join(wrong))
+    return got

@@ -220,3 +220,58 @@ def longest_pause(rate: int, level: float = -45.0, frame_ms: float = 20.0):
         return samples.map(one)
 
     return run
+
+
+# --- fixed values: the mel scale that is linear up to 1000 Hz, and the frames of the comparison ---
+MEL_STEP, MEL_BREAK, MEL_LOG = 200.0 / 3, 1000.0, np.log(6.4) / 27
+FRAME, HOP, BANDS, LOG_FLOOR = 1024, 256, 80, 1e-5
+# --- end of fixed values ---
+
+
+def mel_filters(rate: int, frame: int = FRAME, bands: int = BANDS) -> np.ndarray:
+    """Triangles of equal area on the mel scale: (bands, bins of the spectrum)."""
+    top = rate / 2
+    mel = lambda f: np.where(f < MEL_BREAK, f / MEL_STEP, MEL_BREAK / MEL_STEP + np.log(np.maximum(f, 1e-9) / MEL_BREAK) / MEL_LOG)
+    marks = np.linspace(0.0, float(mel(np.array(top))), bands + 2)
+    hertz = np.where(marks < MEL_BREAK / MEL_STEP, marks * MEL_STEP, MEL_BREAK * np.exp(MEL_LOG * (marks - MEL_BREAK / MEL_STEP)))
+    bins = np.linspace(0.0, top, frame // 2 + 1)
+    low, mid, high = hertz[:-2, None], hertz[1:-1, None], hertz[2:, None]
+    return np.maximum(0.0, np.minimum((bins - low) / (mid - low), (high - bins) / (high - mid))) * (2.0 / (high - low))
+
+
+def log_mel(y: np.ndarray, filters: np.ndarray, frame: int = FRAME, hop: int = HOP) -> np.ndarray:
+    """Logarithms of the power in each band of frames centred at every ``hop``-th sample; zeros beyond the ends."""
+    padded = np.pad(np.asarray(y, float), frame // 2)
+    frames = np.lib.stride_tricks.sliding_window_view(padded, frame)[::hop]
+    power = np.abs(np.fft.rfft(frames * (0.5 - 0.5 * np.cos(2 * np.pi * np.arange(frame) / frame)), axis=1)) ** 2
+    return np.log(power @ filters.T + LOG_FLOOR)
+
+
+def _correlated(a: np.ndarray, b: np.ndarray) -> float:
+    a, b = a - a.mean(), b - b.mean()
+    return float(np.vdot(a, b) / (np.linalg.norm(a) * np.linalg.norm(b) + 1e-9))
+
+
+def likeness(rate: int, least: int = 1000):
+    """A pandas UDF of two signals: (wave, mel, length_ratio), Pearson's correlation of the samples and of the log-mel
+    spectra over the shorter length, and the second length by the first. 0 for fewer than ``least`` samples; null for null."""
+
+    @F.pandas_udf("struct<wave:double,mel:double,length_ratio:double>")
+    def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        filters, out = mel_filters(rate), []
+        for x, y in zip(a, b, strict=True):
+            if x is None or y is None:
+                out.append((None, None, None))
+                continue
+            x, y, n = np.asarray(x, float), np.asarray(y, float), min(len(x), len(y))
+            wave, mel = (0.0, 0.0) if n < least else (_correlated(x[:n], y[:n]), _correlated(log_mel(x[:n], filters), log_mel(y[:n], filters)))
+            out.append((wave, mel, len(y) / max(len(x), 1)))
+        return pd.DataFrame(out, columns=["wave", "mel", "length_ratio"])
+
+    return run
+
+
+def parity(df: DataFrame, group: Sequence[str], a: str, b: str, rate: int = 24_000) -> DataFrame:
+    """(group, min_corr, mean_corr, mel_corr_min, len_ratio_mean, n): how alike pairs of signals are."""
+    rows = df.withColumn("__l", likeness(rate)(F.col(a), F.col(b))).filter("__l.wave IS NOT NULL")
+    return rows.groupBy(*group).agg(F.min("__l.wave").alias("min_corr"), F.avg("__l.wave").alias("mean_corr"), F.min("__l.mel").alias("mel_corr_min"), F.avg("__l.length_ratio").alias("len_ratio_mean"), F.count(F.lit(1)).alias("n"))

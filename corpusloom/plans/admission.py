@@ -6,9 +6,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import phones, registry
-from ..operators import admission, reports, splits
+from ..operators import admission, reports, signal, splits
 from ..sources import files
-from .corpus import table
+from .corpus import table, words_of
 from .formats import folder
 
 QUERIES: dict = {}
@@ -205,3 +205,41 @@ def functions_in_sql(spark, sf_dir):
 
 def _marked(text: pd.Series) -> pd.Series:
     return text + "!"
+
+
+@query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'speaker one' WHEN role = 'assistant' THEN 'speaker two' ELSE role END AS spoken FROM conversations")
+def edits_all_used(spark, sf_dir):
+    """Roles edited by a table made of the data; an edit without a row would make the job fail."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    edits = c.select("role").distinct().filter("role IN ('user', 'assistant')").select("role", F.when(F.col("role") == "user", "speaker one").otherwise("speaker two").alias("edited"))
+    return admission.edited(c, "role", edits, "role").select("conv_id", "turn", "spoken")
+
+
+@query("SELECT doc_id, lang, n_chars FROM documents")
+def guarded_write(spark, sf_dir):
+    """Documents written and checked in one pass: ids are there, lengths are not negative."""
+    at = f"{folder(spark)}/guarded"
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    admission.write_guarded(d, at, {"no id": F.col("doc_id").isNull(), "negative length": F.col("n_chars") < 0})
+    return spark.read.parquet(at)
+
+
+@query("SELECT word, replace(word, 'l', '\u027d') AS said FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents)")
+def retroflex_repair(spark, sf_dir):
+    """All words written with the two letters for r and l, and candidates that say both alike."""
+    w = words_of(spark, sf_dir).select("word").distinct()
+    written = F.translate("word", "rl", phones.TAPS)
+    return w.select("word", phones.retroflex_repaired(written, F.translate("word", "l", "r")).alias("said"))
+
+
+def parity_of_signals(spark, sf_dir):
+    """Each vector as a signal against a later, noisier and shorter one, by label."""
+    e = table(spark, sf_dir, "embeddings").filter("embedding IS NOT NULL")
+    a = F.flatten(F.array_repeat(F.transform("embedding", lambda x: x.cast("double")), 40))
+    b = F.transform(a, lambda x, i: x + 0.05 * F.sin(i * 1.7 + F.col("vec_id")))
+    pairs = e.select("label", a.alias("a"), F.slice(b, 1, 2400).alias("b"))
+    out = signal.parity(pairs, ["label"], "a", "b")
+    return out.select("label", *[F.round(c, 6).alias(c) for c in ("min_corr", "mean_corr", "mel_corr_min", "len_ratio_mean")], "n")
+
+
+QUERIES["parity_of_signals"] = parity_of_signals

@@ -6,9 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..sources import files
+from ..functions import registry
+from ..sources import files, shards
+from ..streaming import steps
 from ..streaming.budget import shared_folder
-from .corpus import table
+from .corpus import ORACLES as CORPUS
+from .corpus import labelled, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -238,3 +241,104 @@ def markdown_report(spark, sf_dir):
 @query(r"SELECT page_id, regexp_extract(url, '[^\\/]+$', 0) AS file FROM pages")
 def url_basename(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", files.basename(F.col("url")).alias("file"))
+
+
+@query("SELECT page_id, octet_length(encode(html)) AS bytes, sha256(html) AS sha FROM pages")
+def shard_scan(spark, sf_dir):
+    """Shards read by the data source: two of three columns, the payload as bytes."""
+    at = f"{folder(spark)}/shards"
+    p = table(spark, sf_dir, "pages").select("page_id", "url", F.encode("html", "UTF-8").alias("payload"))
+    shards.write_shards(p, at, ["page_id"], 8)
+    shards.register(spark)
+    rows = spark.read.format("shards").schema("page_id long, payload binary").load(at)
+    return rows.select("page_id", F.octet_length("payload").cast("long").alias("bytes"), F.sha2("payload", 256).alias("sha"))
+
+
+@query("SELECT page_id, octet_length(encode(html)) AS bytes, page_id % 2 AS start FROM pages")
+def shard_stream(spark, sf_dir):
+    """The same shards as a stream that is started twice, the second time with new shards: each is taken once."""
+    at = folder(spark)
+    p = table(spark, sf_dir, "pages").select("page_id", F.encode("html", "UTF-8").alias("payload"))
+    shards.register(spark)
+    for start in (0, 1):
+        part = f"{at}/part{start}"
+        shards.write_shards(p.filter(F.col("page_id") % 2 == start), part, ["page_id"], 4)
+        files.move_all(spark, part, f"{at}/in", f"{start}-")
+        rows = spark.readStream.format("shards").schema("page_id long, payload binary").load(f"{at}/in")
+        rows = rows.select("page_id", F.octet_length("payload").cast("long").alias("bytes"), F.lit(start).cast("long").alias("start"))
+        rows.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out")
+
+
+@query(CORPUS["budget_admission"].replace("10000.0", "2000.0").replace("20000.0", "4000.0"))
+def budget_scan(spark, sf_dir):
+    """Budgeted admission over shards, which ends when all budgets are full: later shards are not opened."""
+    at = folder(spark)
+    d = labelled(spark, sf_dir).select("doc_id", "source", "toxic", "n_chars")
+    shards.write_shards(d, f"{at}/shards", ["doc_id"], 16)
+    budgets = d.select("source", "toxic").distinct().collect()  # a row a budget
+    caps = {(r["source"], r["toxic"]): 2000.0 if r["toxic"] == 1 else 4000.0 for r in budgets}
+    out, _ = shards.admit_until_full(spark, f"{at}/shards", f"{at}/out", None, "n_chars", ["source", "toxic"], caps, "doc_id", F.shiftright("doc_id", 12))
+    return out.select("doc_id", "source", "toxic", "n_chars", "spent")
+
+
+@query("SELECT vec_id, CAST(i AS INTEGER) AS part, 'sentence ' || i || '.' AS sentence FROM embeddings, range(3) AS t(i) WHERE embedding IS NOT NULL")
+def clip_parts(spark, sf_dir):
+    """Clips of three loud stretches, made of each vector, cut at their pauses by a table function in a lateral join."""
+    registry.register(spark)
+    loud = F.flatten(F.array_repeat(F.transform("embedding", lambda x: F.when(x < 0, -1.0).otherwise(1.0)), 64))
+    quiet = F.array_repeat(F.lit(0.0), 4096)
+    e = table(spark, sf_dir, "embeddings").filter("embedding IS NOT NULL")
+    e.select("vec_id", F.concat(loud, quiet, loud, quiet, loud).alias("samples")).createOrReplaceTempView("corpusloom_clips")
+    return spark.sql("SELECT vec_id, part, sentence FROM corpusloom_clips, LATERAL corpus_clip_parts(samples, 2000, 'sentence 0. sentence 1. sentence 2.', 1.5D, 20.0D)")
+
+
+@query(r"""WITH s AS (SELECT conv_id, turn, unnest(list_filter(string_split(regexp_replace(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '([.?!])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')) AS sentence FROM conversations)
+SELECT conv_id, round(avg(CASE WHEN length(sentence) % 7 > 0 THEN length(sentence) END), 6) AS mean FROM s GROUP BY conv_id""")
+def extensions_in_sql(spark, sf_dir):
+    """A table function and an aggregate, both called from SQL: sentences of turns, and a mean without NaN."""
+    registry.register(spark)
+    table(spark, sf_dir, "conversations").createOrReplaceTempView("corpusloom_said")
+    return spark.sql("""SELECT conv_id, round(corpus_nanmean(CASE WHEN length(sentence) % 7 > 0 THEN CAST(length(sentence) AS DOUBLE) ELSE CAST('NaN' AS DOUBLE) END), 6) AS mean
+        FROM corpusloom_said, LATERAL corpus_sentences(text) GROUP BY conv_id""")
+
+
+@query("SELECT event_type, user_id % 8 AS part, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def resumable_steps(spark, sf_dir):
+    """A step over a stream of eight files, broken off in its third batch after it has written, and run again."""
+    at, e = folder(spark), table(spark, sf_dir, "events").select("user_id", "event_type", "value")
+    e.withColumn("part", F.pmod("user_id", F.lit(8))).repartition("part").write.partitionBy("part").parquet(f"{at}/in")
+    schema = "user_id long, event_type string, value double, part int"
+
+    def stream():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+
+    def step(rows, batch):
+        return rows.groupBy("event_type", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+
+    def crash(batch, where):
+        if batch == 2 and where == "written":
+            raise RuntimeError("broken off")
+
+    try:
+        steps.run_steps(stream(), step, at, crash)
+    except Exception as e:
+        if "broken off" not in str(e):
+            raise
+    out = steps.run_steps(stream(), step, at)
+    return out.groupBy("event_type", F.col("part").cast("long").alias("part")).agg(F.sum("n").alias("n"), F.round(F.sum("total"), 4).alias("total"))
+
+
+@query(r"""WITH l AS (SELECT event_type, string_agg('step ' || event_id || ', Mel Loss: ' || CAST(floor(value) AS BIGINT) || chr(10), '' ORDER BY event_id) AS t FROM events GROUP BY event_type),
+r AS (SELECT event_type, length(t) > 4000 AS longer, regexp_extract_all(right(t, 4000), 'Mel Loss: (\d+)', 1) AS v FROM l)
+SELECT event_type, longer, len(v) AS n, CAST(v[-1] AS BIGINT) AS last FROM r""")
+def log_tail(spark, sf_dir):
+    """The last characters of each log, read from the end of its file."""
+    at = f"{folder(spark)}/logs"
+    line = F.concat(F.lit("step "), "event_id", F.lit(", Mel Loss: "), F.floor("value").cast("long"))
+    e = table(spark, sf_dir, "events").select("event_type", "event_id", line.alias("value"))
+    e.repartition("event_type").sortWithinPartitions("event_type", "event_id").select("event_type", "value").write.partitionBy("event_type").text(at)
+    t = files.tails(spark, at, 4000)
+    v = F.regexp_extract_all("text", F.lit(r"Mel Loss: (\d+)"), F.lit(1))
+    rows = t.select(F.regexp_extract("path", "event_type=([^/]+)", 1).alias("event_type"), (F.col("length") > 4000).alias("longer"), v.alias("v"))
+    return rows.select("event_type", "longer", F.size("v").cast("long").alias("n"), F.try_element_at("v", F.lit(-1)).cast("long").alias("last"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import phones
 from ..functions.text import URDU_LETTERS, normalize_chars, strip_diacritics
 from ..operators import lexicon
+from .shards import open_fs
 
 #: Members of one tar archive.
 TAR_MEMBERS = 256
@@ -374,3 +375,40 @@ def listening_page(df: DataFrame, group: str, label: str, src: str, seq: str) ->
     one = F.struct(seq, F.concat(F.lit("<p>"), esc(F.col(label)), F.lit(' <audio controls src="'), esc(F.col(src)), F.lit('"></audio></p>')).alias("p"))
     rows = df.groupBy(group).agg(F.min(seq).alias("first_seen"), F.sort_array(F.collect_list(one)).alias("__takes"))
     return rows.select("first_seen", F.concat(F.lit("<section><h2>"), esc(F.col(group)), F.lit("</h2>"), F.array_join(F.transform("__takes", lambda x: x["p"]), ""), F.lit("</section>")).alias("html"))
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def move_all(spark: SparkSession, source: str, target: str, prefix: str = "") -> None:
+    """Moves the files of a folder, but what begins with ``_`` or ``.``, to another one, each name behind ``prefix``."""
+    fs, src = _hadoop(spark, source)
+    fs.mkdirs(_hadoop(spark, target)[1])
+    for s in fs.listStatus(src):
+        name = s.getPath().getName()
+        if name[0] not in "_.":
+            fs.rename(s.getPath(), _hadoop(spark, f"{target}/{prefix}{name}")[1])
+
+
+def tails(spark: SparkSession, path: str, most: int = 400_000, glob: str = "*") -> DataFrame:
+    """(path, length, text): the last ``most`` characters of every file under ``path``, and its bytes in all.
+
+    Only the end of a file is read; bytes at the cut that are part of a character are left out. A line that is cut
+    stays as it is; an empty file has no row.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path).select("path", "length")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                fs, at = open_fs(name)
+                with fs.open_input_file(at) as f:
+                    f.seek(max(0, length - 4 * most))  # a character has four bytes at most
+                    data = f.read()
+                while length > 4 * most and data and data[0] & 0xC0 == 0x80:
+                    data = data[1:]
+                yield pa.RecordBatch.from_pydict({"path": [name], "length": [length], "text": [data.decode("utf-8", "replace")[-most:]]})
+
+    return listed.mapInArrow(run, "path string, length long, text string")
