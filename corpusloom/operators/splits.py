@@ -68,10 +68,14 @@ def holdout(df: DataFrame, key: str, share: float = 0.1, seed: int = 42) -> Data
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """Of rows with equal keys the one with the smallest ``seq``; partial aggregates, no sort."""
-    others = [c for c in df.columns if c not in (*keys, seq)]
-    rows = df.groupBy(*keys).agg(F.min(seq).alias(seq), *[F.min_by(c, seq).alias(c) for c in others])
-    return rows.select(*df.columns)
+    """Of rows with equal keys the one with the smallest ``seq``, any one of those that share it.
+
+    Keys, which may be whole texts, are compared by a digest; only that and ``seq`` are aggregated, and the rows move once.
+    """
+    rows = df.withColumn("__key", F.sha2(F.to_json(F.struct(*keys)), 256))
+    first = rows.groupBy("__key").agg(F.min(seq).alias("__first"))
+    found = rows.join(first.withColumnRenamed("__key", "__of"), F.col("__key") == F.col("__of")).filter(F.col(seq).eqNullSafe(F.col("__first")))
+    return found.dropDuplicates(["__key"]).select(*df.columns)
 
 
 def disjoint_slices(df: DataFrame, key: str, sizes: dict[str, int], seed: int = 0, rest: str = "rest") -> DataFrame:

@@ -111,7 +111,7 @@ def _records(spark, sf_dir, once: bool = False):
     return d.select((F.shiftleft("doc_id", 31) + F.col("p")).alias("seq"), "word", F.concat("word", (F.col("doc_id") % 3).cast("string")).alias("pron"), source.alias("source"))
 
 
-@query(f"""WITH r AS ({RECORDS}), k AS (SELECT *, CASE source WHEN 'wikipron' THEN 1 WHEN 'agree' THEN 2 WHEN 'llm' THEN 3 ELSE 5 END AS rk FROM r),
+@query(f"""WITH r AS (SELECT word, pron, source, min(seq) AS seq FROM ({RECORDS}) GROUP BY word, pron, source, seq // 2147483648), k AS (SELECT *, CASE source WHEN 'wikipron' THEN 1 WHEN 'agree' THEN 2 WHEN 'llm' THEN 3 ELSE 5 END AS rk FROM r),
 w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY rk, seq) AS n FROM k) WHERE n = 1),
 v AS (SELECT k.word, k.pron, min(k.seq) AS seq FROM k JOIN w ON k.word = w.word AND k.seq > w.seq AND k.pron <> w.pron GROUP BY ALL),
 a AS (SELECT word, string_agg(pron, ';' ORDER BY seq) AS variants FROM v GROUP BY word)

@@ -35,7 +35,9 @@ def pairs(spark, sf_dir):
     """Consecutive turns as hypothesis and reference, normalised, whole."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", edit.normalize_en(F.col("text")).alias("t"))
     w = Window.partitionBy("conv_id").orderBy("turn")
-    return c.select("conv_id", "turn", "role", F.col("t").alias("hyp"), F.lag("t").over(w).alias("ref"))
+    rows = c.select("conv_id", "turn", "role", F.col("t").alias("hyp"), F.lag("t").over(w).alias("ref"))
+    # few bytes but much work: over as many tasks as any shuffle has, not put together by size
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "conv_id", "turn")
 
 
 def cers(spark, sf_dir):
