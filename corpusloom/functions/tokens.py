@@ -47,10 +47,41 @@ def raw_tag(token: Column) -> Column:
     return F.when(token.rlike(ARABIC_WORD.replace("\u200c", "")), "ur").when(token.rlike("[A-Za-z]"), classify_latin(token)).when(token.rlike("^[0-9]"), "num").otherwise("punct")
 
 
+def tags_of(text: Column) -> Column:
+    """The tokens of a text as an array of (token, tag), tagged as :func:`tag` does without a table of words.
+
+    The languages of the tokens stand as one letter each in a string, in which a number finds its neighbours. What is used
+    more than once is bound as an argument of a lambda.
+    """
+
+    def bound(x: Column, f) -> Column:
+        return F.transform(F.array(x), f)[0]
+
+    def tagged(x: Column) -> Column:
+        sides, count = x["s"], lambda c: F.char_length(x["s"]) - F.char_length(F.replace(x["s"], F.lit(c), F.lit("")))
+        vote = lambda c: F.when(c == "e", 1).when(c == "u", -1).otherwise(0)
+
+        def one(t: Column, i: Column) -> Column:
+            raw = F.element_at(x["r"], i + 1)
+            left = F.substring(F.rtrim(F.substring(sides, F.lit(1), i), F.lit(".")), -1, 1)
+            right = F.substring(F.ltrim(F.substring(sides, i + 2, F.char_length(sides)), F.lit(".")), 1, 1)
+            both = vote(left) + vote(right)
+            language = F.when(both > 0, "en").when(both < 0, "ur").when(count("e") > count("u"), "en").otherwise("ur")
+            return F.struct(t.alias("token"), F.when(raw == "num", F.concat(F.lit("num_"), language)).otherwise(raw).alias("tag"))
+
+        return F.transform(x["t"], one)
+
+    side = lambda raw: F.when(raw.isin(*ENGLISH), "e").when(raw == "ur", "u").otherwise(".")
+    sided = lambda x: bound(F.struct(x["t"].alias("t"), x["r"].alias("r"), F.array_join(F.transform(x["r"], side), "").alias("s")), tagged)
+    return bound(tokenize(text), lambda t: bound(F.struct(t.alias("t"), F.transform(t, raw_tag).alias("r")), sided))
+
+
 def tag(df: DataFrame, key: str, text: str, known: DataFrame | None = None) -> DataFrame:
     """(key, pos, token, tag): numbers take the language of the nearest words on either side, by vote, on a tie that
     of most words of the text. With ``known`` (a table of one column ``word``, lower case) Latin words that it
     does not hold are ``roman_ur?``."""
+    if known is None:  # within the row, without a shuffle
+        return df.select(key, F.posexplode(tags_of(F.col(text))).alias("pos", "t")).select(key, "pos", "t.token", "t.tag")
     rows = df.select(key, F.posexplode(tokenize(F.col(text))).alias("pos", "token")).withColumn("raw", raw_tag(F.col("token")))
     if known is not None:
         words = known.select(F.lower("word").alias("__w")).distinct()
