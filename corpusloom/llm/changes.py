@@ -244,6 +244,7 @@ def apply_changes(changes: DataFrame, batches: int = BATCHES, after_start: Calla
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # stores of earlier starts stay open until the next round of maintenance, and each would have megabytes set aside
         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.maintenanceInterval": "20s",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
