@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from .plans import admission, corpus, formats, frontend, language, scoring
+from .plans import admission, corpus, formats, frontend, language, scoring, words
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _plan in (corpus, language, scoring, frontend, formats, admission):
+for _plan in (corpus, language, scoring, frontend, formats, admission, words):
     QUERIES |= _plan.QUERIES
     ORACLES |= _plan.ORACLES
 

@@ -27,8 +27,11 @@ def query(sql: str):
 
 
 def folder(spark) -> str:
-    """A new folder where all machines write and read."""
-    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    """A new folder where all machines write and read; it goes when the application ends."""
+    path = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
 
 
 def _seq():

@@ -218,6 +218,8 @@ SELECT user_id, event_id, value, round(spent, 4) AS spent FROM b WHERE spent < 5
 def streaming_budget(spark, sf_dir):
     """events as a stream into a budget per user; everything available is taken once, then read back."""
     at = f"{budget.shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(at)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     e = table(spark, sf_dir, "events")
     source = spark.readStream.schema(e.schema).parquet(f"{sf_dir}/event[s].parquet")  # a pattern, for a stream of files
     budget.run_available(budget.admit_stream(source.select("user_id", "event_id", "value"), "user_id", "event_id", "value", 500.0), f"{at}/out", f"{at}/state")
