@@ -124,6 +124,18 @@ def with_candidates(words: DataFrame, candidates: DataFrame) -> DataFrame:
     return words.join(first, F.col("word") == F.col("__w"), "left").drop("__w")
 
 
+# --- fixed values: what a sentence of one script may not hold ---
+SIGNS_REFUSED = r"[\[\](){}<>|/=\\*_#]"
+# --- end of fixed values ---
+
+
+def plain_sentence(sentence: Column, ends: str = "۔؟!", least: int = 20, most: int = 200, latin: bool = False) -> Column:
+    """Of fitting length, without signs of markup, closed by one of ``ends``, and without Latin letters unless ``latin``."""
+    s = sentence
+    ok = F.char_length(s).between(least, most) & ~s.rlike(SIGNS_REFUSED) & s.rlike(f"[{ends}]$")
+    return F.coalesce(ok if latin else ok & ~s.rlike("[A-Za-z]"), F.lit(False))
+
+
 # --- guards that are checked in the pass that does the work ---
 
 

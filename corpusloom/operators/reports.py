@@ -80,3 +80,12 @@ def by_suffix(sums: DataFrame, key: str, value: str, suffixes: Sequence[str]) ->
     total = lambda s: F.coalesce(F.sum(F.when(F.col(key).endswith(f"_{s}"), F.col(value))), F.lit(0.0)).alias("total")
     one = sums.agg(F.array(*(F.struct(F.lit(s).alias("suffix"), total(s)) for s in suffixes)).alias("x"))
     return one.select(F.inline("x"))
+
+
+def card(metrics: DataFrame, name: str, value: str, titles: dict[str, str], heads: tuple[str, str] = ("metric", "value")) -> DataFrame:
+    """One row ``markdown``: a table of the named metrics in the order of ``titles`` (name to title), ``n/a`` for what is
+    null, NaN or missing. ``metrics`` has a row a metric; other rows are left out, so the list stays as long as ``titles``."""
+    known = metrics.filter(F.col(name).isin(*titles)).groupBy(F.col(name).alias("__name")).agg(F.min(value).alias("__value"))
+    found = known.agg(F.map_from_entries(F.collect_list(F.struct("__name", "__value"))).alias("m"))
+    lines = [F.concat(F.lit(f"| {title} | "), shown(F.try_element_at("m", F.lit(k))), F.lit(" |")) for k, title in titles.items()]
+    return found.select(F.array_join(F.array(F.lit(f"| {heads[0]} | {heads[1]} |"), F.lit("|---|---|"), *lines), "\n").alias("markdown"))

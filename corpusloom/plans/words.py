@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import edit, numbers, phones, text, tokens
-from ..operators import frontend, lexicon, signal
+from ..operators import admission, frontend, lexicon, reports, signal
 from .corpus import table, words_of
+from .formats import folder
 from .language import VOCAB_MAP, VOCAB_SQL, _lit
 
 QUERIES: dict = {}
@@ -144,3 +145,33 @@ def longest_pauses(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").filter("embedding IS NOT NULL")
     clip = F.when(k == 0, _signal(40, 0)).when(k == 1, _signal(40, 1600)).otherwise(_signal(40, 3200))
     return e.select("vec_id", F.round(signal.longest_pause(8000)(clip), 6).alias("pause"))
+
+
+# --- lines and reports ---
+
+
+@query(r"""WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN regexp_replace(lower(text), '[a-z]', chr(1576), 'g') ELSE text END AS t FROM conversations)
+SELECT conv_id, turn, coalesce(length(t) BETWEEN 20 AND 200 AND NOT regexp_matches(t, '[A-Za-z]') AND len(regexp_extract_all(t, '[\[\](){}<>|/=\\*_#]')) = 0 AND right(t, 1) IN ('.', '?', '!'), false) AS plain FROM t""")
+def sentences_of_one_script(spark, sf_dir):
+    """Turns, every second one written in another script, as sentences of that script."""
+    other = F.regexp_replace(F.lower("text"), "[a-z]", "ب")
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, other).otherwise(F.col("text")).alias("t"))
+    return c.select("conv_id", "turn", admission.plain_sentence(F.col("t"), ends=".?!").alias("plain"))
+
+
+@query("SELECT event_id, event_type, CASE WHEN value > 250 THEN value END AS score FROM events")
+def streamed_rows(spark, sf_dir):
+    """Rows that a stream writes as JSON lines, some without a score, read back."""
+    at, e = folder(spark), table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    source = spark.readStream.schema(e.schema).parquet(f"{sf_dir}/event[s].parquet")  # a pattern, for a stream of files
+    rows = source.select("event_id", "event_type", F.when(F.col("value") > 250, F.col("value")).alias("score"))
+    rows.writeStream.format("json").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("event_id long, event_type string, score double").json(f"{at}/rows")
+
+
+@query("""WITH m AS (SELECT event_type AS name, avg(value) AS v FROM events GROUP BY 1), s(k, title, name) AS (VALUES (1, 'Clicks', 'click'), (2, 'Views', 'view'), (3, 'Nothing', 'nothing'))
+SELECT '| measure | mean |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || title || ' | ' || coalesce(printf('%.3f', v), 'n/a') || ' |', chr(10) ORDER BY k) AS markdown FROM s LEFT JOIN m USING (name)""")
+def metrics_card(spark, sf_dir):
+    """Means by kind of event as a Markdown table; one kind has no events."""
+    m = table(spark, sf_dir, "events").groupBy("event_type").agg(F.avg("value").alias("v"))
+    return reports.card(m, "event_type", "v", {"click": "Clicks", "view": "Views", "nothing": "Nothing"}, ("measure", "mean"))
