@@ -56,7 +56,18 @@ def nan_mean(value: Column) -> Column:
 
 
 def masked_mean(value: Column, where: Column) -> Column:
-    return F.avg(F.when(where & ~F.isnan(value), value))
+    return exact_mean(F.when(where & ~F.isnan(value), value))
+
+
+def exact_mean(value: Column) -> Column:
+    """The mean of a double, the same in whatever order rows are added, so that a mean that is a limit is not put beside it.
+
+    Values are added as decimals of 18 places, if all of them are the same as such; otherwise, or where that sum
+    has over 20 digits before the point, it is the plain mean. Null where nothing is left.
+    """
+    fixed = value.try_cast("decimal(38,18)")
+    same = F.bool_and(F.when(value.isNotNull(), F.coalesce(fixed.cast("double") == value, F.lit(False))))
+    return F.coalesce(F.when(same, F.try_sum(fixed).cast("double") / F.count(value)), F.avg(value))
 
 
 def ratio_of_sums(top: Column, bottom: Column, least: float = 1e-6) -> Column:

@@ -88,6 +88,15 @@ def test_gates_ignore_missing_values(spark):
     assert got == {1: (True, False), 2: (False, False), 3: (True, True)}
 
 
+def test_means_at_a_limit_do_not_depend_on_the_order_of_rows(spark):
+    values = [4.51, 14.16, 44.74, 43.47, 96.45, 19.19, 22.48]  # 245 in all; added one by one in this order it is less, in the other not
+    rows = [(k, v) for k, order in enumerate([values, values[::-1]]) for v in order] + [(2, 1e-30), (2, 3e-30), (3, float("inf")), (4, None), (5, 1e300)]
+    df = spark.createDataFrame(rows, "k int, v double").coalesce(1)
+    got = dict(df.groupBy("k").agg(reports.masked_mean(F.col("v"), F.lit(True)).alias("m")).collect())
+    assert got[0] == got[1] == 35.0
+    assert got[2] == 2e-30 and got[3] == float("inf") and got[4] is None and got[5] == 1e300
+
+
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, 0.05, 10.0, 10.5, float("nan"), None)], "v double")
     got = {r["bin"]: r["n"] for r in reports.histogram(df, "v", [0, 0.05, 1, 10]).collect()}
