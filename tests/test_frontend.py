@@ -58,6 +58,22 @@ def test_long_clips_are_split_at_pauses(spark):
     assert sorted(map(tuple, got), key=str) == [("u", 0, "split", "one."), ("u", 1, "split", "two."), ("v", 0, "too_long_dropped", "only one"), ("w", 0, "kept", "short"), ("x", 0, "decode_error", None)]
 
 
+def test_batches_of_clips_are_bounded(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+    try:
+        y = F.when(F.col("id") == 7, None).otherwise(F.array_repeat(F.when(F.col("id") % 2 == 0, 0.5).otherwise(0.0), 30_000))
+        df = spark.range(0, 200, 1, 1).select("id", y.alias("y"), F.lit(8000.0).alias("rate"), F.lit("One.").alias("t"))
+        out = signal.prepare_clips(df, "id", "y", "rate", "t", target=8000)
+        assert int(spark.conf.get(limit).rstrip("b")) <= signal.MOST_BYTES
+
+        got = {r["id"]: r["reason"] for r in out.collect()}
+        assert got == {i: "kept" if i % 2 == 0 else "decode_error" if i == 7 else "silent" for i in range(200)}
+        assert out.filter("id = 0").selectExpr("size(samples) n", "dur").first() == (30_000, 3.75)
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_longest_pause_equals_plain_runs(spark):
     rng = np.random.default_rng(2)
     clips = [np.repeat(rng.choice([0.0, 0.001, 0.1], 40), 200) for _ in range(20)] + [np.zeros(900), np.zeros(50)]
