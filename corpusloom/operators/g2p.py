@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 MOST_PHONES = 2
 #: More different letters with phones, or n-grams, are an error: a lexicon of that size needs a bound on its words.
 MOST_CHUNKS, MOST_NGRAMS = 200_000, 5_000_000
+#: Histories whose next steps a decoder keeps.
+MOST_KEPT = 100_000
 #: Chance of a letter's phones that were never seen, for the first rounds and for letters a model doesn't know.
 FLOOR = 1e-9
 END = "</w>"
@@ -147,6 +149,7 @@ class Decoder:
                 self.phones[letter].add(phones)
         self.totals = [{h: (sum(c.values()), len(c)) for h, c in level.items()} for level in self.counts]
         self.base = 1.0 / (1 + sum(map(len, self.phones.values())))
+        self.known: dict[tuple[tuple[str, ...], str], list[tuple[str, str, float]]] = {}
 
     def chance(self, history: tuple[str, ...], graphone: str) -> float:
         p = self.base
@@ -159,23 +162,36 @@ class Decoder:
             p = (self.counts[k][h].get(graphone, 0) + kinds * p) / (total + kinds)
         return p
 
+    def steps(self, history: tuple[str, ...], letter: str) -> list[tuple[str, str, float]]:
+        """(graphone, phones joined, log of its chance) of all graphones of a letter, or of the end, after a history; kept, up to ``MOST_KEPT``."""
+        found = self.known.get((history, letter))
+        if found is None:
+            if letter == END:
+                found = [(END, "", math.log(self.chance(history, END)))]
+            else:
+                of = [(letter + _GRAPHONE + phones, phones.replace(" ", "")) for phones in sorted(self.phones.get(letter, ("",)))]
+                found = [(g, said, math.log(self.chance(history, g))) for g, said in of]
+            if len(self.known) >= MOST_KEPT:
+                self.known.clear()
+            self.known[history, letter] = found
+        return found
+
     def nbest(self, letters: list[str], beam: int, n: int) -> list[tuple[str, float]]:
         """(phones joined, log P(phones | letters)) of the n best, normalised over what is in the beam at the end."""
         states = [(0.0, ("",) * (self.order - 1), "")]
         for letter in letters:
             grown: dict[tuple[tuple[str, ...], str], float] = {}
             for score, history, said in states:
-                for phones in sorted(self.phones.get(letter, ("",))):
-                    g = letter + _GRAPHONE + phones
-                    key = ((*history, g)[1:], said + phones.replace(" ", ""))
-                    s = score + math.log(self.chance(history, g))
+                for g, more, chance in self.steps(history, letter):
+                    key = ((*history, g)[1:], said + more)
+                    s = score + chance
                     if s > grown.get(key, -math.inf):
                         grown[key] = s
             best = sorted(grown.items(), key=lambda x: (-x[1], x[0]))[:beam]
             states = [(s, h, said) for (h, said), s in best]
         ended: dict[str, float] = {}
         for score, history, said in states:
-            s = score + math.log(self.chance(history, END))
+            s = score + self.steps(history, END)[0][2]
             ended[said] = max(s, ended.get(said, -math.inf))
         if not letters or not ended:
             return []

@@ -10,6 +10,7 @@ from ..functions import chunks, numbers, phones, text, tokens
 from ..operators import g2p, lexicon
 from ..streaming import budget
 from .corpus import table, words_of
+from .formats import folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -129,9 +130,15 @@ SELECT word, replace(replace(replace(word, 'x', 'ks'), 'q', 'k'), 'h', '') AS pr
 def nbest_decoded(spark, sf_dir):
     """Every word of the documents decoded by a model learned from a lexicon of some of them, in which x is two
     phones, q another one and h silent."""
-    words = words_of(spark, sf_dir).select("word").distinct()
+    at = folder(spark)  # texts are read once, not in every round of the fit
+
+    def kept(rows, name):
+        rows.write.parquet(f"{at}/{name}")
+        return spark.read.schema("word string").parquet(f"{at}/{name}")
+
+    words = kept(words_of(spark, sf_dir).select("word").distinct(), "words")
     share = int(min(1.0, FITTED / max(1, words.count())) * (1 << 30))
-    known = words.filter(F.pmod(F.xxhash64("word", F.lit("fit")), F.lit(1 << 30)) < share)
+    known = kept(words.filter(F.pmod(F.xxhash64("word", F.lit("fit")), F.lit(1 << 30)) < share).repartition(spark.sparkContext.defaultParallelism), "known")
     said = F.replace(F.replace(F.replace("word", F.lit("x"), F.lit("ks")), F.lit("q"), F.lit("k")), F.lit("h"), F.lit(""))
     model = g2p.fit(known, g2p.letters_of(F.col("word")), g2p.letters_of(said))
     found = g2p.nbest(words, model)

@@ -91,6 +91,25 @@ def test_beam_is_the_brute_force_best(lexicon_):
         assert math.isclose(sum(d.chance(h, g) for g in every), 1.0, rel_tol=1e-9)
 
 
+def test_next_steps_are_worked_out_once():
+    rows = [(0, "", "a\tA", 3), (0, "", "a\tB", 1), (0, "", g2p.END, 2), (1, "a\tA", "a\tA", 1), (1, "a\tA", g2p.END, 1)]
+    d, asked = g2p.Decoder(rows), []
+    plain = d.chance
+    d.chance = lambda history, graphone: asked.append((history, graphone)) or plain(history, graphone)
+    first = d.nbest(list("aaaa"), 5, 5)
+    n = len(asked)
+    assert n == len(set(asked)) and d.nbest(list("aaaa"), 5, 5) == first and len(asked) == n
+
+
+def test_texts_are_read_once(spark, sf, monkeypatch):
+    from corpusloom.plans import language
+
+    reads, plain = [], language.words_of
+    monkeypatch.setattr(language, "words_of", lambda *a: reads.append(a) or plain(*a))
+    out = language.nbest_decoded(spark, sf)
+    assert len(reads) == 1 and all("documents" not in f for f in out.inputFiles())
+
+
 def test_odd_words(spark, lexicon_):
     pairs = lexicon_.unionByName(spark.createDataFrame([("", "x"), (None, "y"), ("ab", None), ("a", "toolongforthat")], "word string, pron string"))
     model = g2p.fit(pairs, g2p.letters_of(F.col("word")), g2p.letters_of(F.col("pron")))
