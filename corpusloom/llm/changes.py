@@ -242,7 +242,8 @@ def apply_changes(changes: DataFrame, batches: int = BATCHES, after_start: Calla
     at = lambda *x: _hadoop(spark, "/".join([base, *x]))[1]
     settings = {
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        # stores of earlier starts stay open until the next round of maintenance, and each would have megabytes set aside
+        # a start opens each store once: closed with its task, as many are open as tasks run, not one for each partition and start
+        "spark.sql.streaming.stateStore.unloadOnCommit": "true",
         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.maintenanceInterval": "20s",

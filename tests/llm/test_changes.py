@@ -96,3 +96,11 @@ def test_odd_rows(spark, frame, monkeypatch):
 
 def test_empty(frame):
     assert changes.apply_changes(frame([]), batches=2).count() == 0
+
+
+def test_stores_close_with_their_task(spark, sf):
+    key, seen = "spark.sql.streaming.stateStore.unloadOnCommit", []
+    before = spark.conf.get(key)
+    rows = spark.read.parquet(f"{sf}/client_changes.parquet").limit(50)
+    changes.apply_changes(rows, 1, lambda batch: seen.append(spark.conf.get(key)))
+    assert seen == ["true", "true"] and spark.conf.get(key) == before
