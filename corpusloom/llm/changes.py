@@ -249,7 +249,11 @@ def apply_changes(changes: DataFrame, batches: int = BATCHES, after_start: Calla
         "spark.sql.streaming.stateStore.maintenanceInterval": "20s",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        # the checkpoint lives no longer than this call: no second file beside each of its files
+        "spark.sql.streaming.checkpoint.fileChecksum.enabled": "false",
     }
+    if base.startswith(("file:", "/")):  # on mounted folders the manager taken otherwise starts programs of the system for each file that it renames
+        settings["spark.sql.streaming.checkpointFileManagerClass"] = "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
     with Scratch(spark) as scratch:
         ticks = spark.range(1, batches + 2).select(F.col("id").cast("int").alias("batch"), F.lit(_TICK).alias("op"))
         rows = prepare(changes, scratch, batches).unionByName(ticks, allowMissingColumns=True)

@@ -104,3 +104,13 @@ def test_stores_close_with_their_task(spark, sf):
     rows = spark.read.parquet(f"{sf}/client_changes.parquet").limit(50)
     changes.apply_changes(rows, 1, lambda batch: seen.append(spark.conf.get(key)))
     assert seen == ["true", "true"] and spark.conf.get(key) == before
+
+
+def test_files_of_checkpoint(spark, sf):
+    """One file for each change of a store, in a folder of this machine renamed without programs of the system; settings come back."""
+    keys = ["spark.sql.streaming.checkpoint.fileChecksum.enabled", "spark.sql.streaming.checkpointFileManagerClass"]
+    seen, before = [], [spark.conf.get(k, None) for k in keys]
+    rows = spark.read.parquet(f"{sf}/client_changes.parquet").limit(50)
+    changes.apply_changes(rows, 1, lambda batch: seen.append([spark.conf.get(k) for k in keys]))
+    assert [x[0] for x in seen] == ["false", "false"] and all(x[1].endswith(".FileSystemBasedCheckpointFileManager") for x in seen)
+    assert [spark.conf.get(k, None) for k in keys] == before
