@@ -10,7 +10,7 @@ Parts grow with the table, as far as the sample allows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,17 +26,26 @@ LEAST_SAMPLE, SAMPLE = 4096, 32_768
 LEAST = 32
 #: Candidates and queries that meet in one task, on average.
 TILE, QUERY_TILE = 2048, 1024
+#: Numbers in a block of a matrix that has a row or a column for every vector of the sample; no such matrix is held whole.
+BLOCK = 1 << 21
 #: Recall the number of probed parts is chosen for, measured on sample queries the network has not seen.
 RECALL = 0.95
 
 
+def blocks(n: int, width: int) -> Iterator[np.ndarray]:
+    """Numbers from 0 to n in runs whose rows of ``width`` numbers stay within BLOCK; 512 at most."""
+    step = min(512, max(1, BLOCK // width))
+    for at in range(0, n, step):
+        yield np.arange(at, min(n, at + step))
+
+
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """The k rows with the largest inner product with each row, itself excluded."""
-    out = np.empty((len(x), k), np.int64)
-    for at in range(0, len(x), 512):
-        s = x[at : at + 512] @ x.T
-        s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
-        out[at : at + len(s)] = np.argpartition(-s, k - 1, axis=1)[:, :k]
+    out = np.empty((len(x), k), np.int32)
+    for rows in blocks(len(x), len(x)):
+        s = x[rows] @ x.T
+        s[np.arange(len(rows)), rows] = -np.inf
+        out[rows] = np.argpartition(np.negative(s, out=s), k - 1, axis=1)[:, :k]
     return out
 
 
@@ -54,11 +63,11 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 8
                 part[at[np.argsort(side, kind="stable")[len(at) // 2 :]]] = p + n
         n *= 2
     size, most = np.bincount(part, minlength=parts), int(slack * len(x) / parts) + 1
-    back: list[list[int]] = [[] for _ in x]
-    for i, row in enumerate(graph.tolist()):
-        for j in row:
-            back[j].append(i)
-    around = [np.array([*row, *b]) for row, b in zip(graph.tolist(), back, strict=True)]
+    # the neighbours of each node, and the nodes that it is a neighbour of, one node after another
+    of, to = np.repeat(np.arange(len(x), dtype=np.int32), graph.shape[1]), graph.ravel()
+    ends = np.concatenate([of, to])
+    around = np.concatenate([to, of])[np.argsort(ends, kind="stable")]
+    around = np.split(around, np.cumsum(np.bincount(ends, minlength=len(x)))[:-1])
     for _ in range(rounds):
         moved = 0
         for i in range(len(x)):
@@ -96,11 +105,19 @@ class Router:
         return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
 
-def train(x: np.ndarray, y: np.ndarray, hidden: int = 128, epochs: int = 40, rate: float = 2e-3, seed: int = 5) -> Router:
-    """Cross entropy against shares of neighbours ``y`` by part, with Adam; fewer epochs over large samples."""
+def shares(part: np.ndarray, graph: np.ndarray, parts: int, rows: np.ndarray) -> np.ndarray:
+    """Of the neighbours of ``rows``, the share in each part; a vector belongs with its neighbours, and with itself."""
+    out, k = np.zeros((len(rows), parts)), graph.shape[1]
+    np.add.at(out, (np.repeat(np.arange(len(rows)), k), part[graph[rows]].ravel()), 1.0)
+    out[np.arange(len(rows)), part[rows]] += k
+    return out / out.sum(axis=1, keepdims=True)
+
+
+def train(x: np.ndarray, y: Callable[[np.ndarray], np.ndarray], parts: int, hidden: int = 128, epochs: int = 40, rate: float = 2e-3, seed: int = 5) -> Router:
+    """Cross entropy against shares of neighbours by part, which ``y`` gives for rows, with Adam; fewer epochs over large samples."""
     epochs = max(8, min(epochs, 240_000 // max(1, len(x))))
     rng = np.random.default_rng(seed)
-    shape = ((x.shape[1], hidden), (hidden,), (hidden, y.shape[1]), (y.shape[1],))
+    shape = ((x.shape[1], hidden), (hidden,), (hidden, parts), (parts,))
     scale = 1 / max(1e-9, float(np.sqrt((x**2).mean())))
     w = [rng.normal(0, np.sqrt(2 / s[0]), s) * (scale if i == 0 else 1) if len(s) == 2 else np.zeros(s) for i, s in enumerate(shape)]
     m, v, t = [np.zeros(s) for s in shape], [np.zeros(s) for s in shape], 0
@@ -109,7 +126,7 @@ def train(x: np.ndarray, y: np.ndarray, hidden: int = 128, epochs: int = 40, rat
             h = np.maximum(x[rows] @ w[0] + w[1], 0)
             z = h @ w[2] + w[3]
             p = np.exp(z - z.max(axis=1, keepdims=True))
-            d = (p / p.sum(axis=1, keepdims=True) - y[rows]) / len(rows)
+            d = (p / p.sum(axis=1, keepdims=True) - y(rows)) / len(rows)
             e = (d @ w[2].T) * (h > 0)
             t += 1
             for i, g in enumerate((x[rows].T @ e, e.sum(axis=0), h.T @ d, d.sum(axis=0))):
@@ -134,34 +151,34 @@ def fit(x: np.ndarray, total: int, k: int = 20, recall: float = RECALL, least: i
         return blank(x.shape[1])
     graph = neighbour_graph(x, k_all)
     part = balanced_parts(x, graph, n)
-    share = np.zeros((len(x), n))
-    np.add.at(share, (np.repeat(np.arange(len(x)), k_all), part[graph].ravel()), 1.0)
-    share[np.arange(len(x)), part] += k_all  # a vector belongs with its neighbours, and with itself
-    share /= share.sum(axis=1, keepdims=True)
-    unseen = np.arange(len(x)) % 4 == 0
-    router = train(x[~unseen], share[~unseen])
-    at = router.logits(x)
+    seen, unseen = (np.flatnonzero((np.arange(len(x)) % 4 == 0) == u) for u in (False, True))
+    router = train(x[seen], lambda rows: shares(part, graph, n, seen[rows]), n)
+    own = np.empty((len(x), 2), np.int32)
+    place = np.empty((len(unseen), n), np.min_scalar_type(n))  # when each part would be probed
+    for rows in blocks(len(x), n):
+        order = np.argsort(-router.logits(x[rows]), axis=1, kind="stable")
+        own[rows] = order[:, :2]
+        new = rows % 4 == 0
+        place[rows[new] // 4] = np.argsort(order[new], axis=1)
     # the k nearest of the table have so many of the sample among them
-    near = graph[unseen]
-    nearest = np.argsort(-np.take_along_axis(x[unseen] @ x.T, near, axis=1), axis=1, kind="stable")
-    near = np.take_along_axis(near, nearest, axis=1)[:, : max(3, round(k * len(x) / max(total, len(x))))]
-    order = np.argsort(-at, axis=1, kind="stable")
-    place = np.empty_like(order)
-    np.put_along_axis(place, order, np.broadcast_to(np.arange(n), order.shape), axis=1)  # when each part would be probed
-    place, best = place[unseen], None
+    near = np.empty((len(unseen), min(k_all, max(3, round(k * len(x) / max(total, len(x)))))), np.int32)
+    for rows in blocks(len(unseen), k_all * x.shape[1]):
+        found = graph[unseen[rows]]
+        nearest = np.argsort(-np.einsum("qd,qkd->qk", x[unseen[rows]], x[found]), axis=1, kind="stable")
+        near[rows] = np.take_along_axis(found, nearest, axis=1)[:, : near.shape[1]]
+    best = None
     for copies in (1, 2):
-        own = order[:, :copies]
-        when = np.take_along_axis(place[:, None, :], own[near].reshape(len(near), 1, -1), axis=2).reshape(*near.shape, copies).min(axis=2)
-        reached = np.array([(when < m + 1).mean() for m in range(n)])
+        when = np.take_along_axis(place, own[near, :copies].reshape(len(near), -1), axis=1).reshape(*near.shape, copies).min(axis=2)
+        reached = np.cumsum(np.bincount(when.ravel(), minlength=n)) / when.size
         probes = int(np.argmax(reached >= recall)) + 1
         # a vector with copies in several probed parts is scored once
-        scored = np.zeros((len(place), n), bool)
-        np.put_along_axis(scored, order[unseen][:, :probes], True, axis=1)
-        hit = scored[:, own[:, 0]]
-        for c in range(1, copies):
-            hit = hit | scored[:, own[:, c]]
-        if best is None or hit.mean() < best[2]:
-            best = (probes, copies, float(hit.mean()), float(reached[probes - 1]))
+        scored = 0
+        for rows in blocks(len(unseen), len(x)):
+            hit = place[rows] < probes
+            scored += int(np.logical_or.reduce([hit[:, own[:, c]] for c in range(copies)]).sum())
+        share = scored / (len(unseen) * len(x))
+        if best is None or share < best[2]:
+            best = (probes, copies, share, float(reached[probes - 1]))
     router.probes, router.copies, router.share, router.recall = best
     return router
 
@@ -202,8 +219,8 @@ def learn(rows: DataFrame, dim: int, total: int, k: int = 20, sample: int = SAMP
     """A router from a share of the rows (id, v), chosen by a hash of the id: an eighth, ``sample`` on average at most."""
     most = min(sample, max(LEAST_SAMPLE, total // 8))
     rate = int(min(1.0, most / total) * (1 << 30))
-    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < rate).select("id", "v").toPandas().sort_values("id")
-    return fit(np.stack(chosen["v"].to_list()).astype(float), total, k, recall, least) if len(chosen) else blank(dim)
+    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < rate).select("id", "v").toArrow().sort_by("id")
+    return fit(_matrix(chosen["v"], dim).astype(float), total, k, recall, least) if len(chosen) else blank(dim)
 
 
 def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, sample: int = SAMPLE, recall: float = RECALL, least: int = LEAST) -> DataFrame:

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -560,6 +561,17 @@ def test_parts_grow_with_the_sample():
     assert [len(ann.fit(x[:n], 10**6).b2) for n in (40, 130, 600, 2048)] == [1, 4, 16, 64]
 
 
+def test_fitting_holds_no_matrix_of_the_sample_by_itself_or_by_parts():
+    x = np.random.default_rng(4).normal(size=(8192, 8))
+    tracemalloc.start()
+    try:
+        router = ann.fit(x, 10**6)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(router.b2) == 256 and peak < 64e6  # a quarter of the sample by all of it alone is 134 MB
+
+
 def test_partitions_are_balanced_and_learnable():
     rng = np.random.default_rng(2)
     centres = rng.normal(0, 1, (16, 8))
