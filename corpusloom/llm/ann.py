@@ -4,12 +4,16 @@ A bounded sample gets its exact neighbour graph; the graph is cut into balanced
 a small network learns, from the vector alone, in which parts its neighbours lie. The network then deals every
 vector of the table to its most probable part, or to its two most probable ones, and sends each query to as many of
 its most probable parts as queries of the sample that the network has not seen need for the wanted recall; one or
-two copies, whichever scores fewer vectors for it. There candidates are scored exactly, in tiles of bounded size.
+two copies, whichever scores fewer vectors for it. For the scores the parts stand in a row that is cut into pieces of
+bounded size. Each candidate moves once a copy, each query once to every piece that has a part of its own, and not once a
+part; there the queries stream past the candidates and are scored exactly against those in their parts.
 Parts grow with the table, as far as the sample allows.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,15 +21,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import groups, written
+from .shared import written
 
 #: Vectors the partitions are learned from: an eighth of the table, but LEAST_SAMPLE to SAMPLE on average.
 LEAST_SAMPLE, SAMPLE = 4096, 32_768
 #: Sample vectors a part has at least; parts are a power of two.
 LEAST = 32
-#: Candidates and queries that meet in one task, on average.
-TILE, QUERY_TILE = 2048, 1024
+#: Parts stand in a row that is cut into so many pieces at least, more where a piece would hold over WITHIN components.
+PIECES, WITHIN = 16, 1 << 22
+#: Scores a task holds at once.
+SCORES = 1 << 22
 #: Numbers in a block of a matrix that has a row or a column for every vector of the sample; no such matrix is held whole.
 BLOCK = 1 << 21
 #: Recall the number of probed parts is chosen for, measured on sample queries the network has not seen.
@@ -195,26 +202,55 @@ def _matrix(col: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def top(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, barred: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query: its number, and ids and scores of the k best that are not ``barred`` (query, vector), ties to
-    the smaller id.
+def top(rough: np.ndarray, query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, longest: float, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query: its number, and ids and scores of the k best, ties to the smaller id.
 
-    Scores are summed component by component in double precision, so equal vectors have equal scores; the matrix
-    product only finds who can be among the best.
+    ``rough`` has the products of queries and vectors, -inf for those that take no part; it only finds who can be
+    among the best, ``longest`` being the largest norm of a vector. Scores are summed component by component in
+    double precision, so equal vectors have equal scores.
     """
-    rough = query @ vectors.T
-    rough[barred] = -np.inf
-    norms = np.sqrt((vectors**2).sum(axis=1))
-    slack = 1e-10 * np.sqrt((query**2).sum(axis=1)) * norms.max(initial=0.0)
-    for r in range(len(query)):
-        s = rough[r]
-        least = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else -np.inf
-        at = np.flatnonzero((s >= least - slack[r]) & np.isfinite(s))
+    slack = 1e-10 * np.sqrt((query**2).sum(axis=1)) * longest
+    # the k-th best of some is at most the k-th best of all, and leaves few to choose from
+    some = rough[:, :: max(1, min(16, rough.shape[1] // (4 * k)))]
+    bound = np.partition(some, -k, axis=1)[:, -k] if some.shape[1] > k else np.full(len(query), -np.inf)
+    for r, s in enumerate(rough):
+        at = np.flatnonzero((s >= bound[r] - slack[r]) & (s > -np.inf))
+        if len(at) > k:
+            at = at[s[at] >= np.partition(s[at], -k)[-k] - slack[r]]
         exact = (query[r] * vectors[at]).cumsum(axis=1)[:, -1]
         best = np.lexsort((ids[at], -exact))[:k]
         yield r, ids[at][best], exact[best]
 
 
+class Piece:
+    """Candidates of one piece, first copies before second ones and each by part; ``before`` is the part of a second
+    copy's first, or -1."""
+
+    def __init__(self, rows: pa.Table, dim: int, parts: int):
+        self.ids, self.parts = rows["id"].to_numpy(), parts
+        self.vectors = _matrix(rows["v"], dim).astype(float)
+        self.longest = float(np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors).max()))
+        part, before = rows["part"].to_numpy(), rows["before"].to_numpy()
+        self.again = int((before < 0).sum())  # where second copies begin
+        self.before = before[self.again :]
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        self.runs = [(int(part[a]), slice(a, b)) for a, b in itertools.pairwise(cuts)]
+        self.by_id = np.argsort(self.ids, kind="stable")
+
+    def nearest(self, own: np.ndarray, query: np.ndarray, bits: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """As :func:`top`, for queries with ids ``own`` and a row of ``bits``, one for each part they go to."""
+        asked = np.unpackbits(bits, axis=1, count=self.parts).astype(bool)
+        rough = np.full((len(query), len(self.ids)), -np.inf)
+        for part, run in self.runs:
+            if len(who := np.flatnonzero(asked[:, part])):
+                rough[who, run] = query[who] @ self.vectors[run].T
+        np.copyto(rough[:, self.again :], -np.inf, where=asked[:, self.before])  # scored with the first copy
+        ids = self.ids[self.by_id]
+        for r, (a, b) in enumerate(zip(np.searchsorted(ids, own), np.searchsorted(ids, own, "right"), strict=True)):
+            rough[r, self.by_id[a:b]] = -np.inf
+        yield from top(rough, query, self.vectors, self.ids, self.longest, k)
+
+
 def learn(rows: DataFrame, dim: int, total: int, k: int = 20, sample: int = SAMPLE, recall: float = RECALL, least: int = LEAST) -> Router:
     """A router from a share of the rows (id, v), chosen by a hash of the id: an eighth, ``sample`` on average at most."""
     most = min(sample, max(LEAST_SAMPLE, total // 8))
@@ -231,7 +267,8 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
     id are separate. Fewer candidates than ``k`` give fewer ranks, an empty table none. Other columns are ignored.
     """
     spark = df.sparkSession
-    rows = df.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), is_query.alias("query"))
+    kind = "array<float>" if df.schema[vec_col].dataType == T.ArrayType(T.FloatType()) else "array<double>"
+    rows = df.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kind).alias("v"), is_query.alias("query"))
     schema = "query_id long, rank int, vec_id long, score double"
     dims = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     if not dims:
@@ -239,49 +276,72 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
     dim, total = dims[0]["d"], dims[0]["n"]
     rows = rows.filter(usable(F.col("v"), dim))
     router = learn(rows, dim, total, k, sample, recall, least)
+    parts = len(router.b2)
     held = spark.sparkContext.broadcast(router)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = held.value
         for b in batches:
             if b.num_rows:
-                order = np.argsort(-r.logits(_matrix(b.column(1), dim)), axis=1, kind="stable")[:, : max(r.probes, r.copies)].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(order), pa.list_(pa.int32()))], names=["id", "v", "query", "parts"])
-
-    routed = written(rows.mapInArrow(route, "id long, v array<double>, query boolean, parts array<int>"))
-    probed = F.slice("parts", 1, router.probes)
-    asked = routed.filter("query").dropDuplicates(["id"]).select("id", "v", F.explode(probed).alias("part"), probed.alias("parts"))
-    # ``parts`` of a candidate are those it has a copy in before this one
-    items = routed.select("id", "v", "parts", F.posexplode(F.slice("parts", 1, router.copies)).alias("n", "part"))
-    items = items.select("id", "v", "part", F.when(F.col("n") > 0, F.slice("parts", F.lit(1), F.col("n"))).alias("parts"))
-    # tiles by part: one row a part, and at most one part for each LEAST vectors of the sample
-    tiles = items.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-    tiles = tiles.join(asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / QUERY_TILE).cast("int").alias("query_tiles")), "part")
-    tiles = F.broadcast(tiles)
-    deal = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = asked.join(tiles, "part").select("part", every("tiles").alias("t"), deal("query_tiles", 1).alias("q"), F.lit(True).alias("query"), "id", "v", "parts")
-    right = items.join(tiles, "part").select("part", deal("tiles", 2).alias("t"), every("query_tiles").alias("q"), F.lit(False).alias("query"), "id", "v", "parts")
-    met = left.unionByName(right).repartition("part", "t", "q").sortWithinPartitions("part", "t", "q")
+                order = np.argsort(-r.logits(_matrix(b.column(1), dim)), axis=1, kind="stable")
+                to = np.zeros((b.num_rows, parts), bool)
+                np.put_along_axis(to, order[:, : r.probes], True, axis=1)
+                bits = [x.tobytes() if q else None for x, q in zip(np.packbits(to, axis=1), b.column(2).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(order[:, : r.copies].astype(np.int32)), pa.list_(pa.int32())), pa.array(bits, pa.binary())], names=["id", "v", "query", "own", "bits"])
+
+    routed = written(rows.mapInArrow(route, f"id long, v {kind}, query boolean, own array<int>, bits binary"))
+    # one row a part, and at most one part for each LEAST vectors of the sample
+    counts = np.zeros(parts, np.int64)
+    for r in routed.select(F.explode("own").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r["part"]] = r["n"]
+    ends = counts.cumsum()
+    pieces = max(PIECES, math.ceil(int(ends[-1]) * dim / WITHIN))
+    width = max(1, math.ceil(int(ends[-1]) / pieces))
+    first, last = (ends - counts) // width, (ends - 1) // width  # pieces that hold a part
+    places = spark.createDataFrame([(p, int(ends[p] - n), n) for p, n in enumerate(counts.tolist()) if n], "part int, begin long, n long")
+    # a candidate's second copy knows the part of its first
+    items = routed.select("id", "v", F.posexplode("own").alias("copy", "part"), F.when(F.col("copy") > 0, F.element_at("own", 1)).otherwise(-1).alias("before"))
+    items = items.join(F.broadcast(places), "part").withColumn("at", F.col("begin") + F.pmod(F.xxhash64("id", "v"), F.col("n")))
+    items = items.select(F.floor(F.col("at") / width).cast("int").alias("piece"), F.lit(False).alias("query"), "id", "v", "part", "before", F.lit(None).cast("binary").alias("bits"))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            to = []
+            for bits in b.column(2).to_pylist():
+                own = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=parts) & (counts > 0))
+                edge = np.zeros(pieces + 1, np.int32)
+                np.add.at(edge, first[own], 1)
+                np.add.at(edge, last[own] + 1, -1)
+                to.append(np.flatnonzero(edge.cumsum()[:-1]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(to, pa.list_(pa.int32()))], names=["id", "v", "bits", "pieces"])
+
+    asked = routed.filter("query").dropDuplicates(["id"]).select("id", "v", "bits").mapInArrow(send, f"id long, v {kind}, bits binary, pieces array<int>")
+    asked = asked.select(F.explode("pieces").alias("piece"), F.lit(True).alias("query"), "id", "v", F.lit(-1).alias("part"), F.lit(-1).alias("before"), "bits")
+    met = items.unionByName(asked).repartitionById(pieces, F.col("piece")).sortWithinPartitions("piece", "query", F.col("before") >= 0, "part")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in groups(batches, ["part", "t", "q"]):
-            query = g["query"].to_numpy(zero_copy_only=False).astype(bool)
-            if query.all() or not query.any():
-                continue
-            ids, v = g["id"].to_numpy(), _matrix(g["v"], dim)
-            own, out = ids[query], ([], [], [])
-            parts = g["parts"].to_pylist()
-            asked_in, before = [p for p, q in zip(parts, query, strict=True) if q], [p for p, q in zip(parts, query, strict=True) if not q]
-            barred = own[:, None] == ids[~query][None, :]
-            if again := [i for i, p in enumerate(before) if p]:  # scored in an earlier part, if the query goes there
-                sets = [set(p) for p in asked_in]
-                for i in again:
-                    barred[:, i] |= [not s.isdisjoint(before[i]) for s in sets]
-            for r, found, scores in top(v[query], v[~query], ids[~query], barred, k):
-                for col, part in zip(out, (np.full(len(found), own[r]), found, scores), strict=True):
-                    col.append(part)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["query_id", "vec_id", "score"])
+        gathered, piece, of = [], None, None
+        for b in batches:
+            number, query = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("piece", "query"))
+            cuts = [0, *(np.flatnonzero((np.diff(number) != 0) | (np.diff(query.astype(int)) != 0)) + 1).tolist(), len(number)]
+            for begin, end in itertools.pairwise(cuts) if len(number) else ():
+                if number[begin] != of:
+                    gathered, piece, of = [], None, number[begin]
+                if not query[begin]:
+                    gathered.append(b.slice(begin, end - begin))
+                    continue
+                if gathered:
+                    piece, gathered = Piece(pa.Table.from_batches(gathered), dim, parts), []
+                if piece is None:
+                    continue
+                step = max(1, SCORES // len(piece.ids))
+                for at in range(begin, end, step):
+                    g, out = b.slice(at, min(step, end - at)), ([], [], [])
+                    own, bits = g["id"].to_numpy(), np.stack([np.frombuffer(x, np.uint8) for x in g["bits"].to_pylist()])
+                    for r, found, scores in piece.nearest(own, _matrix(g["v"], dim).astype(float), bits, k):
+                        for col, x in zip(out, (np.full(len(found), own[r]), found, scores), strict=True):
+                            col.append(x)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["query_id", "vec_id", "score"])
 
     near = met.mapInArrow(score, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -556,6 +556,31 @@ def test_the_table_s_own_queries_probe_a_part_of_it(spark):
     assert recall_of(got, ids, x, np.flatnonzero(ids % 20 == 0)) >= 0.9
 
 
+def shuffles(spark):
+    """Bytes and rows that each stage of the session has written for others, by the stage's number."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return {s.stageId(): (s.shuffleWriteBytes(), s.shuffleWriteRecords()) for s in map(stages.apply, range(stages.size()))}
+
+
+def test_queries_move_once_to_a_piece_and_not_to_each_part(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(2000, 64))
+    ids = np.arange(2000)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    router = ann.fit(x, 2000, least=4)
+    assert len(router.b2) == 256 and router.probes > 100
+    monkeypatch.setattr(ann, "learn", lambda *_: router)
+    before = shuffles(spark)
+    got = of(ann.search(df, F.col("vec_id") % 20 == 0), "query_id")
+    most = max(v for k, v in shuffles(spark).items() if k not in before)  # the stage that moves the vectors
+    assert most[1] <= 2000 * router.copies + 100 * 16 < 100 * router.probes
+    assert recall_of(got, ids, x, np.arange(0, 2000, 20)) >= 0.9
+    monkeypatch.setattr(ann, "WITHIN", 4000)  # pieces of 63 vectors instead of 250: the same rows
+    again = of(ann.search(df, F.col("vec_id") % 20 == 0), "query_id")
+    assert {q: sorted((r["rank"], r["vec_id"], r["score"]) for r in v) for q, v in again.items()} == {q: sorted((r["rank"], r["vec_id"], r["score"]) for r in v) for q, v in got.items()}
+
+
 def test_parts_grow_with_the_sample():
     x = np.random.default_rng(1).normal(size=(2048, 8))
     assert [len(ann.fit(x[:n], 10**6).b2) for n in (40, 130, 600, 2048)] == [1, 4, 16, 64]
