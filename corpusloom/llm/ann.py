@@ -222,22 +222,41 @@ def top(rough: np.ndarray, query: np.ndarray, vectors: np.ndarray, ids: np.ndarr
         yield r, ids[at][best], exact[best]
 
 
+def spare(vectors: np.ndarray, part: np.ndarray, before: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Whether no query needs a candidate: of equal vectors that meet the same queries, those with the k smallest ids
+    are enough, and one more for each time that a query's own id may stand among them."""
+    salt = np.random.default_rng(9).integers(1, 1 << 62, vectors.shape[1]).astype(np.uint64)
+    mark = (vectors.view(np.uint64) * salt).sum(axis=1)  # equal vectors have equal marks
+    order = np.lexsort((ids, mark, before, part))
+    new = np.ones(len(ids), bool)
+    new[1:] = np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in (part, before, mark)])
+    at = np.flatnonzero(~new)
+    new[at] = (vectors[order[at]] != vectors[order[at - 1]]).any(axis=1)
+    starts = np.flatnonzero(new)
+    place = np.arange(len(ids)) - np.repeat(starts, np.diff(starts, append=len(ids)))
+    out = np.empty(len(ids), bool)
+    out[order] = place >= k + np.unique(ids, return_counts=True)[1].max()
+    return out
+
+
 class Piece:
     """Candidates of one piece, first copies before second ones and each by part; ``before`` is the part of a second
     copy's first, or -1."""
 
-    def __init__(self, rows: pa.Table, dim: int, parts: int):
-        self.ids, self.parts = rows["id"].to_numpy(), parts
+    def __init__(self, rows: pa.Table, dim: int, parts: int, k: int):
+        self.ids, self.parts, self.k = rows["id"].to_numpy(), parts, k
         self.vectors = _matrix(rows["v"], dim).astype(float)
-        self.longest = float(np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors).max()))
         part, before = rows["part"].to_numpy(), rows["before"].to_numpy()
+        if (drop := spare(self.vectors, part, before, self.ids, k)).any():
+            self.ids, self.vectors, part, before = (x[~drop] for x in (self.ids, self.vectors, part, before))
+        self.longest = float(np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors).max()))
         self.again = int((before < 0).sum())  # where second copies begin
         self.before = before[self.again :]
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
         self.runs = [(int(part[a]), slice(a, b)) for a, b in itertools.pairwise(cuts)]
         self.by_id = np.argsort(self.ids, kind="stable")
 
-    def nearest(self, own: np.ndarray, query: np.ndarray, bits: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def nearest(self, own: np.ndarray, query: np.ndarray, bits: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """As :func:`top`, for queries with ids ``own`` and a row of ``bits``, one for each part they go to."""
         asked = np.unpackbits(bits, axis=1, count=self.parts).astype(bool)
         rough = np.full((len(query), len(self.ids)), -np.inf)
@@ -248,7 +267,7 @@ class Piece:
         ids = self.ids[self.by_id]
         for r, (a, b) in enumerate(zip(np.searchsorted(ids, own), np.searchsorted(ids, own, "right"), strict=True)):
             rough[r, self.by_id[a:b]] = -np.inf
-        yield from top(rough, query, self.vectors, self.ids, self.longest, k)
+        yield from top(rough, query, self.vectors, self.ids, self.longest, self.k)
 
 
 def learn(rows: DataFrame, dim: int, total: int, k: int = 20, sample: int = SAMPLE, recall: float = RECALL, least: int = LEAST) -> Router:
@@ -331,14 +350,14 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
                     gathered.append(b.slice(begin, end - begin))
                     continue
                 if gathered:
-                    piece, gathered = Piece(pa.Table.from_batches(gathered), dim, parts), []
+                    piece, gathered = Piece(pa.Table.from_batches(gathered), dim, parts, k), []
                 if piece is None:
                     continue
                 step = max(1, SCORES // len(piece.ids))
                 for at in range(begin, end, step):
                     g, out = b.slice(at, min(step, end - at)), ([], [], [])
                     own, bits = g["id"].to_numpy(), np.stack([np.frombuffer(x, np.uint8) for x in g["bits"].to_pylist()])
-                    for r, found, scores in piece.nearest(own, _matrix(g["v"], dim).astype(float), bits, k):
+                    for r, found, scores in piece.nearest(own, _matrix(g["v"], dim).astype(float), bits):
                         for col, x in zip(out, (np.full(len(found), own[r]), found, scores), strict=True):
                             col.append(x)
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["query_id", "vec_id", "score"])

@@ -581,6 +581,25 @@ def test_queries_move_once_to_a_piece_and_not_to_each_part(spark, monkeypatch):
     assert {q: sorted((r["rank"], r["vec_id"], r["score"]) for r in v) for q, v in again.items()} == {q: sorted((r["rank"], r["vec_id"], r["score"]) for r in v) for q, v in got.items()}
 
 
+def test_very_many_equal_vectors_are_not_all_scored(spark):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([np.tile(rng.normal(size=(2, 8)), (400, 1)), rng.normal(size=(200, 8))]).astype(np.float32).astype(float)
+    ids = rng.permutation(np.concatenate([np.arange(900), np.full(60, 40), np.full(40, 60)]))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<float>").coalesce(1)
+    got = of(ann.search(df, F.col("vec_id").isin(0, 40, 60, 80, 100), least=10**6), "query_id")  # one part: exact
+    assert len(got) == 5
+    for q, found in got.items():
+        want = []
+        for v in x[ids == q]:  # any one of the vectors that share the query's id
+            s = (v * x).cumsum(axis=1)[:, -1]
+            s[ids == q] = -np.inf
+            best = np.lexsort((ids, -s))[:20]
+            want.append([(int(ids[b]), float(s[b])) for b in best])
+        assert [(r["vec_id"], r["score"]) for r in sorted(found, key=lambda r: r["rank"])] in want
+    rows = pa.table({"id": pa.array(np.arange(800)), "v": pa.array(x[:800].tolist()), "part": pa.array(np.zeros(800, np.int32)), "before": pa.array(np.full(800, -1, np.int32))})
+    assert len(ann.Piece(rows, 8, 1, 20).ids) == 2 * 21
+
+
 def test_parts_grow_with_the_sample():
     x = np.random.default_rng(1).normal(size=(2048, 8))
     assert [len(ann.fit(x[:n], 10**6).b2) for n in (40, 130, 600, 2048)] == [1, 4, 16, 64]
